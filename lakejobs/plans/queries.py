@@ -898,15 +898,24 @@ def jsonl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every change delivered again within the delay; the stream keeps one."""
-    path = new_path(spark, "arrivals")
+    """Files land in three rounds, each repeating the round before and itself.
+
+    Repeats within the delay are removed as duplicates, older ones as late.
+    """
+    path, out, checkpoint = (new_path(spark, n) for n in ("arrivals", "deduped", "cp"))
     log = change_log(spark, sf_dir).select("source_pos", "ts_event", "source_pk", "value")
-    twice = log.unionByName(log)
-    twice.repartitionByRange(3, "ts_event").write.parquet(path)
-    stream = stream_table(spark, path, twice.schema, max_files=1)
-    kept = flows.dedup_stream(stream, ["source_pos"], salts=4)
-    out = new_path(spark, "deduped")
-    flows.append_stream(kept, out, new_path(spark, "cp")).awaitTermination()
+    rounds = [
+        _before(log, "ts_event", FIRST_CUT),
+        _before(_from(log, "ts_event", FIRST_CUT), "ts_event", SECOND_CUT),
+        _from(log, "ts_event", SECOND_CUT),
+    ]
+    for i, arriving in enumerate(rounds):
+        repeated = arriving.unionByName(arriving)
+        repeated = repeated.unionByName(rounds[i - 1]) if i else repeated
+        repeated.write.mode("append").parquet(path)
+        stream = stream_table(spark, path, log.schema)
+        kept = flows.dedup_stream(stream, ["source_pos"], salts=4)
+        flows.append_stream(kept, out, checkpoint).awaitTermination()
     return _zoneless(spark.read.parquet(out), "ts_event")
 
 

@@ -62,6 +62,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lakejobs/{label}-{uuid.uuid4().hex}"
 
 
+def path_status(spark: SparkSession, path: str) -> str:
+    """'absent', 'file' or 'directory', on whatever file system the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return "absent"
+    return "directory" if fs.getFileStatus(where).isDirectory() else "file"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write once to the shared folder and read the copy back."""
     path = new_path(df.sparkSession, label)

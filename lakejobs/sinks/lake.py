@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakejobs.functions.keys import with_bucket, with_partitions
 from lakejobs.operators.merge import live, merge_current
+from lakejobs.session import path_status
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -84,12 +85,9 @@ def read_silver(
     None if nothing has been committed. Directory pruning leaves one version
     per bucket to read.
     """
-    try:
-        versions = silver_versions(spark, path, upto)
-    except Exception as error:  # the table does not exist before its first version
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+    if path_status(spark, f"{path}/commits") == "absent":
+        return None
+    versions = silver_versions(spark, path, upto)
     if only_buckets is not None:
         versions = {b: v for b, v in versions.items() if b in set(only_buckets)}
     if not versions:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakejobs.operators.contract import RAW_SCHEMA, typed
+from lakejobs.session import path_status
 
 # Fixed value: a line of this many bytes or more is refused.
 MAX_LINE_BYTES = 1_048_576
@@ -21,21 +22,14 @@ _PARSE = {
 }
 
 
-def _is_directory(spark: SparkSession, path: str) -> bool:
-    """Whether a path, on whatever file system it names, is a directory."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        raise FileNotFoundError(path)
-    return fs.getFileStatus(where).isDirectory()
-
-
 def file_options(spark: SparkSession, path: str) -> dict[str, str]:
     """Reader options: a file is read as it is, a directory for its .jsonl files."""
     if not path:
         raise ValueError("input path is empty")
-    if not _is_directory(spark, path):
+    status = path_status(spark, path)
+    if status == "absent":
+        raise FileNotFoundError(path)
+    if status == "file":
         return {}
     return {"recursiveFileLookup": "true", "pathGlobFilter": "*.jsonl"}
 
