@@ -26,6 +26,15 @@ class Rule:
         return ok if self.required else (F.col(self.field).isNull() | ok)
 
 
+def _names(marks: Sequence[Column]) -> Column:
+    """The non-null marks as an array; rows without any cost one comparison."""
+    none = F.array().cast("array<string>")
+    if not marks:
+        return none
+    text = F.concat_ws(",", *marks)
+    return F.when(text == "", none).otherwise(F.split(text, ","))
+
+
 def missing_fields(rules: Sequence[Rule], keys: Column | None = None) -> Column:
     """Required fields a record lacks, in rule order.
 
@@ -36,36 +45,22 @@ def missing_fields(rules: Sequence[Rule], keys: Column | None = None) -> Column:
     if keys is not None:
         names = F.array(*[F.lit(n) for n in wanted])
         return F.array_except(names, F.coalesce(keys, F.array().cast("array<string>")))
-    return F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in wanted]))
+    return _names([F.when(F.col(n).isNull(), F.lit(n)) for n in wanted])
 
 
 def failures(rules: Sequence[Rule], severity: str = "error") -> Column:
     """Every failing field of one severity, in rule order."""
-    marks = [F.when(~r.passes(), F.lit(r.field)) for r in rules if r.severity == severity]
-    if not marks:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*marks))
-
-
-def first_failure(rules: Sequence[Rule]) -> Column:
-    """Struct (field, value, expected) of the first failing rule, or null."""
-    marks = [
-        F.when(
-            ~r.passes(),
-            F.struct(
-                F.lit(r.field).alias("field"),
-                _shown(r.field).alias("value"),
-                F.lit(r.expected).alias("expected"),
-            ),
-        )
-        for r in rules
-        if r.severity == "error"
-    ]
-    return F.coalesce(*marks)
+    return _names([F.when(~r.passes(), F.lit(r.field)) for r in rules if r.severity == severity])
 
 
-def _shown(field: str) -> Column:
-    return F.col(field).cast("string")
+def described(rules: Sequence[Rule], field: Column) -> Column:
+    """Struct (field, value, expected) for the name of a failing field."""
+    value, expected = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for r in rules:
+        if r.severity == "error":
+            value = F.when(field == r.field, F.col(r.field).cast("string")).otherwise(value)
+            expected = F.when(field == r.field, F.lit(r.expected)).otherwise(expected)
+    return F.struct(field.alias("field"), value.alias("value"), expected.alias("expected"))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], keys: str | None = None) -> DataFrame:
@@ -74,18 +69,15 @@ def validate(df: DataFrame, rules: Sequence[Rule], keys: str | None = None) -> D
     Missing fields are judged before any value: when some are missing the
     verdict names them and no value rule is reported.
     """
-    missing = missing_fields(rules, F.col(keys) if keys else None)
-    out = df.withColumn("missing", missing)
-    some_missing = F.size("missing") > 0
-    verdict = first_failure(rules)
+    none = F.array().cast("array<string>")
+    complete = F.size("missing") == 0
+    first = F.get("errors", F.lit(0))
     return (
-        out.withColumn(
-            "errors",
-            F.when(some_missing, F.array().cast("array<string>")).otherwise(failures(rules)),
-        )
+        df.withColumn("missing", missing_fields(rules, F.col(keys) if keys else None))
+        .withColumn("errors", F.when(complete, failures(rules)).otherwise(none))
         .withColumn("warnings", failures(rules, "warning"))
-        .withColumn("first_error", F.when(~some_missing, verdict))
-        .withColumn("is_valid", ~some_missing & (F.size("errors") == 0))
+        .withColumn("first_error", F.when(F.size("errors") > 0, described(rules, first)))
+        .withColumn("is_valid", complete & (F.size("errors") == 0))
     )
 
 
@@ -120,6 +112,7 @@ def apply_policy(
                 F.col("first_error.expected"),
             )
         )
-        guard = F.when(F.col("is_valid"), F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
+        stop = F.raise_error(text).cast("boolean")
+        guard = F.when(F.col("is_valid"), F.lit(True)).otherwise(stop)
         return checked.where(guard).drop(*VERDICT_COLUMNS), None
     raise ValueError(f"unknown policy {policy!r}")

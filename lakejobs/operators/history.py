@@ -12,8 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakejobs.functions.keys import orderable
-from lakejobs.operators.ordered import MAX_GROUP_ROWS, ordered_columns
+from lakejobs.functions.keys import has_unsortable, orderable
+from lakejobs.operators.ordered import MAX_GROUP_ROWS, OrderedRows
 from lakejobs.operators.sizing import broadcast_if_small
 
 INTERVAL = ("valid_from", "valid_to", "is_current")
@@ -30,20 +30,31 @@ def history_log(
     Changes of a key at the same time collapse to the one with the greatest
     position. Both the collapse and valid_to come from one look-ahead.
     """
+    return _versions(changes, keys, version, max_rows).rows().select(*changes.columns, *INTERVAL)
+
+
+def _versions(
+    changes: DataFrame, keys: Sequence[str], version: Sequence[str], max_rows: int
+) -> OrderedRows:
     ts = version[0]
-    names = [c for c in changes.columns if c not in keys and c not in version]
-    ties = {f"__tie_{i}": orderable(changes, c) for i, c in enumerate(names)}
+    rest = [c for c in changes.columns if c not in keys and c not in version]
+    # Equal versions are told apart by the remaining columns; only those that
+    # cannot be sorted need a sortable copy.
+    ties = {
+        f"__tie_{c}": orderable(changes, c)
+        for c in rest
+        if has_unsortable(changes.schema[c].dataType)
+    }
     ranked = changes.withColumns(ties) if ties else changes
-    order = [*version, *ties]
-    ahead = ordered_columns(ranked, keys, order, {"valid_to": ("lead", ts)}, max_rows)
+    order = [*version, *[f"__tie_{c}" if f"__tie_{c}" in ties else c for c in rest]]
     last_of_time = F.col("valid_to").isNull() | (F.col("valid_to") != F.col(ts))
-    return (
-        ahead.where(last_of_time)
-        .drop(*ties)
-        .withColumn("valid_from", F.col(ts))
-        .withColumn("is_current", F.col("valid_to").isNull())
-        .select(*changes.columns, *INTERVAL)
-    )
+
+    def close(df: DataFrame) -> DataFrame:
+        return df.where(last_of_time).withColumns(
+            {"valid_from": F.col(ts), "is_current": F.col("valid_to").isNull()}
+        )
+
+    return OrderedRows(ranked, keys, order, max_rows).add({"valid_to": ("lead", ts)}).change(close)
 
 
 def history_view(
@@ -56,21 +67,22 @@ def history_view(
     """Public history: no deletes; with `tracked`, runs of equal values are one row."""
     if tracked is None:
         return log.where(F.col(op) != "d")
+    ordered = OrderedRows(log, keys, ["valid_from"], max_rows)
+    return _folded(ordered, tracked, op).select(*log.columns)
+
+
+def _folded(ordered: OrderedRows, tracked: Sequence[str], op: str) -> DataFrame:
+    """Keep where the tracked state starts; end each run where the next starts."""
     state = F.struct((F.col(op) == "d").alias("gone"), *tracked)
-    marked = log.withColumn("__state", state)
-    back = ordered_columns(
-        marked, keys, ["valid_from"], {"__before": ("lag", "__state")}, max_rows
-    )
-    starts = back.where(~F.col("__before").eqNullSafe(F.col("__state"))).drop(
-        "__before", "__state", "valid_to"
-    )
-    ahead = ordered_columns(
-        starts, keys, ["valid_from"], {"valid_to": ("lead", "valid_from")}, max_rows
-    )
+    changed = ~F.col("__before").eqNullSafe(F.col("__state"))
     return (
-        ahead.withColumn("is_current", F.col("valid_to").isNull())
+        ordered.change(lambda df: df.withColumn("__state", state))
+        .add({"__before": ("lag", "__state")})
+        .change(lambda df: df.where(changed).drop("__before", "__state", "valid_to"))
+        .add({"valid_to": ("lead", "valid_from")})
+        .rows()
+        .withColumn("is_current", F.col("valid_to").isNull())
         .where(F.col(op) != "d")
-        .select(*log.columns)
     )
 
 
@@ -79,11 +91,15 @@ def scd2(
     keys: Sequence[str],
     version: Sequence[str] = ("ts_event", "source_pos"),
     tracked: Sequence[str] | None = None,
+    op: str = "op",
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """History of a change log: valid_from, valid_to, is_current per version."""
-    log = history_log(changes, keys, version, max_rows)
-    return history_view(log, keys, tracked, max_rows=max_rows)
+    ordered = _versions(changes, keys, version, max_rows)
+    view = ordered.rows().where(F.col(op) != "d") if tracked is None else _folded(
+        ordered, tracked, op
+    )
+    return view.select(*changes.columns, *INTERVAL)
 
 
 def scd2_merge(

@@ -160,7 +160,8 @@ def backfill(
     begin = start if isinstance(start, Column) else F.lit(start)
     stop = end if isinstance(end, Column) else F.lit(end)
     ts = F.col(version[0])
-    return merge_current(state, shadow.where((ts >= begin) & (ts < stop)), keys, version, small_rows)
+    wanted = shadow.where((ts >= begin) & (ts < stop))
+    return merge_current(state, wanted, keys, version, small_rows)
 
 
 def fence(

@@ -9,7 +9,7 @@ carries values across the cuts. Results equal those of the plain window.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -23,6 +23,7 @@ MAX_GROUP_ROWS = 5_000_000
 MAX_HOT_GROUPS = 20_000
 
 KINDS = ("lag", "lead", "running_max", "row_number")
+Spec = Mapping[str, tuple[str, str | None]]
 _PIECE = "__piece"
 
 
@@ -30,7 +31,7 @@ def ordered_columns(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    spec: Mapping[str, tuple[str, str | None]],
+    spec: Spec,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add one column per spec entry {name: (kind, source column)}.
@@ -38,21 +39,77 @@ def ordered_columns(
     keys may be empty (one global order). The order is ascending and should be
     total; rows that tie on it may come out either way round.
     """
-    for name, (kind, _) in spec.items():
-        if kind not in KINDS:
-            raise ValueError(f"{name}: unknown kind {kind!r}")
-    hot, pieces = _hot_groups(df, keys, max_rows)
-    if not pieces:
-        return _plain(df, list(keys), order, spec)
-    if not keys:
-        return _cut(df, [], order, spec, pieces)
-    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"__hot_{k}"]) for k in keys])
-    names = hot.columns
-    marked = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on, "left").drop(*names)
-    cold_rows = marked.where(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = marked.where("__hot").drop("__hot")
-    cold = _plain(cold_rows, list(keys), order, spec)
-    return cold.unionByName(_cut(hot_rows, list(keys), order, spec, pieces))
+    return OrderedRows(df, keys, order, max_rows).add(spec).rows()
+
+
+class OrderedRows:
+    """Rows with a fixed grouping and order, to which window columns are added.
+
+    Group sizes are measured once; steps that follow reuse the cuts.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        max_rows: int = MAX_GROUP_ROWS,
+    ) -> None:
+        self.keys, self.order = list(keys), list(order)
+        self._plain: DataFrame | None = df
+        self._pieces: DataFrame | None = None
+        self._written = False
+        hot, pieces = _hot_groups(df, self.keys, max_rows)
+        if pieces:
+            self._split(df, hot, pieces)
+
+    def _split(self, df: DataFrame, hot: DataFrame | None, pieces: int) -> None:
+        large = df
+        self._plain = None
+        if hot is not None:
+            names = hot.columns
+            on = reduce(
+                lambda a, b: a & b, [df[k].eqNullSafe(hot[f"__hot_{k}"]) for k in self.keys]
+            )
+            few = F.broadcast(hot)
+            self._plain = df.join(few, on, "left_anti")
+            large = df.join(few, on, "inner").drop(*names)
+        # The range bounds come from a sample, so the piece number is written
+        # down once; a retried task must not see different cuts.
+        ranged = large.repartitionByRange(pieces, *self.keys, *self.order)
+        self._pieces = materialize(ranged.withColumn(_PIECE, F.spark_partition_id()), "pieces")
+        self._written = True
+
+    def add(self, spec: Spec) -> OrderedRows:
+        """Add window columns {name: (kind, source column)}."""
+        for name, (kind, _) in spec.items():
+            if kind not in KINDS:
+                raise ValueError(f"{name}: unknown kind {kind!r}")
+        if self._plain is not None:
+            self._plain = _window(self._plain, self.keys, self.order, spec)
+        if self._pieces is not None:
+            if not self._written:
+                # Rows are read twice below; a written copy keeps the work linear.
+                self._pieces = materialize(self._pieces, "pieces")
+            self._pieces = _across(self._pieces, self.keys, self.order, spec)
+            self._written = False
+        return self
+
+    def change(self, step: Callable[[DataFrame], DataFrame]) -> OrderedRows:
+        """Filter or extend rows; keys, order and their values must stay."""
+        if self._plain is not None:
+            self._plain = step(self._plain)
+        if self._pieces is not None:
+            self._pieces = step(self._pieces)
+            self._written = False
+        return self
+
+    def rows(self) -> DataFrame:
+        """All rows with the columns added so far."""
+        if self._pieces is None:
+            return self._plain
+        large = self._pieces.drop(_PIECE)
+        return large if self._plain is None else self._plain.unionByName(large)
 
 
 def _hot_groups(
@@ -76,12 +133,7 @@ def _hot_groups(
     return hot, pieces
 
 
-def _plain(
-    df: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str],
-    spec: Mapping[str, tuple[str, str | None]],
-) -> DataFrame:
+def _window(df: DataFrame, part: Sequence[str], order: Sequence[str], spec: Spec) -> DataFrame:
     window = W.partitionBy(*part).orderBy(*order)
     running = window.rowsBetween(W.unboundedPreceding, W.currentRow)
 
@@ -97,22 +149,11 @@ def _plain(
     return df.withColumns({name: column(*what) for name, what in spec.items()})
 
 
-def _cut(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    spec: Mapping[str, tuple[str, str | None]],
-    pieces: int,
-) -> DataFrame:
-    # The range bounds come from a sample, so the piece number is written down
-    # once; a retried task must not see different cuts.
-    ranged = df.repartitionByRange(pieces, *keys, *order)
-    rows = materialize(ranged.withColumn(_PIECE, F.spark_partition_id()), "pieces")
+def _across(rows: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Spec) -> DataFrame:
+    """Window columns inside each piece, completed from the pieces before and after."""
     part = [*keys, _PIECE]
-
     inner = {f"__in_{name}": what for name, what in spec.items()}
-    first_last = {"__first": ("row_number", None)}
-    inside = _plain(rows, part, order, {**inner, **first_last})
+    inside = _window(rows, part, order, {**inner, "__at": ("row_number", None)})
 
     sources = sorted({src for _, src in spec.values() if src is not None})
     highs = sorted({src for kind, src in spec.values() if kind == "running_max"})
@@ -124,7 +165,7 @@ def _cut(
         F.max_by(values, position).alias("__tail"),
         *[F.max(s).alias(f"__max_{s}") for s in highs],
     )
-    # One row per piece, `pieces + groups` rows in all.
+    # One row per group and piece: at most pieces + groups rows in all.
     along = W.partitionBy(*keys).orderBy(_PIECE)
     before = along.rowsBetween(W.unboundedPreceding, -1)
     carried = edges.select(
@@ -143,13 +184,13 @@ def _cut(
     def column(name: str, kind: str, source: str | None) -> Column:
         own = F.col(f"__in_{name}")
         if kind == "lag":
-            return F.when(F.col("__first") == 1, F.col(f"__prev.{source}")).otherwise(own)
+            return F.when(F.col("__at") == 1, F.col(f"__prev.{source}")).otherwise(own)
         if kind == "lead":
-            last = F.col("__first") == F.col("__size")
+            last = F.col("__at") == F.col("__size")
             return F.when(last, F.col(f"__next.{source}")).otherwise(own)
         if kind == "running_max":
             return F.greatest(own, F.col(f"__before_{source}"))
         return own + F.col("__offset")
 
     added = [column(name, *what).alias(name) for name, what in spec.items()]
-    return joined.select(*df.columns, *added)
+    return joined.select(*rows.columns, *added)

@@ -26,7 +26,9 @@ def null_pct(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
     long = counts.select("total_rows", F.inline(pairs))
     pct = F.when(F.col("total_rows") > 0, F.col("null_rows") * 100.0 / F.col("total_rows"))
-    return long.select("column_name", "total_rows", "null_rows", pct.cast("double").alias("null_pct"))
+    return long.withColumn("null_pct", pct.cast("double")).select(
+        "column_name", "total_rows", "null_rows", "null_pct"
+    )
 
 
 def pk_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:

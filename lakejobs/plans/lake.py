@@ -166,13 +166,13 @@ class SilverJob:
         """
         spark = batch.sparkSession
         totals = batch.agg(
-            F.count(F.lit(1)).alias("n"), F.max(self.order[0]).alias("newest")
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct(*self.keys).alias("n_keys"),
+            F.max(self.order[0]).alias("newest"),
         ).first()
         if totals["n"] == 0:
             return
-        merged = merge_into_silver(
-            batch, self.silver_path, batch_id, self.keys, self.order, self.buckets
-        )
+        merge_into_silver(batch, self.silver_path, batch_id, self.keys, self.order, self.buckets)
         is_open = self.gate is None or may_publish(self.gate(batch))
         if is_open:
             self.publish(spark, batch_id)
@@ -183,7 +183,7 @@ class SilverJob:
                 "silver" if is_open else "silver (gate closed)",
                 batch_id,
                 totals["n"],
-                merged.count(),
+                totals["n_keys"],
                 watermark=totals["newest"],
             )
             append_audit(row, self.audit_path)

@@ -657,7 +657,7 @@ def last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle events as JSON lines, some of them damaged at fixed places."""
-    rows = vehicle_events(spark, sf_dir)
+    rows = vehicle_events(spark, sf_dir).repartition("seq")
     line = F.to_json(F.struct(*EVENT_SCHEMA.names))
     n = F.col("seq")
     damaged = (
@@ -676,6 +676,7 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_lines(spark: SparkSession, sf_dir: str) -> str:
     path = new_path(spark, "lines")
+    # Lines are far longer than events; spread them over several files.
     jsonl_sink.write_text(_event_lines(spark, sf_dir).select("value"), path)
     return path
 
@@ -839,7 +840,7 @@ def file_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relayout_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _fragmented(spark, sf_dir), new_path(spark, "relayout")
     return upkeep.relayout(
-        spark.read.parquet(source), target, "ts_event", "hour", ["source_pk"], 4
+        spark.read.parquet(source), target, "ts_event", "day", ["source_pk"], 4
     )
 
 

@@ -7,8 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the jobs rely on; sizes and memory stay with the cluster.
+# Settings the jobs rely on; sizes and memory stay with the cluster. Wide rows
+# compile to methods the JVM will not optimise above 8000 bytes; past that
+# Spark then splits the generated code.
 REQUIRED = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakejobs.functions.keys import with_bucket, with_partitions
 from lakejobs.operators.merge import live, merge_current
@@ -47,27 +47,38 @@ def write_bronze(
     out.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
+_COMMIT = "bucket int, version int"
+
+
 def write_silver(
-    state: DataFrame, path: str, version: int, keys: Sequence[str], buckets: int = 64
+    state: DataFrame,
+    path: str,
+    version: int,
+    keys: Sequence[str],
+    buckets: int = 64,
+    touched: Sequence[int] | None = None,
 ) -> None:
-    """Write the given key buckets as one version of a Silver table.
+    """Write key buckets as one version of a Silver table.
 
-    A version holds only the buckets it touched. It counts once its small
-    commit record is written, and writing the same version again replaces it,
-    so a batch may be replayed.
+    A version holds only the buckets it touched (all of them by default). It
+    counts once its small commit record is written, and writing the same
+    version again replaces it, so a batch may be replayed.
     """
+    spark = state.sparkSession
     out = with_bucket(state, keys, buckets)
     out.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
         f"{path}/data/version={version}"
     )
-    written = state.sparkSession.read.parquet(f"{path}/data/version={version}")
-    commit = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = sorted(touched) if touched is not None else range(buckets)
+    commit = spark.createDataFrame([(b,) for b in listed], "bucket int")
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
 
 
 def silver_versions(spark: SparkSession, path: str, upto: int | None = None) -> dict[int, int]:
     """Newest version of every bucket, at or below `upto` (at most one entry per bucket)."""
-    commits = spark.read.parquet(f"{path}/commits")
+    if path_status(spark, f"{path}/commits") == "absent":
+        return {}
+    commits = spark.read.schema(_COMMIT).parquet(f"{path}/commits")
     if upto is not None:
         commits = commits.where(F.col("version") <= upto)
     newest = commits.groupBy("bucket").agg(F.max("version").alias("version"))
@@ -79,32 +90,27 @@ def read_silver(
     path: str,
     upto: int | None = None,
     only_buckets: Sequence[int] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame | None:
     """State as of a version: the newest copy of every bucket, tombstones included.
 
     None if nothing has been committed. Directory pruning leaves one version
     per bucket to read.
     """
-    if path_status(spark, f"{path}/commits") == "absent":
-        return None
     versions = silver_versions(spark, path, upto)
     if only_buckets is not None:
         versions = {b: v for b, v in versions.items() if b in set(only_buckets)}
-    if not versions:
-        return None
     per_version: dict[int, list[int]] = {}
     for bucket, version in versions.items():
         per_version.setdefault(version, []).append(bucket)
-    parts = [
-        spark.read.option("basePath", f"{path}/data")
-        .parquet(f"{path}/data/version={v}")
-        .where(F.col("bucket").isin(sorted(b)))
-        for v, b in sorted(per_version.items())
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out.drop("version", "bucket")
+    full = T.StructType([*schema, T.StructField("bucket", T.IntegerType())]) if schema else None
+    out = None
+    for version, some in sorted(per_version.items()):
+        reader = spark.read if full is None else spark.read.schema(full)
+        part = reader.parquet(f"{path}/data/version={version}")
+        part = part.where(F.col("bucket").isin(sorted(some))).drop("bucket")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def merge_into_silver(
@@ -114,24 +120,18 @@ def merge_into_silver(
     keys: Sequence[str],
     order: Sequence[str] = ("ts_event", "source_pos"),
     buckets: int = 64,
-) -> DataFrame:
+) -> None:
     """Merge a batch of changes into a Silver table, rewriting touched buckets only.
 
     Reads versions below `version`, so a replay of the batch gives the same
-    result. Returns the merged rows of the touched buckets.
+    result.
     """
     spark = changes.sparkSession
-    touched = [
-        r["bucket"]
-        for r in with_bucket(changes.select(*keys), keys, buckets)
-        .select("bucket")
-        .distinct()
-        .collect()
-    ]
-    before = read_silver(spark, path, version - 1, touched)
-    write_silver(merge_current(before, changes, keys, order), path, version, keys, buckets)
-    after = spark.read.parquet(f"{path}/data/version={version}")
-    return after.drop("bucket")
+    placed = with_bucket(changes.select(*keys), keys, buckets).select("bucket").distinct()
+    touched = [r["bucket"] for r in placed.collect()]
+    before = read_silver(spark, path, version - 1, touched, changes.schema)
+    merged = merge_current(before, changes, keys, order)
+    write_silver(merged, path, version, keys, buckets, touched)
 
 
 def publish_replace(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -72,75 +73,83 @@ def parse_lines(
     bad_reason is null for a line that decodes, else too_long, not_json,
     wrong_type, empty_record or bad_time. The line is parsed as the value of
     an enclosing object, so text after the record is an error too. strict also
-    refuses numbers where text is due and numbers out of range.
+    refuses numbers where text is due, numbers out of range and lines that
+    only look like one value when enclosed.
     """
     wrapper = T.StructType(
         [T.StructField("r", schema), T.StructField("_corrupt", T.StringType())]
     )
     wrapped = F.concat(F.lit('{"r":'), F.col("value"), F.lit("}"))
-    trimmed = F.trim(F.regexp_replace("value", r"[\t\r\n]", " "))
-    parsed = (
-        lines.where(F.length("value") > 0)
-        .withColumn("__p", F.from_json(wrapped, wrapper, _PARSE))
-        .withColumn("record", F.col("__p.r"))
-        .withColumn("__keys", F.json_object_keys("value"))
+    parts = [
+        F.from_json(wrapped, wrapper, _PARSE).alias("__p"),
+        F.json_object_keys("value").alias("record_keys"),
+    ]
+    if strict:
+        # As the only element of a list: a second value or a stray key shows.
+        listed = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+        parts.append(F.try_parse_json(listed).alias("__doc"))
+    # A generator output is computed once per row; as a plain column the parse
+    # would be repeated for every field a later filter looks at.
+    parsed = lines.where(F.length("value") > 0).select(
+        *lines.columns, F.inline(F.array(F.struct(*parts)))
     )
-    shape = trimmed.startswith("{") & trimmed.endswith("}")
-    decoded = F.col("__p._corrupt").isNull()
-    is_object = F.col("__keys").isNotNull()
-    some_value = [F.col(f"record.{n}").isNotNull() for n in schema.names]
-    any_value = some_value[0]
-    for part in some_value[1:]:
-        any_value = any_value | part
     reason = (
         F.when(F.octet_length("value") >= MAX_LINE_BYTES, "too_long")
-        .when(trimmed == "null", "empty_record")
-        .when(~shape | ~is_object, "not_json")
-        .when(~decoded, F.when(_is_document(), "wrong_type").otherwise("not_json"))
-        .when(~any_value, "empty_record")
+        .when(F.col("value").rlike(r"^\s*null\s*$"), "empty_record")
+        .when(~F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$") | F.col("record_keys").isNull(), "not_json")
+        .when(
+            F.col("__p._corrupt").isNotNull(),
+            F.when(F.try_parse_json(wrapped).isNotNull(), "wrong_type").otherwise("not_json"),
+        )
+        .when(~_any_value(schema), "empty_record")
     )
     if "event_ts" in schema.names:
-        time = F.col("record.event_ts")
+        time = F.col("__p.r.event_ts")
         ok = time.rlike(_INSTANT) & F.try_to_timestamp(time).isNotNull()
         reason = reason.when(time.isNotNull() & ~ok, "bad_time")
     if strict:
-        reason = reason.when(~_single_document(), "not_json").when(
-            ~_strict_types(schema), "wrong_type"
+        single = F.col("__doc").isNotNull() & (
+            F.try_variant_get("__doc", "$[1]", "variant").isNull()
         )
-    return (
-        parsed.withColumn("bad_reason", reason)
-        .withColumn("record_keys", F.col("__keys"))
-        .drop("__p", "__keys")
+        reason = reason.when(~single, "not_json")
+        reason = reason.when(~_text_kinds(schema) | _overflow(schema), "wrong_type")
+    return parsed.withColumns({"bad_reason": reason, "record": F.col("__p.r")}).drop(
+        "__p", "__doc"
     )
 
 
-def _is_document() -> Column:
-    """The enclosing object is valid JSON, so only types can be wrong."""
-    wrapped = F.concat(F.lit('{"r":'), F.col("value"), F.lit("}"))
-    return F.try_parse_json(wrapped).isNotNull()
-
-
-def _single_document() -> Column:
-    """Exactly one JSON value on the line, tested as the only array element."""
-    listed = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    second = F.try_variant_get(listed, "$[1]", "variant")
-    return listed.isNotNull() & second.isNull()
+def _any_value(schema: T.StructType) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"__p.r.{n}").isNotNull() for n in schema.names])
 
 
-def _strict_types(schema: T.StructType) -> Column:
-    """Every text field holds JSON text and no number overflowed."""
-    doc = F.try_parse_json("value")
+def _text_kinds(schema: T.StructType) -> Column:
+    """Every text field present holds JSON text (or null)."""
     ok = F.lit(True)
     for field in schema:
         if isinstance(field.dataType, T.StringType):
-            kind = F.schema_of_variant(F.try_variant_get(doc, f"$.{field.name}", "variant"))
-            ok = ok & (kind.isNull() | kind.isin("STRING", "VOID"))
-        elif isinstance(field.dataType, T.DoubleType):
-            number = F.col(f"record.{field.name}")
-            ok = ok & (number.isNull() | (F.abs(number) != F.lit(float("inf"))))
+            item = F.try_variant_get("__doc", f"$[0].{field.name}", "variant")
+            ok = ok & F.coalesce(F.schema_of_variant(item).isin("STRING", "VOID"), F.lit(True))
     return ok
 
 
+def _overflow(schema: T.StructType) -> Column:
+    """Some number is too large for a double, nested ones included."""
+    found = F.lit(False)
+
+    def visit(dtype: T.StructType, prefix: str) -> None:
+        nonlocal found
+        for field in dtype:
+            name = f"{prefix}.{field.name}"
+            if isinstance(field.dataType, T.StructType):
+                visit(field.dataType, name)
+            elif isinstance(field.dataType, T.DoubleType):
+                too_large = F.abs(F.col(name)) == F.lit(float("inf"))
+                found = found | F.coalesce(too_large, F.lit(False))
+
+    visit(schema, "__p.r")
+    return found
+
+
 @dataclass(frozen=True)
 class Decoded:
     """Events that decoded and the lines that did not."""
