@@ -94,25 +94,26 @@ def apply_policy(
     """
     if policy == "off":
         return df, None
-    checked = validate(df, rules, keys)
     if policy == "quarantine":
+        checked = validate(df, rules, keys)
         good = checked.where("is_valid").drop(*VERDICT_COLUMNS)
         return good, checked.where("NOT is_valid")
     if policy == "fail":
-        text = F.when(
-            F.size("missing") > 0,
-            F.concat(F.lit("Missing fields: "), F.concat_ws(", ", "missing")),
-        ).otherwise(
-            F.concat(
-                F.lit("Field "),
-                F.col("first_error.field"),
-                F.lit(" failed validation: value="),
-                F.coalesce("first_error.value", F.lit("null")),
-                F.lit(", expected="),
-                F.col("first_error.expected"),
-            )
-        )
-        stop = F.raise_error(text).cast("boolean")
-        guard = F.when(F.col("is_valid"), F.lit(True)).otherwise(stop)
-        return checked.where(guard).drop(*VERDICT_COLUMNS), None
+        problem = _first_problem(rules, F.col(keys) if keys else None)
+        stop = F.raise_error(problem).cast("boolean")
+        return df.where(F.when(problem.isNull(), F.lit(True)).otherwise(stop)), None
     raise ValueError(f"unknown policy {policy!r}")
+
+
+def _first_problem(rules: Sequence[Rule], keys: Column | None) -> Column:
+    """What is wrong with a record first, as text; null when nothing is."""
+    missing = F.concat_ws(", ", missing_fields(rules, keys))
+    texts = [F.when(missing != "", F.concat(F.lit("Missing fields: "), missing))]
+    for r in rules:
+        if r.severity == "error":
+            shown = F.coalesce(F.col(r.field).cast("string"), F.lit("null"))
+            text = F.format_string(
+                f"Field {r.field} failed validation: value=%s, expected={r.expected}", shown
+            )
+            texts.append(F.when(~r.passes(), text))
+    return F.coalesce(*texts)

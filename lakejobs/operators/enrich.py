@@ -17,13 +17,12 @@ def enrich(events: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> Dat
     """
     out = events
     for dim, left, right in dims:
-        side = broadcast_if_small(dim.withColumn(f"matched_{right}", F.lit(True)))
-        out = out.join(side, out[left] == side[right], "left")
-        if left != right:
-            out = out.drop(side[right])
-        out = out.withColumn(
-            f"matched_{right}", F.coalesce(F.col(f"matched_{right}"), F.lit(False))
+        flag = f"matched_{right}"
+        side = broadcast_if_small(
+            dim.withColumnRenamed(right, "__key").withColumn(flag, F.lit(True))
         )
+        joined = out.join(side, out[left] == side["__key"], "left").drop("__key")
+        out = joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
     return out
 
 

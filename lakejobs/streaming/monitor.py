@@ -1,11 +1,12 @@
-"""Batch durations of running streams."""
+"""Batch durations and totals of a stream, from the progress it reports."""
 
 from __future__ import annotations
 
-from collections import deque
 from dataclasses import dataclass
 
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
+
+from lakejobs.operators.audit import RunStats
 
 SLOW_MS = 1000
 
@@ -25,35 +26,27 @@ def is_slow(duration_ms: int, threshold_ms: int = SLOW_MS) -> bool:
     return duration_ms > threshold_ms
 
 
-class BatchTimer(StreamingQueryListener):
-    """Keeps run totals and the most recent batch timings."""
-
-    def __init__(self, threshold_ms: int = SLOW_MS, keep: int = 1000) -> None:
-        self.threshold_ms = threshold_ms
-        self.recent: deque[BatchTiming] = deque(maxlen=keep)
-        self.batches = 0
-        self.events = 0
-        self.errors = 0
-        self.first_error: str | None = None
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        duration = progress.batchDuration
-        if progress.numInputRows:
-            self.batches += 1
-            self.events += progress.numInputRows
-            slow = is_slow(duration, self.threshold_ms)
-            self.recent.append(
-                BatchTiming(progress.batchId, progress.numInputRows, duration, slow)
-            )
-
-    def onQueryTerminated(self, event) -> None:
-        if event.exception:
-            self.errors += 1
-            self.first_error = self.first_error or event.exception
+def batch_timings(query: StreamingQuery, threshold_ms: int = SLOW_MS) -> list[BatchTiming]:
+    """Recent batches that had input, oldest first.
+
+    Spark keeps spark.sql.streaming.numRecentProgressUpdates of them (100).
+    """
+    return [
+        BatchTiming(
+            p.batchId, p.numInputRows, p.batchDuration, is_slow(p.batchDuration, threshold_ms)
+        )
+        for p in query.recentProgress
+        if p.numInputRows
+    ]
+
+
+def stream_stats(query: StreamingQuery) -> RunStats:
+    """Rows and batches of the recent progress, and the error that ended the query."""
+    batches = batch_timings(query)
+    error = query.exception()
+    return RunStats(
+        sum(b.rows for b in batches),
+        len(batches),
+        int(error is not None),
+        None if error is None else str(error),
+    )
