@@ -162,8 +162,17 @@ class SilverJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; publish the marts only if the gate is open.
 
-        Safe to run again for the same batch. Usable with foreachBatch.
+        Safe to run again for the same batch. Usable with foreachBatch. The
+        batch is kept while it is read several times, and read again from its
+        source where an executor is lost.
         """
+        batch.persist()
+        try:
+            self._run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         totals = batch.agg(
             F.count(F.lit(1)).alias("n"),

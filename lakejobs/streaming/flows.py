@@ -112,8 +112,12 @@ def silver_stream(
     """Merge a change stream into Silver; a replayed batch rewrites its own version."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            merge_into_silver(batch, silver_path, batch_id, keys, order, buckets)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                merge_into_silver(batch, silver_path, batch_id, keys, order, buckets)
+        finally:
+            batch.unpersist()
 
     return batch_stream(stream, merge, checkpoint, every)
 

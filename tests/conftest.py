@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,9 @@ from lakejobs.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, "tests")
+    # Tables saved by tests go to a folder of this run.
+    warehouse = tempfile.mkdtemp(prefix="warehouse-")
+    return local_session(8, "tests", **{"spark.sql.warehouse.dir": warehouse})
 
 
 def rows(df, *order):

@@ -74,14 +74,13 @@ def test_merge_properties(spark, small):
             assert rows(merge.merge_current(state, second, ["source_pk"], small_rows=small)) == whole
 
 
-def test_small_changes_do_not_shuffle_the_state(spark):
+def test_small_changes_do_not_shuffle_the_state(spark, tmp_path):
     state = merge.merge_current(None, log(spark), ["source_pk"])
-    state.write.mode("overwrite").saveAsTable("merge_state")
-    stored = spark.table("merge_state")
+    state.write.parquet(str(tmp_path / "state"))
+    stored = spark.read.parquet(str(tmp_path / "state"))
     out = merge.merge_current(stored, log(spark, 5, 9), ["source_pk"], small_rows=100)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    spark.sql("DROP TABLE merge_state")
 
 
 def test_late_update_does_not_revive_a_deleted_key(spark):
