@@ -134,7 +134,7 @@ PROFILES = {"contract": CONTRACT_RULES, "documented": DOCUMENTED_RULES}
 def example_row(spark: SparkSession) -> DataFrame:
     """The example record as one raw row."""
     text = spark.createDataFrame([(json.dumps(EXAMPLE),)], "value string")
-    return text.select(F.from_json("value", RAW_SCHEMA).alias("r")).select("r.*")
+    return text.select(F.inline(F.array(F.from_json("value", RAW_SCHEMA))))
 
 
 def _zero(dtype: T.DataType) -> Column:

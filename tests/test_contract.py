@@ -23,10 +23,8 @@ from lakejobs.operators.contract import (
 
 def raw(spark, *records):
     text = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, v string")
-    parsed = text.select(
-        "i", F.from_json("v", RAW_SCHEMA).alias("r"), F.json_object_keys("v").alias("keys")
-    )
-    return parsed.select("i", "r.*", "keys")
+    record = F.inline(F.array(F.from_json("v", RAW_SCHEMA)))
+    return text.select("i", F.json_object_keys("v").alias("keys"), record)
 
 
 def verdicts(spark, records, rules=CONTRACT_RULES):
