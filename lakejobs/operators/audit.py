@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from lakejobs.operators.dedup import dedup_latest
+
 AUDIT_SCHEMA = """
     source string, stage string, batch_id bigint, writer_id string,
     input_rows bigint, output_rows bigint, error_rows bigint, duration_ms bigint,
@@ -51,11 +53,19 @@ def audit_row(
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 
+RUN = ("source", "stage", "batch_id", "writer_id")
+
+
 def append_audit(row: DataFrame, path: str) -> None:
-    """Append to the audit table."""
+    """Append to the audit table; read it with `read_audit`."""
     row.coalesce(1).write.mode("append").parquet(path)
 
 
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run: of a batch that was replayed, the row recorded last."""
+    return dedup_latest(spark.read.schema(AUDIT_SCHEMA).parquet(path), RUN, ["recorded_at"])
+
+
 def ops_metrics(audit: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Per source: runs, rows, errors, error rate, rows per second, slow runs and lag."""
     now = as_of if as_of is not None else F.max("recorded_at")

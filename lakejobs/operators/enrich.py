@@ -6,21 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakejobs.operators.sizing import broadcast_if_small
-
 
 def enrich(events: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Left join each (dimension, event column, dimension key) in turn.
 
-    Adds matched_<dimension key> per join. Dimension keys are unique. A
-    dimension is broadcast only when its measured size allows.
+    Adds matched_<dimension key> per join. Dimension keys are unique.
     """
     out = events
     for dim, left, right in dims:
         flag = f"matched_{right}"
-        side = broadcast_if_small(
-            dim.withColumnRenamed(right, "__key").withColumn(flag, F.lit(True))
-        )
+        side = dim.withColumnRenamed(right, "__key").withColumn(flag, F.lit(True))
         joined = out.join(side, out[left] == side["__key"], "left").drop("__key")
         out = joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
     return out

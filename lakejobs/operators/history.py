@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakejobs.functions.keys import has_unsortable, orderable
 from lakejobs.operators.ordered import MAX_GROUP_ROWS, OrderedRows
-from lakejobs.operators.sizing import broadcast_if_small
 
 INTERVAL = ("valid_from", "valid_to", "is_current")
 
@@ -119,7 +118,7 @@ def scd2_merge(
         F.min(ts).alias("__since")
     )
     on = reduce(lambda a, b: a & b, [log[k].eqNullSafe(since[f"__k_{k}"]) for k in keys])
-    placed = log.join(broadcast_if_small(since), on, "left")
+    placed = log.join(since, on, "left")
     reopened = F.col("__since").isNotNull() & (
         F.col("valid_to").isNull() | (F.col("valid_to") > F.col("__since"))
     )

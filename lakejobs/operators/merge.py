@@ -14,14 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakejobs.functions.keys import has_unsortable
+from lakejobs.operators.contract import align, schema_changes
 from lakejobs.operators.dedup import dedup_latest
-from lakejobs.operators.sizing import (
-    BROADCAST_ROWS,
-    broadcast_if_small,
-    drop_matching,
-    fits,
-    keep_matching,
-)
+from lakejobs.operators.sizing import drop_matching
 
 VERSION = ("ts_event", "source_pos")
 
@@ -36,26 +31,15 @@ def merge_current(
     changes: DataFrame,
     keys: Sequence[str],
     version: Sequence[str] = VERSION,
-    small_rows: int = 0,
 ) -> DataFrame:
     """State after applying changes: the latest version per key wins.
 
-    With small_rows > 0 the changed keys are counted, and if there are at most
-    that many they are broadcast: untouched state rows then pass through
-    without a shuffle. Otherwise state and changes meet in one shuffle.
+    State and changes are each read once and meet in one shuffle, before which
+    every map task keeps one row per key. Read the state pruned to the touched
+    buckets (see sinks.lake) to leave the rest alone.
     """
     if current is None:
         return dedup_latest(changes, keys, version)
-    if small_rows > 0:
-        newest = dedup_latest(changes, keys, version)
-        touched_keys = newest.select(*keys)
-        if fits(touched_keys, small_rows):
-            marked = F.broadcast(touched_keys)
-            untouched = drop_matching(current, marked, keys)
-            touched = keep_matching(current, marked, keys)
-            return untouched.unionByName(
-                dedup_latest(touched.unionByName(newest), keys, version)
-            )
     return dedup_latest(current.unionByName(changes), keys, version)
 
 
@@ -68,6 +52,32 @@ def read_since(
     return fresh, (last if newest is None else newest)
 
 
+def read_since_by(
+    df: DataFrame, part: Sequence[str], cursor: Sequence[str], last: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows past the last cursor of their own partition, and the cursors to store next.
+
+    Cursors are a table with one row per source partition; a slow or new
+    partition is read from its own place. cursor is one or more columns that
+    order the rows of a partition; rows that tie on the first are told apart by
+    the others, so name enough of them.
+    """
+    place = F.struct(*cursor)
+    fresh = df
+    if last is not None:
+        marks = last.select(
+            *[F.col(p).alias(f"__p_{p}") for p in part], F.struct(*cursor).alias("__mark")
+        )
+        on = reduce(lambda a, b: a & b, [df[p].eqNullSafe(marks[f"__p_{p}"]) for p in part])
+        past = F.col("__mark").isNull() | (place > F.col("__mark"))
+        fresh = df.join(marks, on, "left").where(past).select(*df.columns)
+    known = df if last is None else fresh.select(*part, *cursor).unionByName(
+        last.select(*part, *cursor)
+    )
+    upto = known.groupBy(*part).agg(F.max(place).alias("__mark")).select(*part, "__mark.*")
+    return fresh, upto
+
+
 def merge_incremental(
     bronze: DataFrame,
     state: DataFrame | None,
@@ -75,7 +85,6 @@ def merge_incremental(
     since: object | None,
     cursor: str = "source_pos",
     version: Sequence[str] = VERSION,
-    small_rows: int = BROADCAST_ROWS,
 ) -> tuple[DataFrame, object | None]:
     """Merge only what arrived after `since`; returns (state, next since).
 
@@ -85,7 +94,7 @@ def merge_incremental(
     if upto is not None:
         # Rows landing while the job runs belong to the next call.
         fresh = fresh.where(F.col(cursor) <= F.lit(upto))
-    return merge_current(state, fresh, keys, version, small_rows), upto
+    return merge_current(state, fresh, keys, version), upto
 
 
 def merge_into_table(table: str, changes: DataFrame, keys: Sequence[str], version=VERSION) -> None:
@@ -139,7 +148,7 @@ def _same(a: Column, b: Column, df: DataFrame, values: Sequence[str]) -> Column:
 
 def apply_deletes(current: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of current whose key is not in deletes."""
-    return drop_matching(current, broadcast_if_small(deletes.select(*keys).distinct()), keys)
+    return drop_matching(current, deletes.select(*keys), keys)
 
 
 def backfill(
@@ -149,19 +158,24 @@ def backfill(
     start: Column | datetime,
     end: Column | datetime,
     version: Sequence[str] = VERSION,
-    small_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Merge the range [start, end) of a shadow Bronze table into the state.
 
-    The shadow must hold the state's columns; see operators.contract.align.
+    The shadow must hold the state's columns, in types that fit without loss;
+    see operators.contract.align.
     """
-    if state is not None and set(shadow.columns) != set(state.columns):
-        raise ValueError(f"shadow differs in columns {set(shadow.columns) ^ set(state.columns)}")
+    if state is not None:
+        lossy = [
+            c for c in schema_changes(shadow.schema, state.schema) if c[1] not in ("widened",)
+        ]
+        if lossy:
+            raise ValueError(f"shadow differs in columns {lossy}")
+        shadow = align(shadow, state.schema)
     begin = start if isinstance(start, Column) else F.lit(start)
     stop = end if isinstance(end, Column) else F.lit(end)
     ts = F.col(version[0])
     wanted = shadow.where((ts >= begin) & (ts < stop))
-    return merge_current(state, wanted, keys, version, small_rows)
+    return merge_current(state, wanted, keys, version)
 
 
 def fence(
@@ -172,29 +186,44 @@ def fence(
 ) -> DataFrame:
     """Drop rows another writer wrote inside a range owned by one writer.
 
-    fences has writer_id, from_ts, to_ts; a range is [from_ts, to_ts). A row
-    stays if no range covers it, or a range of its own writer does. Ranges are
-    spread over the days they touch, so the join has an equality on the day
-    whatever the number of fences.
+    fences has writer_id, from_ts, to_ts; a range is [from_ts, to_ts), and a
+    null end means it is open there. A row stays if no range covers it, or a
+    range of its own writer does. Ranges are listed by the days they touch, one
+    row per day, so each row meets at most one list and is read once.
     """
-    day = F.to_date(F.col(ts))
-    rows = df.withColumn("__day", day)
-    days = fences.select(
-        F.col("writer_id").alias("__owner"),
-        F.col("from_ts").alias("__from"),
-        F.col("to_ts").alias("__to"),
-        F.explode(F.sequence(F.to_date("from_ts"), F.to_date("to_ts"))).alias("__fday"),
-    ).where(F.col("__from") < F.col("__to"))
-    days = broadcast_if_small(days)
-    covered = (
-        (F.col("__day") == F.col("__fday"))
-        & (F.col(ts) >= F.col("__from"))
-        & (F.col(ts) < F.col("__to"))
+    seen = df.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).first()
+    if seen["low"] is None:
+        return df
+    low, high = F.lit(seen["low"]), F.lit(seen["high"])
+    owned = F.struct(
+        F.col("writer_id").alias("owner"), F.col("from_ts").alias("a"), F.col("to_ts").alias("b")
+    )
+    first = F.to_date(F.greatest(F.coalesce("from_ts", low), low))
+    last = F.to_date(F.least(F.coalesce("to_ts", high), high))
+    days = (
+        fences.where(F.coalesce(F.col("from_ts") < F.col("to_ts"), F.lit(True)))
+        .select(owned.alias("f"), first.alias("first"), last.alias("last"))
+        .where("first <= last")
+        .select("f", F.explode(F.sequence("first", "last")).alias("__fday"))
+        .groupBy("__fday")
+        .agg(F.collect_list("f").alias("__fences"))
+    )
+    time = F.col(ts)
+
+    def covers(f: Column) -> Column:
+        return (f["a"].isNull() | (time >= f["a"])) & (f["b"].isNull() | (time < f["b"]))
+
+    covering = F.filter("__fences", covers)
+    stays = (
+        F.col("__fences").isNull()
+        | (F.size(covering) == 0)
+        | F.exists(covering, lambda f: f["owner"].eqNullSafe(F.col(writer)))
+    )
+    return (
+        df.join(days, F.to_date(time) == F.col("__fday"), "left")
+        .where(stays)
+        .select(*df.columns)
     )
-    mine = covered & F.col(writer).eqNullSafe(F.col("__owner"))
-    own = rows.join(days, mine, "left_semi")
-    other = rows.join(days, mine, "left_anti").join(days, covered, "left_anti")
-    return own.unionByName(other).drop("__day")
 
 
 def rebuild(bronze: DataFrame, keys: Sequence[str], version: Sequence[str] = VERSION) -> DataFrame:

@@ -18,9 +18,6 @@ from lakejobs.session import materialize
 
 # Above this many rows a group is cut into pieces of about this size.
 MAX_GROUP_ROWS = 5_000_000
-# At most this many groups are cut; each further group then holds less than
-# 1/20,000 of all rows, which one task can sort.
-MAX_HOT_GROUPS = 20_000
 
 KINDS = ("lag", "lead", "running_max", "row_number")
 Spec = Mapping[str, tuple[str, str | None]]
@@ -71,9 +68,8 @@ class OrderedRows:
             on = reduce(
                 lambda a, b: a & b, [df[k].eqNullSafe(hot[f"__hot_{k}"]) for k in self.keys]
             )
-            few = F.broadcast(hot)
-            self._plain = df.join(few, on, "left_anti")
-            large = df.join(few, on, "inner").drop(*names)
+            self._plain = df.join(hot, on, "left_anti")
+            large = df.join(hot, on, "inner").drop(*names)
         # The range bounds come from a sample, so the piece number is written
         # down once; a retried task must not see different cuts.
         ranged = large.repartitionByRange(pieces, *self.keys, *self.order)
@@ -117,20 +113,17 @@ def _hot_groups(
 ) -> tuple[DataFrame | None, int]:
     """Groups too large for one task, and into how many pieces to cut them.
 
-    Only keys are read, counted with map-side combine; the list is bounded by
-    MAX_HOT_GROUPS.
+    Only keys are read, counted with map-side combine. A listed group has over
+    max_rows rows, so the list, kept as a table, has less than rows / max_rows.
     """
     if not keys:
         total = df.select(F.lit(1)).count()
         return None, -(-total // max_rows) + 1 if total > max_rows else 0
     named = [F.col(k).alias(f"__hot_{k}") for k in keys]
     counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows)
-    rows = counts.orderBy(F.col("__n").desc()).limit(MAX_HOT_GROUPS).collect()
-    if not rows:
-        return None, 0
-    pieces = sum(-(-r["__n"] // max_rows) + 1 for r in rows)
-    hot = df.sparkSession.createDataFrame(rows, counts.schema).drop("__n")
-    return hot, pieces
+    hot = materialize(counts, "hot")
+    pieces = hot.agg(F.sum(F.ceil(F.col("__n") / F.lit(max_rows)) + 1)).first()[0]
+    return (hot.drop("__n"), int(pieces)) if pieces else (None, 0)
 
 
 def _window(df: DataFrame, part: Sequence[str], order: Sequence[str], spec: Spec) -> DataFrame:
@@ -179,7 +172,7 @@ def _across(rows: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Sp
     on = reduce(
         lambda a, b: a & b, [inside[c].eqNullSafe(carried[f"__e_{c}"]) for c in part]
     )
-    joined = inside.join(F.broadcast(carried), on)
+    joined = inside.join(carried, on)
 
     def column(name: str, kind: str, source: str | None) -> Column:
         own = F.col(f"__in_{name}")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakejobs.functions.geo import cell_distance
 from lakejobs.operators.ordered import MAX_GROUP_ROWS, ordered_columns
-from lakejobs.operators.sizing import broadcast_if_small
 
 
 def null_pct(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -189,7 +188,7 @@ def quality_gate(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
     and max_value (null means unbounded). A threshold without a measurement fails.
     """
     limits = thresholds.select("source", "metric", "min_value", "max_value")
-    joined = limits.join(broadcast_if_small(metrics), ["source", "metric"], "left")
+    joined = limits.join(metrics, ["source", "metric"], "left")
     above = F.col("min_value").isNull() | (F.col("value") >= F.col("min_value"))
     below = F.col("max_value").isNull() | (F.col("value") <= F.col("max_value"))
     known = F.col("value").isNotNull() & ~F.isnan("value")

@@ -1,29 +1,15 @@
-"""Broadcast only what has been measured; join null keys like any other key."""
+"""Joins in which null keys match like any other key.
+
+No side is broadcast by hint: adaptive execution measures the shuffled bytes of
+a side and turns the join into a broadcast when they are below its threshold.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-# Largest row count a side may have to be broadcast.
-BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when df has at most max_rows rows; stops reading soon after."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its measured size allows, else unchanged.
-
-    Beyond the bound the join shuffles on its keys and adaptive execution
-    splits skewed partitions.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
+from pyspark.sql import Column, DataFrame
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition over keys in which null equals null."""

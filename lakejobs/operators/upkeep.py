@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakejobs.functions.keys import with_bucket, with_partitions
-from lakejobs.operators.sizing import broadcast_if_small
+from lakejobs.session import delete_path, listed, materialize
 
 SMALL_FILE_MB = 128
 
@@ -35,34 +36,64 @@ def file_health(
     )
 
 
+def _filed(rows: DataFrame, plan: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of the planned partitions, one shuffle partition per file wanted."""
+    columns = rows.columns
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    placed = rows.withColumn("__place", place)
+    total = plan.agg(F.sum("__files").alias("n")).first()["n"] or 1
+    on = reduce(lambda a, b: a & b, [placed[p].eqNullSafe(plan[f"__{p}"]) for p in parts])
+    spread = placed.join(plan, on).withColumn(
+        "__slot", F.pmod(F.col("__place"), F.col("__files"))
+    )
+    return spread.repartitionByRange(int(total), *parts, "__slot").select(*columns)
+
+
+def _files_wanted(health: DataFrame, parts: Sequence[str], target_mb: float) -> DataFrame:
+    """Per partition of B bytes: ceil(B / target) files, at least one."""
+    size = F.lit(target_mb * 1024 * 1024)
+    want = F.greatest(F.ceil(F.col("total_bytes") / size), F.lit(1).cast("long"))
+    return health.select(
+        *[F.col(p).alias(f"__{p}") for p in parts], want.alias("__files"), "n_files"
+    )
+
+
 def compact(
     spark: SparkSession, path: str, target: str, parts: Sequence[str], target_mb: float = 256
 ) -> DataFrame:
     """Rewrite a table to a new location in files of about target_mb; rows unchanged.
 
-    A partition of B bytes becomes ceil(B / target) files. Rows go to files by
-    their place in the old files, so a partition of identical rows spreads too.
-    Returns row count and fingerprint of both copies (see same_rows).
+    Rows go to files by their place in the old files, so a partition of
+    identical rows spreads too. Returns row count and fingerprint of both copies
+    (see same_rows).
     """
-    health = file_health(spark, path, parts)
-    want = F.greatest(
-        F.ceil(F.col("total_bytes") / F.lit(target_mb * 1024 * 1024)), F.lit(1).cast("long")
-    )
-    plan = health.select(*[F.col(p).alias(f"__{p}") for p in parts], want.alias("__files"))
-    total = plan.agg(F.sum("__files").alias("n")).first()["n"] or 1
-    df = spark.read.parquet(path)
-    columns = df.columns
-    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    rows = df.withColumn("__place", place)
-    on = reduce(lambda a, b: a & b, [rows[p].eqNullSafe(F.col(f"__{p}")) for p in parts])
-    spread = rows.join(broadcast_if_small(plan), on).withColumn(
-        "__slot", F.pmod(F.col("__place"), F.col("__files"))
+    plan = materialize(
+        _files_wanted(file_health(spark, path, parts), parts, target_mb).drop("n_files"), "plan"
     )
-    ordered = spread.repartitionByRange(int(total), *parts, "__slot").select(*columns)
-    ordered.write.mode("overwrite").partitionBy(*parts).parquet(target)
+    filed = _filed(spark.read.parquet(path), plan, parts)
+    filed.write.mode("overwrite").partitionBy(*parts).parquet(target)
     return same_rows(spark.read.parquet(path), spark.read.parquet(target))
 
 
+def compact_partitions(
+    spark: SparkSession, path: str, parts: Sequence[str], target_mb: float = 256
+) -> int:
+    """Rewrite, in place, the partitions with more files than they need; returns their number.
+
+    Other partitions keep their files and are not read. Rewritten ones are
+    swapped when the whole write is done; run it while no job reads the table.
+    """
+    wanted = _files_wanted(file_health(spark, path, parts), parts, target_mb)
+    plan = materialize(wanted.where("n_files > __files").drop("n_files"), "plan")
+    due = plan.count()
+    if due:
+        filed = _filed(spark.read.parquet(path), plan, parts)
+        filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *parts
+        ).parquet(path)
+    return due
+
+
 def relayout(
     df: DataFrame,
     target: str,
@@ -126,3 +157,22 @@ def retain(df: DataFrame, ts: str, days: int, as_of: Column | None = None) -> Da
     first_day = F.date_sub(F.to_date(as_of), int(days))
     day = F.col("event_date") if "event_date" in df.columns else F.to_date(ts)
     return df.where(day > first_day)
+
+
+def retain_partitions(spark: SparkSession, path: str, days: int, as_of: date | None = None) -> int:
+    """Remove the days of a table partitioned by event_date before the last `days`.
+
+    as_of defaults to the newest day there is. Whole directories go; nothing is
+    rewritten. Returns how many.
+    """
+    found = {}
+    for name, _ in listed(spark, path):
+        if name.startswith("event_date=") and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+            found[date.fromisoformat(name.split("=", 1)[1])] = name
+    if not found:
+        return 0
+    limit = (as_of or max(found)) - timedelta(days=days)
+    old = [name for day, name in found.items() if day <= limit]
+    for name in old:
+        delete_path(spark, f"{path}/{name}")
+    return len(old)

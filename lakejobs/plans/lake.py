@@ -7,20 +7,25 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from lakejobs.functions.keys import with_bucket
 from lakejobs.functions.rules import Rule, validate
 from lakejobs.operators.audit import RunStats, append_audit, audit_row
 from lakejobs.operators.batches import DEFAULT_BATCH
 from lakejobs.operators.contract import CONTRACT_RULES, EVENT_FIELDS, typed
 from lakejobs.operators.merge import live, rebuild
 from lakejobs.operators.quality import may_publish
+from lakejobs.operators.sizing import keep_matching
+from lakejobs.session import delete_path, listed, new_path
 from lakejobs.sinks.lake import (
     Handler,
-    merge_into_silver,
-    read_silver,
+    KeyedTable,
+    hot_rows,
+    publish_replace,
+    publish_upsert,
+    read_hot,
     run_handler,
-    write_silver,
 )
-from lakejobs.sources.jsonl import decode, first_bad_line, parse_lines, read_lines
+from lakejobs.sources.jsonl import first_bad_line, parse_lines, read_lines
 
 
 def ingest(
@@ -29,7 +34,7 @@ def ingest(
     handler: Handler,
     batch_size: int = DEFAULT_BATCH,
     on_error: str = "fail",
-    strict: bool = False,
+    strict: bool = True,
 ) -> RunStats:
     """Read a file or folder of event lines and hand the events to a sink.
 
@@ -39,40 +44,44 @@ def ingest(
     """
     if handler is None:
         raise ValueError("an output handler is required")
+    if on_error not in ("fail", "quarantine"):
+        raise ValueError(f"unknown on_error {on_error!r}")
     size = batch_size if batch_size > 0 else DEFAULT_BATCH
     lines = read_lines(spark, path)
-    found = decode(lines, on_error, strict)
-    try:
-        run_handler(typed(found.events).select(*EVENT_FIELDS), handler)
-    except Exception as error:
-        bad = first_bad_line(lines, strict) if on_error == "fail" else None
-        if bad is not None:
-            raise bad from error
-        raise
-    if on_error == "fail":
-        # Every non-empty line was an event, so lines are counted, not parsed.
-        marks = lines.where(F.length("value") > 0).withColumn("reason", F.lit(None).cast("string"))
-    else:
-        marks = parse_lines(lines, strict=strict).withColumnRenamed("bad_reason", "reason")
-    at = F.struct("file", "block_start", "line_seq")
-    per_file = marks.groupBy("file").agg(
-        F.count_if(F.col("reason").isNull()).alias("good"),
-        F.count("reason").alias("bad"),
-        F.min_by("reason", F.when(F.col("reason").isNotNull(), at)).alias("first_bad"),
+    # Every line is parsed once; its verdict goes to the table with it.
+    target = new_path(spark, "ingest")
+    parsed = parse_lines(lines, strict=strict).withColumn(
+        "rejected", F.col("bad_reason").isNotNull()
     )
-    totals = per_file.agg(
-        F.coalesce(F.sum("good"), F.lit(0)).alias("events"),
-        F.coalesce(F.sum(F.ceil(F.col("good") / F.lit(size))), F.lit(0)).alias("batches"),
-        F.coalesce(F.sum("bad"), F.lit(0)).alias("errors"),
-        F.min_by("first_bad", F.when(F.col("bad") > 0, F.col("file"))).alias("first_error"),
-    ).first()
+    judged = parsed.drop("value")
+    judged.write.partitionBy("rejected").parquet(target)
+    try:
+        marks = spark.read.schema(judged.schema).parquet(target)
+        at = F.struct("file", "block_start", "line_seq")
+        per_file = marks.groupBy("file").agg(
+            F.count_if(F.col("bad_reason").isNull()).alias("good"),
+            F.count("bad_reason").alias("bad"),
+            F.min_by("bad_reason", F.when(F.col("rejected"), at)).alias("first_bad"),
+        )
+        totals = per_file.agg(
+            F.coalesce(F.sum("good"), F.lit(0)).alias("events"),
+            F.coalesce(F.sum(F.ceil(F.col("good") / F.lit(size))), F.lit(0)).alias("batches"),
+            F.coalesce(F.sum("bad"), F.lit(0)).alias("errors"),
+            F.min_by("first_bad", F.when(F.col("bad") > 0, F.col("file"))).alias("first_error"),
+        ).first()
+        if on_error == "fail" and totals["errors"]:
+            raise first_bad_line(lines, strict)
+        good = marks.where(~F.col("rejected")).select("record.*", "record_keys")
+        run_handler(typed(good).select(*EVENT_FIELDS), handler)
+    finally:
+        delete_path(spark, target)
     return RunStats(
         totals["events"], int(totals["batches"]), totals["errors"], totals["first_error"]
     )
 
 
 def judged_lines(
-    lines: DataFrame, rules: Sequence[Rule] = CONTRACT_RULES, strict: bool = False
+    lines: DataFrame, rules: Sequence[Rule] = CONTRACT_RULES, strict: bool = True
 ) -> DataFrame:
     """Contract columns plus verdict and reason for every line.
 
@@ -108,7 +117,7 @@ def land(
     path: str,
     target: str,
     rules: Sequence[Rule] = CONTRACT_RULES,
-    strict: bool = False,
+    strict: bool = True,
     mode: str = "append",
 ) -> RunStats:
     """Judge event files and append them to a table split by verdict and day.
@@ -119,14 +128,15 @@ def land(
     judged = judged_lines(read_lines(spark, path), rules, strict)
     seen = Observation()
     bad = F.col("verdict") != "accepted"
-    counted = judged.observe(
+    at = F.struct("file", "block_start", "line_seq")
+    dated = judged.withColumn("event_date", F.to_date("event_ts"))
+    # Observed above the shuffle, so a map stage that runs again counts once.
+    out = dated.hint("rebalance", "verdict", "event_date").observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(bad).alias("errors"),
-        F.first(F.when(bad, F.col("reason")), ignorenulls=True).alias("first_error"),
+        F.min_by(F.when(bad, F.col("reason")), F.when(bad, at)).alias("first_error"),
     )
-    dated = counted.withColumn("event_date", F.to_date("event_ts"))
-    out = dated.hint("rebalance", "verdict", "event_date")
     out.write.mode(mode).partitionBy("verdict", "event_date").parquet(target)
     got = seen.get
     return RunStats(got["rows"] - got["errors"], 1, got["errors"], got["first_error"])
@@ -139,16 +149,33 @@ def landed(spark: SparkSession, target: str, verdict: str = "accepted") -> DataF
 
 @dataclass(frozen=True)
 class Mart:
-    """A hot table: a query over the live Silver rows and where it is published."""
+    """A hot table: a query over the live Silver rows and where it is published.
+
+    With keys, the mart has one row per key and build works row by row: it gets
+    the state rows of the keys a batch has touched, tombstones included, and
+    keeps keys, version and op; only those rows are upserted.
+    """
 
     name: str
     build: Callable[[DataFrame], DataFrame]
     path: str
+    keys: Sequence[str] = ()
+    order: Sequence[str] = ("ts_event", "source_pos")
+
+    def table(self) -> KeyedTable:
+        return KeyedTable(self.path, tuple(self.keys), tuple(self.order))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return hot_rows(spark, self.table()) if self.keys else read_hot(spark, self.path)
 
 
 @dataclass(frozen=True)
 class SilverJob:
-    """One entity: change batches in; Silver, gate, marts and audit out."""
+    """One entity: change batches in; Silver, gate, marts and audit out.
+
+    The gate judges a batch before it is merged. A batch that fails is held
+    aside and reaches neither Silver nor a mart until it is released.
+    """
 
     source: str
     silver_path: str
@@ -158,12 +185,19 @@ class SilverJob:
     gate: Callable[[DataFrame], DataFrame] | None = None
     marts: Sequence[Mart] = field(default_factory=tuple)
     audit_path: str | None = None
+    fold_after: int = 16
+
+    @property
+    def table(self) -> KeyedTable:
+        return KeyedTable(self.silver_path, tuple(self.keys), tuple(self.order), self.buckets)
+
+    def state(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        return self.table.read(spark, upto)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; publish the marts only if the gate is open.
+        """Take one batch; usable with foreachBatch and safe to run again.
 
-        Safe to run again for the same batch. Usable with foreachBatch. The
-        batch is kept while it is read several times, and read again from its
+        The batch is kept while it is read several times, and read again from its
         source where an executor is lost.
         """
         batch.persist()
@@ -174,6 +208,7 @@ class SilverJob:
 
     def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         totals = batch.agg(
             F.count(F.lit(1)).alias("n"),
             F.count_distinct(*self.keys).alias("n_keys"),
@@ -181,35 +216,63 @@ class SilverJob:
         ).first()
         if totals["n"] == 0:
             return
-        merge_into_silver(batch, self.silver_path, batch_id, self.keys, self.order, self.buckets)
-        is_open = self.gate is None or may_publish(self.gate(batch))
-        if is_open:
-            self.publish(spark, batch_id)
+        passed = self.gate is None or may_publish(self.gate(batch))
+        if passed:
+            version = self.table.append(batch, run, batch_id)
+            self.publish(batch, version)
+            self.table.fold(spark, self.fold_after)
+        else:
+            held = f"{self.silver_path}/held/source={run or 'none'}/batch_id={batch_id}"
+            batch.write.mode("overwrite").parquet(held)
         if self.audit_path:
             row = audit_row(
                 spark,
                 self.source,
-                "silver" if is_open else "silver (gate closed)",
+                "silver" if passed else "silver (held)",
                 batch_id,
                 totals["n"],
                 totals["n_keys"],
                 watermark=totals["newest"],
+                writer_id=run,
             )
             append_audit(row, self.audit_path)
 
-    def publish(self, spark: SparkSession, version: int | None = None) -> None:
-        """Build every mart from Silver as of a version and replace it."""
-        state = read_silver(spark, self.silver_path, version)
-        if state is None:
-            return
+    def publish(self, changes: DataFrame, version: int) -> None:
+        """Bring the marts up to a version: keyed ones by the changed keys, others whole."""
+        spark = changes.sparkSession
+        keyed = [m for m in self.marts if m.keys]
+        if keyed:
+            placed = with_bucket(changes.select(*self.keys), self.keys, self.buckets)
+            only = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
+            state = self.table.read(spark, version, only)
+            touched = keep_matching(state, changes, self.keys)
+            for mart in keyed:
+                publish_upsert(mart.table(), mart.build(touched))
         for mart in self.marts:
-            mart.build(live(state)).write.mode("overwrite").parquet(mart.path)
+            if not mart.keys:
+                publish_replace(mart.build(live(self.state(spark, version))), mart.path)
+
+    def held(self, spark: SparkSession) -> list[tuple[str, int]]:
+        """Source and number of every batch that is held."""
+        top = f"{self.silver_path}/held"
+        return [
+            (s.split("=", 1)[1], int(b.split("=", 1)[1]))
+            for s, _ in listed(spark, top)
+            for b, _ in listed(spark, f"{top}/{s}")
+        ]
+
+    def release(self, spark: SparkSession, source: str, batch_id: int) -> None:
+        """Merge and publish a held batch after all."""
+        path = f"{self.silver_path}/held/source={source}/batch_id={batch_id}"
+        batch = spark.read.parquet(path)
+        version = self.table.append(batch, f"released {source}", batch_id)
+        self.publish(batch, version)
+        delete_path(spark, path)
 
-    def rebuild(self, bronze: DataFrame, version: int) -> None:
+    def rebuild(self, bronze: DataFrame) -> None:
         """Silver and marts again from the whole change log, as a new version."""
-        state = rebuild(bronze, self.keys, self.order)
-        write_silver(state, self.silver_path, version, self.keys, self.buckets)
-        self.publish(bronze.sparkSession, version)
+        version = self.table.replace(rebuild(bronze, self.keys, self.order))
+        self.publish(bronze, version)
 
 
 def watermark_of(df: DataFrame, ts: str, delay: str) -> Column | None:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakejobs.functions.geo import geohash
 from lakejobs.functions.keys import last_n_days
 from lakejobs.operators.dedup import dedup_latest
-from lakejobs.operators.sizing import broadcast_if_small
 
 
 def _exact_sum(name: str, scale: int = 2) -> Column:
@@ -69,18 +68,15 @@ def customer_summary(
 ) -> DataFrame:
     """One denormalised row per customer with totals of all orders.
 
-    Orders are reduced per customer first; nation and region are broadcast
-    after their size has been checked.
+    Orders are reduced per customer first.
     """
     totals = orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         _exact_sum("o_totalprice").alias("spent"),
         F.max("o_orderdate").alias("last_order"),
     )
-    places = broadcast_if_small(
-        nation.join(
-            broadcast_if_small(region), F.col("n_regionkey") == F.col("r_regionkey")
-        ).select("n_nationkey", "n_name", "r_name")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", "n_name", "r_name"
     )
     return (
         customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -202,7 +202,11 @@ PROJECTED = f"""WITH {TEL} SELECT event_id, upper(vin) AS vin, trip_id, event_ts
        ax AS accel_m_s2_x, ay AS accel_m_s2_y, az AS accel_m_s2_z
 FROM tel"""
 
-DECODED = f"""WITH {TEL} SELECT event_id, vin, event_ts, engine_rpm, latitude
+DECODED = f"""WITH {TEL} SELECT event_id, vin, trip_id, event_ts, sample_gap_sec, latitude,
+       longitude, altitude_m, geo_hash, speed_kph, heading_deg, odometer_km, engine_rpm,
+       throttle_pct, brake_active, fuel_level_pct, coolant_temp_c, battery_voltage_v,
+       fl AS tire_pressure_kpa_fl, fr AS tire_pressure_kpa_fr, rl AS tire_pressure_kpa_rl,
+       rr AS tire_pressure_kpa_rr, ax AS accel_m_s2_x, ay AS accel_m_s2_y, az AS accel_m_s2_z
 FROM tel WHERE {DAMAGE} = 'decoded'"""
 
 
@@ -340,7 +344,7 @@ def oracle() -> dict[str, str]:
     sides = ", ".join(
         f"""{name} AS (SELECT * FROM ({LATEST.format(source=f'(SELECT * FROM evt WHERE ts_event < {cut})')})
         WHERE op <> 'd')"""
-        for name, cut in (("o", C1), ("n", C2))
+        for name, cut in (("o", C1), ("n", "TIMESTAMP '9999-01-01'"))
     )
     sql["snapshot_diff"] = f"""WITH {EVT}, {sides}
         SELECT CASE WHEN o.source_pk IS NULL THEN 'insert' WHEN n.source_pk IS NULL THEN 'delete'
@@ -426,19 +430,25 @@ def oracle() -> dict[str, str]:
             AS bucket FROM evt WHERE ts_event >= {C1} AND ts_event < {C2}"""
     sql["read_since"] = f"""WITH {EVT} SELECT source_pos, ts_event FROM evt
         WHERE source_pos > (SELECT max(source_pos) FROM evt WHERE ts_event < {C1})"""
+    sql["read_since_by_partition"] = f"""WITH {EVT}, known AS (
+            SELECT event_type, max((ts_event, source_pos)) AS mark FROM evt
+            WHERE ts_event < {C2} - to_days(CAST(length(event_type) AS INTEGER)) GROUP BY 1)
+        SELECT evt.event_type, source_pos, ts_event FROM evt LEFT JOIN known USING (event_type)
+        WHERE mark IS NULL OR (ts_event, source_pos) > mark"""
     sql["silver_versions"] = LIVE
+    sql["silver_restart"] = LIVE
     sql["publish_upsert"] = f"""WITH {EVT} SELECT source_pk, ts_event, source_pos, value
         FROM ({LATEST.format(source='evt')}) WHERE op <> 'd'"""
     sql["retain_days"] = f"""WITH {EVT} SELECT source_pos, ts_event FROM evt
         WHERE CAST(ts_event AS DATE) > (SELECT CAST(max(ts_event) AS DATE) FROM evt) - 7"""
-    total = "(SELECT count(*) FROM events)"
-    sql["compact_files"] = f"""SELECT {total} AS rows_before, {total} AS rows_after, TRUE AS same,
-        count(DISTINCT CAST(ts AS DATE)) AS n_days, TRUE AS one_file_each FROM events"""
+    bucket = """CAST(CAST('0x' || substr(md5(CAST(source_pk AS VARCHAR)), 1, 8) AS BIGINT) % 4
+        AS INTEGER) AS bucket"""
+    sql["compact_files"] = f"""WITH {EVT} SELECT source_pos, ts_event, op, value,
+        strftime(ts_event, '%Y-%m-%d') AS event_date, CAST(1 AS BIGINT) AS n_files FROM evt"""
     sql["file_health"] = """SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n_rows,
-        TRUE AS fragmented, CAST(1 AS DOUBLE) AS small_share FROM events GROUP BY 1"""
-    sql["relayout_table"] = (
-        "SELECT count(*) AS rows_before, count(*) AS rows_after, TRUE AS same FROM events"
-    )
+        count(DISTINCT event_id % 6) AS n_files FROM events GROUP BY 1"""
+    sql["relayout_table"] = f"""WITH {EVT} SELECT source_pk, ts_event, source_pos, op, value,
+        {bucket} FROM evt"""
     sql["run_totals"] = f"""WITH {BAD} SELECT 'events' AS source, 'bronze' AS stage,
         CAST(0 AS BIGINT) AS batch_id, count(*) AS input_rows,
         count(*) FILTER (NOT value < 0) AS output_rows, count(*) FILTER (value < 0) AS error_rows
@@ -454,7 +464,41 @@ def oracle() -> dict[str, str]:
         FROM events GROUP BY 1, 2, 3
         HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
             <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTES"""
+    sql["kpi_stream_open"] = """SELECT date_trunc('hour', ts) AS window_start,
+        date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n_events
+        FROM events GROUP BY 1, 2, 3"""
     sql["silver_stream"] = LIVE
+    sql["stream_totals"] = """SELECT CAST(count(*) AS BIGINT) AS rows_of_batches, count(*) AS n_rows,
+        TRUE AS every_batch, CAST(0 AS BIGINT) AS errors FROM events"""
+    sql["land_stream_files"] = sql["land_files"]
+    sql["split_late_stream"] = f"""WITH {EVT}, w AS (SELECT *, ts_event >= {C2}
+            OR source_pos % 5 = 0 AS second FROM evt)
+        SELECT source_pos, second AND ts_event < (SELECT max(ts_event) FROM w WHERE NOT second)
+            - INTERVAL 15 MINUTES AS late FROM w"""
+    sql["bus_records"] = f"""WITH {EVT} SELECT event_type AS topic,
+        CAST(source_pk % 4 AS INTEGER) AS source_partition, source_pos,
+        CAST(source_pk AS VARCHAR) AS source_pk,
+        CASE WHEN source_pos % 97 = 0 OR source_pos % 89 = 0 OR source_pos % 83 = 0 THEN NULL
+            ELSE k END AS k,
+        CASE WHEN source_pos % 97 = 0 THEN 'tombstone' WHEN source_pos % 89 = 0 THEN 'not_json'
+            WHEN source_pos % 83 = 0 THEN 'wrong_type' END AS reason FROM evt"""
+    sql["contract_diff"] = """WITH c AS (SELECT table_name AS t, CASE WHEN table_name = 'lineitem'
+            THEN CASE column_name WHEN 'l_orderkey' THEN 'o_orderkey' WHEN 'l_quantity'
+            THEN 'o_custkey' ELSE column_name END ELSE column_name END AS field,
+            CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS kind
+        FROM information_schema.columns WHERE table_name IN ('orders', 'lineitem')),
+        a AS (SELECT * FROM c WHERE t = 'orders'), w AS (SELECT * FROM c WHERE t = 'lineitem')
+        SELECT coalesce(a.field, w.field) AS field,
+            CASE WHEN a.field IS NULL THEN 'added' WHEN w.field IS NULL THEN 'removed'
+            ELSE 'narrowed' END AS change,
+            coalesce(a.kind, '') AS actual_type, coalesce(w.kind, '') AS wanted_type
+        FROM a FULL JOIN w ON a.field = w.field WHERE a.kind IS DISTINCT FROM w.kind"""
+    sql["gated_lake_job"] = f"""WITH {EVT}, good AS (SELECT * FROM evt
+            WHERE ts_event < {C1} OR ts_event >= {C2})
+        SELECT source_pk, ts_event, source_pos, value, CAST(3 AS BIGINT) AS runs
+        FROM ({LATEST.format(source='good')}) WHERE op <> 'd'"""
     sql["lake_job"] = f"""WITH {EVT} SELECT event_type, op, count(*) AS n_users
         FROM ({LATEST.format(source='evt')}) WHERE op <> 'd' GROUP BY 1, 2"""
     return sql

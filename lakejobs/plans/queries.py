@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from lakejobs.functions.geo import geohash
 from lakejobs.functions.keys import (
@@ -18,7 +18,7 @@ from lakejobs.functions.keys import (
     with_partitions,
 )
 from lakejobs.functions.rules import Rule, apply_policy, validate
-from lakejobs.operators import audit, history, merge, quality, upkeep
+from lakejobs.operators import audit, contract, history, merge, quality, upkeep
 from lakejobs.operators.batches import batch_summary, with_batches
 from lakejobs.operators.contract import (
     CONTRACT_RULES,
@@ -45,9 +45,16 @@ from lakejobs.plans.tables import (
 from lakejobs.session import new_path, require
 from lakejobs.sinks import jsonl as jsonl_sink
 from lakejobs.sinks import lake as lake_sink
-from lakejobs.sources.jsonl import parse_lines, read_events, read_lines, stream_events
-from lakejobs.sources.tables import read_table, stream_table
+from lakejobs.sources.jsonl import (
+    parse_lines,
+    read_events,
+    read_lines,
+    stream_events,
+    stream_lines,
+)
+from lakejobs.sources.tables import from_bus, read_table, stream_table
 from lakejobs.streaming import flows
+from lakejobs.streaming.monitor import BatchLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -469,11 +476,11 @@ def merge_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_current_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the changed keys counted and broadcast."""
+    """The same over the log without replays."""
     log = change_log(spark, sf_dir)
     state = merge.merge_current(None, _before(log, "ingest_ts", SECOND_CUT), KEYS)
     late = _from(log, "ingest_ts", SECOND_CUT)
-    merged = merge.merge_current(state, late, KEYS, small_rows=100_000)
+    merged = merge.merge_current(state, late, KEYS)
     return merge.live(merged).select(*STATE_COLUMNS)
 
 
@@ -542,7 +549,7 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = change_log(spark, sf_dir).select("source_pk", "ts_event", "source_pos", "op", "value")
     old = merge.live(merge.merge_current(None, _before(log, "ts_event", FIRST_CUT), KEYS))
-    new = merge.live(merge.merge_current(None, _before(log, "ts_event", SECOND_CUT), KEYS))
+    new = merge.live(merge.merge_current(None, log, KEYS))
     diff = merge.snapshot_diff(old.drop("op"), new.drop("op"), KEYS)
     return diff.withColumn("source_pos", F.coalesce("source_pos", F.lit(-1)))
 
@@ -692,10 +699,9 @@ def jsonl_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def jsonl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed events decoded from the damaged lines."""
+    """All fields of the events decoded from the damaged lines."""
     found = read_events(spark, _write_lines(spark, sf_dir), "quarantine", strict=True)
-    events = found.events.select("event_id", "vin", "event_ts", "engine_rpm", "latitude")
-    return _zoneless(events, "event_ts")
+    return _zoneless(flatten(found.events.select(*EVENT_SCHEMA.names)), "event_ts")
 
 
 @query
@@ -769,78 +775,106 @@ def read_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.select("source_pos", "ts_event")
 
 
+@query
+def read_since_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cursor per event type; types fall behind by a day each, and none is skipped."""
+    log = change_log(spark, sf_dir)
+    behind = F.make_dt_interval(days=F.length("event_type"))
+    known = log.where(F.col("ts_event") < F.lit(SECOND_CUT).cast("timestamp_ntz") - behind)
+    cursor = ["ts_event", "source_pos"]
+    _, cursors = merge.read_since_by(known, ["event_type"], cursor, None)
+    fresh, _ = merge.read_since_by(log, ["event_type"], cursor, cursors)
+    return fresh.select("event_type", "source_pos", "ts_event")
+
+
+def _silver(spark: SparkSession) -> lake_sink.KeyedTable:
+    return lake_sink.KeyedTable(new_path(spark, "silver"), KEYS, VERSION, 8)
+
+
 @query
 def silver_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches merged into a bucketed Silver table, one of them replayed."""
+    """Three batches appended to a bucketed Silver table, one replayed, then folded in part."""
     log = change_log(spark, sf_dir)
-    path = new_path(spark, "silver")
+    silver = _silver(spark)
     early = _before(log, "ingest_ts", FIRST_CUT)
     middle = _before(_from(log, "ingest_ts", FIRST_CUT), "ingest_ts", SECOND_CUT)
-    lake_sink.merge_into_silver(early, path, 0, KEYS, VERSION, 8)
-    lake_sink.merge_into_silver(middle, path, 1, KEYS, VERSION, 8)
-    lake_sink.merge_into_silver(middle, path, 1, KEYS, VERSION, 8)
-    lake_sink.merge_into_silver(_from(log, "ingest_ts", SECOND_CUT), path, 2, KEYS, VERSION, 8)
-    return merge.live(lake_sink.read_silver(spark, path)).select(*STATE_COLUMNS)
+    silver.append(early, "log", 0)
+    silver.append(middle, "log", 1)
+    silver.append(middle, "log", 1)
+    silver.fold(spark, 2)
+    silver.append(_from(log, "ingest_ts", SECOND_CUT), "log", 2)
+    return merge.live(silver.read(spark)).select(*STATE_COLUMNS)
+
+
+@query
+def silver_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two checkpoints, so equal batch numbers, over one log; the first lacks a column."""
+    silver = _silver(spark)
+    arrivals = _log_files(spark, sf_dir, 2)
+    for stream in (arrivals.drop("k"), arrivals):
+        flows.silver_stream(
+            stream, silver.path, new_path(spark, "cp"), KEYS, VERSION, 8, fold_after=3
+        ).awaitTermination()
+    return merge.live(silver.read(spark)).select(*STATE_COLUMNS)
 
 
 @query
 def publish_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hot table kept up to date from Silver differences; the upsert runs twice."""
+    """Hot table kept up to date from differences of two states; the upsert runs twice."""
     log = change_log(spark, sf_dir).select("source_pk", "ts_event", "source_pos", "op", "value")
-    old = merge.live(merge.merge_current(None, _before(log, "ts_event", FIRST_CUT), KEYS))
+    old = merge.merge_current(None, _before(log, "ts_event", FIRST_CUT), KEYS)
     new = merge.merge_current(None, log, KEYS)
-    path = new_path(spark, "hot")
-    lake_sink.publish_replace(old.drop("op"), path)
-    hot = spark.read.parquet(path)
-    once = lake_sink.publish_upsert(hot, new, KEYS, VERSION)
-    return lake_sink.publish_upsert(once, new, KEYS, VERSION)
+    hot = lake_sink.KeyedTable(new_path(spark, "hot"), KEYS, VERSION, 8)
+    lake_sink.publish_upsert(hot, old)
+    changed = merge.snapshot_diff(old, new, KEYS).where("change <> 'delete'").drop("change")
+    for _ in range(2):
+        lake_sink.publish_upsert(hot, changed)
+    return lake_sink.hot_rows(spark, hot)
 
 
 @query
 def retain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days before the last seven removed from a stored table."""
     path = new_path(spark, "retained")
     lake_sink.write_bronze(change_log(spark, sf_dir), path)
-    kept = upkeep.retain(spark.read.parquet(path), "ts_event", 7)
-    return kept.select("source_pos", "ts_event")
+    upkeep.retain_partitions(spark, path, 7)
+    return spark.read.parquet(path).select("source_pos", "ts_event")
 
 
 def _fragmented(spark: SparkSession, sf_dir: str) -> str:
-    """Bronze written as by a stream: many small files per day."""
+    """Bronze written as by a stream: six tasks, each with files for all its days."""
     path = new_path(spark, "fragmented")
     log = with_partitions(change_log(spark, sf_dir), "ts_event")
-    log.repartition(6, "source_pos").write.partitionBy("event_date").parquet(path)
+    tasks = log.withColumn("__task", F.col("source_pos") % 6).repartitionByRange(6, "__task")
+    tasks.drop("__task").write.partitionBy("event_date").parquet(path)
     return path
 
 
 @query
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small files rewritten as one per day; rows unchanged."""
-    source, target = _fragmented(spark, sf_dir), new_path(spark, "compacted")
-    check = upkeep.compact(spark, source, target, ["event_date"])
-    after = upkeep.file_health(spark, target, ["event_date"])
-    files = after.agg(
-        F.count(F.lit(1)).alias("n_days"), (F.max("n_files") == 1).alias("one_file_each")
+    """Small files rewritten in place: the rows of the rewritten table, and files per day."""
+    path = _fragmented(spark, sf_dir)
+    upkeep.compact_partitions(spark, path, ["event_date"])
+    files = upkeep.file_health(spark, path, ["event_date"]).select("event_date", "n_files")
+    rows = spark.read.parquet(path).join(files, "event_date")
+    return rows.select(
+        "source_pos", "ts_event", "op", "value", F.col("event_date").cast("string"), "n_files"
     )
-    left = check.select(F.lit(1).alias("one"), "rows_before", "rows_after", "same")
-    return left.join(files.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 @query
 def file_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     health = upkeep.file_health(spark, _fragmented(spark, sf_dir), ["event_date"])
-    return health.select(
-        F.col("event_date").cast("string").alias("event_date"),
-        "n_rows",
-        (F.col("n_files") > 1).alias("fragmented"),
-        "small_share",
-    )
+    return health.select(F.col("event_date").cast("string"), "n_rows", "n_files")
 
 
 @query
 def relayout_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a table after it was rewritten by day and key bucket."""
     source, target = _fragmented(spark, sf_dir), new_path(spark, "relayout")
-    return upkeep.relayout(
-        spark.read.parquet(source), target, "ts_event", "day", ["source_pk"], 4
+    upkeep.relayout(spark.read.parquet(source), target, "ts_event", "day", ["source_pk"], 4)
+    return spark.read.parquet(target).select(
+        "source_pk", "ts_event", "source_pos", "op", "value", "bucket"
     )
 
 
@@ -861,8 +895,9 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = audit.audit_row(
         spark, "events", "bronze", 0, got["events"], got["events"] - got["errors"], got["errors"]
     )
-    audit.append_audit(row, path)
-    return spark.read.parquet(path).select(
+    for _ in range(2):
+        audit.append_audit(row, path)
+    return audit.read_audit(spark, path).select(
         "source", "stage", "batch_id", "input_rows", "output_rows", "error_rows"
     )
 
@@ -893,8 +928,8 @@ def jsonl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_events(spark, _write_lines(spark, sf_dir), strict=True)
     path = new_path(spark, "events")
     flows.append_stream(events, path, new_path(spark, "cp")).awaitTermination()
-    out = spark.read.parquet(path).select("event_id", "vin", "event_ts", "engine_rpm", "latitude")
-    return _zoneless(out, "event_ts")
+    out = spark.read.parquet(path).select(*EVENT_SCHEMA.names)
+    return _zoneless(flatten(out), "event_ts")
 
 
 @query
@@ -940,13 +975,108 @@ def kpi_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(out), "window_start", "window_end")
 
 
+@query
+def kpi_stream_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows per event type, those still open at the end included."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = stream_table(spark, sf_dir, schema, pattern="events.parquet")
+    kpis = flows.kpi_stream(
+        stream, "ts", "1 hour", ["event_type"], [F.count(F.lit(1)).alias("n_events")]
+    )
+    windows = lake_sink.KeyedTable(
+        new_path(spark, "kpis"), ["window_start", "event_type"], ["n_events"], 8
+    )
+    flows.upsert_stream(kpis, windows, new_path(spark, "cp")).awaitTermination()
+    return _zoneless(windows.read(spark), "window_start", "window_end")
+
+
 @query
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "silver")
+    silver = _silver(spark)
     flows.silver_stream(
-        _log_files(spark, sf_dir), path, new_path(spark, "cp"), KEYS, VERSION, 8
+        _log_files(spark, sf_dir), silver.path, new_path(spark, "cp"), KEYS, VERSION, 8
     ).awaitTermination()
-    return merge.live(lake_sink.read_silver(spark, path)).select(*STATE_COLUMNS)
+    return merge.live(silver.read(spark)).select(*STATE_COLUMNS)
+
+
+@query
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and batches of a stream of over a hundred batches, from its listener."""
+    log = BatchLog(spark)
+    spark.streams.addListener(log)
+    try:
+        running = flows.append_stream(
+            _log_files(spark, sf_dir, 120), new_path(spark, "counted"), new_path(spark, "cp")
+        )
+        running.awaitTermination()
+        stats = log.stats(running)
+    finally:
+        spark.streams.removeListener(log)
+    timings = log.timings(running)
+    return timings.agg(
+        F.sum("rows").alias("rows_of_batches"),
+        F.lit(stats.events).cast("long").alias("n_rows"),
+        (F.count(F.lit(1)) == stats.batches).alias("every_batch"),
+        F.lit(stats.errors).cast("long").alias("errors"),
+    )
+
+
+@query
+def land_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines landed by a stream, split by verdict: rows per verdict and reason."""
+    target = new_path(spark, "landed")
+    lines = stream_lines(spark, _write_lines(spark, sf_dir))
+    flows.land_stream(lines, target, new_path(spark, "cp")).awaitTermination()
+    landed = spark.read.parquet(target)
+    return landed.groupBy("verdict", F.coalesce("reason", F.lit("")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@query
+def split_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals; rows of the second that are older than the stored watermark are late."""
+    path, arrivals, checkpoint = (new_path(spark, n) for n in ("late", "arrivals", "cp"))
+    log = change_log(spark, sf_dir).select("source_pos", "ts_event", "source_pk")
+    # The second arrival repeats nothing, but a part of it is from before.
+    second = (F.col("ts_event") >= _lit_ts(SECOND_CUT)) | (F.col("source_pos") % 5 == 0)
+    for arriving in (log.where(~second), log.where(second)):
+        arriving.coalesce(1).write.mode("append").parquet(arrivals)
+        stream = stream_table(spark, arrivals, log.schema)
+        flows.split_late_stream(stream, path, checkpoint).awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.select("source_pos", F.col("late").cast("boolean"))
+
+
+@query
+def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bus-shaped records of the events; damaged and empty ones keep a reason."""
+    n = F.col("event_id")
+    value = (
+        F.when(n % 97 == 0, F.lit(None).cast("string"))
+        .when(n % 89 == 0, F.concat("props", F.lit("x")))
+        .when(n % 83 == 0, F.lit('{"k": "text"}'))
+        .otherwise(F.col("props"))
+    )
+    records = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.col("event_type").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        n.alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+    out = from_bus(records, T.StructType([T.StructField("k", T.IntegerType())]))
+    return out.select("topic", "source_partition", "source_pos", "source_pk", "payload.k", "reason")
+
+
+@query
+def contract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the stored orders and line items differ in columns and types."""
+    wanted = table(spark, sf_dir, "lineitem").withColumnsRenamed(
+        {"l_orderkey": "o_orderkey", "l_quantity": "o_custkey"}
+    )
+    return contract.contract_diff(spark, table(spark, sf_dir, "orders").schema, wanted.schema)
 
 
 @query
@@ -984,4 +1114,32 @@ def lake_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream = stream_table(spark, bronze, spark.read.parquet(bronze).schema)
     flows.batch_stream(stream, job, new_path(spark, "cp")).awaitTermination()
-    return spark.read.parquet(mart.path)
+    return mart.rows(spark)
+
+
+@query
+def gated_lake_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, the middle one bad: none of its rows reaches the mart, before or after."""
+    log = change_log(spark, sf_dir).select("source_pk", "ts_event", "source_pos", "op", "value")
+    middle = _before(_from(log, "ts_event", FIRST_CUT), "ts_event", SECOND_CUT)
+    batches = [
+        _before(log, "ts_event", FIRST_CUT),
+        middle.withColumn("value", F.when(F.col("source_pos") % 2 == 0, F.col("value"))),
+        _from(log, "ts_event", SECOND_CUT),
+    ]
+    mart = lake.Mart("current", lambda state: state, new_path(spark, "hot"), KEYS, VERSION)
+
+    def gate(batch: DataFrame) -> DataFrame:
+        nulls = quality.null_pct(batch, ["value"])
+        return nulls.select((F.col("null_pct") <= 1.0).alias("passed"))
+
+    job = lake.SilverJob(
+        "users", new_path(spark, "silver"), KEYS, VERSION, 8, gate, (mart,),
+        new_path(spark, "audit"),
+    )
+    for number, batch in enumerate(batches):
+        # Every batch is handed over twice, as after a failure.
+        job(batch, number)
+        job(batch, number)
+    runs = audit.read_audit(spark, job.audit_path).count()
+    return mart.rows(spark).withColumn("runs", F.lit(runs).cast("long"))

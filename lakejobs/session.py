@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +79,34 @@ def path_status(spark: SparkSession, path: str) -> str:
     return "directory" if fs.getFileStatus(where).isDirectory() else "file"
 
 
+def listed(spark: SparkSession, path: str) -> list[tuple[str, datetime]]:
+    """Name and last change of everything directly in a folder; nothing if it is absent."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    return [
+        (s.getPath().getName(), datetime.fromtimestamp(s.getModificationTime() / 1000))
+        for s in fs.listStatus(where)
+    ]
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file on whatever file system the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder that these jobs wrote."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write once to the shared folder and read the copy back."""
     path = new_path(df.sparkSession, label)

@@ -1,14 +1,20 @@
-"""Bronze appends, Silver bucket versions and hot table publishing."""
+"""Bronze appends, keyed Silver tables and hot table publishing."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import uuid
+from collections import Counter
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakejobs.functions.keys import with_bucket, with_partitions
-from lakejobs.operators.merge import live, merge_current
-from lakejobs.session import path_status
+from lakejobs.operators.dedup import dedup_latest
+from lakejobs.operators.merge import live
+from lakejobs.session import delete_path, listed, path_status
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -47,96 +53,225 @@ def write_bronze(
     out.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
-_COMMIT = "bucket int, version int"
+@dataclass(frozen=True)
+class Commit:
+    """One finished write of a keyed table."""
 
+    version: int
+    kind: str
+    part: str
+    buckets: frozenset[int]
+    schema: T.StructType
+    source: str
+    batch_id: int | None
+    at: datetime
 
-def write_silver(
-    state: DataFrame,
-    path: str,
-    version: int,
-    keys: Sequence[str],
-    buckets: int = 64,
-    touched: Sequence[int] | None = None,
-) -> None:
-    """Write key buckets as one version of a Silver table.
 
-    A version holds only the buckets it touched (all of them by default). It
-    counts once its small commit record is written, and writing the same
-    version again replaces it, so a batch may be replayed.
-    """
-    spark = state.sparkSession
-    out = with_bucket(state, keys, buckets)
-    out.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-        f"{path}/data/version={version}"
-    )
-    listed = sorted(touched) if touched is not None else range(buckets)
-    commit = spark.createDataFrame([(b,) for b in listed], "bucket int")
-    commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/version={version}")
-
-
-def silver_versions(spark: SparkSession, path: str, upto: int | None = None) -> dict[int, int]:
-    """Newest version of every bucket, at or below `upto` (at most one entry per bucket)."""
-    if path_status(spark, f"{path}/commits") == "absent":
-        return {}
-    commits = spark.read.schema(_COMMIT).parquet(f"{path}/commits")
-    if upto is not None:
-        commits = commits.where(F.col("version") <= upto)
-    newest = commits.groupBy("bucket").agg(F.max("version").alias("version"))
-    return {r["bucket"]: r["version"] for r in newest.collect()}
-
-
-def read_silver(
-    spark: SparkSession,
-    path: str,
-    upto: int | None = None,
-    only_buckets: Sequence[int] | None = None,
-    schema: T.StructType | None = None,
-) -> DataFrame | None:
-    """State as of a version: the newest copy of every bucket, tombstones included.
-
-    None if nothing has been committed. Directory pruning leaves one version
-    per bucket to read.
+_COMMIT = (
+    "version long, kind string, part string, buckets array<int>, schema string, "
+    "source string, batch_id long, at timestamp"
+)
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """Current rows by key, in key buckets: a Silver or hot table.
+
+    A batch is appended as a delta of the buckets it touches; `fold` makes
+    deltas one base again, on a schedule. Every write goes to a directory of its
+    own and counts once its small commit record, written last, names it, so a
+    failed attempt and a running reader never meet. Versions are the table's
+    own numbers. A batch is known by its source and number: appending it again
+    does nothing, and a source that starts over counts as another one. One
+    writer at a time.
     """
-    versions = silver_versions(spark, path, upto)
-    if only_buckets is not None:
-        versions = {b: v for b, v in versions.items() if b in set(only_buckets)}
-    per_version: dict[int, list[int]] = {}
-    for bucket, version in versions.items():
-        per_version.setdefault(version, []).append(bucket)
-    full = T.StructType([*schema, T.StructField("bucket", T.IntegerType())]) if schema else None
-    out = None
-    for version, some in sorted(per_version.items()):
-        reader = spark.read if full is None else spark.read.schema(full)
-        part = reader.parquet(f"{path}/data/version={version}")
-        part = part.where(F.col("bucket").isin(sorted(some))).drop("bucket")
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-def merge_into_silver(
-    changes: DataFrame,
-    path: str,
-    version: int,
-    keys: Sequence[str],
-    order: Sequence[str] = ("ts_event", "source_pos"),
-    buckets: int = 64,
-) -> None:
-    """Merge a batch of changes into a Silver table, rewriting touched buckets only.
 
-    Reads versions below `version`, so a replay of the batch gives the same
-    result.
+    path: str
+    keys: Sequence[str]
+    order: Sequence[str] = ("ts_event", "source_pos")
+    buckets: int = 64
+
+    def commits(self, spark: SparkSession) -> list[Commit]:
+        """All commits, oldest first; `remove_superseded` bounds their number."""
+        if path_status(spark, f"{self.path}/commits") == "absent":
+            return []
+        rows = spark.read.schema(_COMMIT).parquet(f"{self.path}/commits/*").collect()
+        found = [
+            Commit(
+                r["version"], r["kind"], r["part"], frozenset(r["buckets"]),
+                T.StructType.fromJson(json.loads(r["schema"])), r["source"], r["batch_id"], r["at"],
+            )
+            for r in rows
+        ]
+        return sorted(found, key=lambda c: c.version)
+
+    def append(self, changes: DataFrame, source: str = "", batch_id: int | None = None) -> int:
+        """Add a batch of changes; returns the version that holds it."""
+        spark = changes.sparkSession
+        commits = self.commits(spark)
+        for c in commits:
+            if batch_id is not None and (c.source, c.batch_id) == (source, batch_id):
+                return c.version
+        newest = dedup_latest(changes, self.keys, self.order)
+        return self._write(newest, "delta", None, commits, source, batch_id)
+
+    def replace(self, state: DataFrame) -> int:
+        """Make `state`, one row per key, the whole table."""
+        commits = self.commits(state.sparkSession)
+        return self._write(state, "base", range(self.buckets), commits)
+
+    def fold(self, spark: SparkSession, deltas: int = 1) -> int | None:
+        """Rewrite the buckets that have at least so many deltas as a base."""
+        commits = self.commits(spark)
+        parts = self._parts(commits)
+        due = [
+            b for b in range(self.buckets)
+            if sum(b in some and c.kind == "delta" for c, some in parts) >= deltas
+        ]
+        if not due:
+            return None
+        return self._write(self._rows(spark, parts, due), "base", due, commits)
+
+    def read(
+        self, spark: SparkSession, upto: int | None = None, only: Sequence[int] | None = None
+    ) -> DataFrame | None:
+        """Rows as of a version, tombstones included; None if nothing was committed.
+
+        Columns are the union of those of all parts read. Buckets with one part
+        pass through without a shuffle.
+        """
+        commits = [c for c in self.commits(spark) if upto is None or c.version <= upto]
+        return self._rows(spark, self._parts(commits), only) if commits else None
+
+    def remove_superseded(self, spark: SparkSession, age: timedelta) -> list[str]:
+        """Delete directories no reader of the last `age` can need; returns their names.
+
+        These are parts that were replaced before that time, with their commit
+        records, and parts of that age that no commit names.
+        """
+        commits = self.commits(spark)
+        limit = datetime.now() - age
+        old = [c for c in commits if c.at <= limit]
+        if not old:
+            return []
+        needed = {c.part for c, _ in self._parts(old)}
+        gone = [c for c in old if c.part not in needed]
+        for c in gone:
+            delete_path(spark, f"{self.path}/commits/version={c.version}")
+            delete_path(spark, f"{self.path}/data/{c.part}")
+        named = {c.part for c in commits}
+        lost = [
+            name
+            for name, changed in listed(spark, f"{self.path}/data")
+            if name not in named and changed <= limit
+        ]
+        for name in lost:
+            delete_path(spark, f"{self.path}/data/{name}")
+        return sorted([c.part for c in gone] + lost)
+
+    def _parts(self, commits: Sequence[Commit]) -> list[tuple[Commit, set[int]]]:
+        """For each commit that still counts, the buckets for which it does."""
+        open_, out = set(range(self.buckets)), []
+        for c in reversed(commits):
+            some = open_ & c.buckets
+            if some:
+                out.append((c, some))
+            if c.kind == "base":
+                open_ -= c.buckets
+        return out[::-1]
+
+    def _rows(
+        self,
+        spark: SparkSession,
+        parts: Sequence[tuple[Commit, set[int]]],
+        only: Sequence[int] | None = None,
+    ) -> DataFrame:
+        wanted = set(range(self.buckets) if only is None else only)
+        times = Counter(b for _, some in parts for b in some)
+        single = {b for b, n in times.items() if n == 1}
+        alone: DataFrame | None = None
+        several: DataFrame | None = None
+        for c, some in parts:
+            alone = self._and(alone, spark, c, some & wanted & single)
+            several = self._and(several, spark, c, (some & wanted) - single)
+        if several is not None:
+            merged = dedup_latest(several, self.keys, self.order)
+            alone = merged if alone is None else alone.unionByName(merged, allowMissingColumns=True)
+        if alone is None:
+            return self._part(spark, parts[-1][0]).limit(0).drop("bucket")
+        return alone.drop("bucket")
+
+    def _part(self, spark: SparkSession, c: Commit) -> DataFrame:
+        full = T.StructType([*c.schema, T.StructField("bucket", T.IntegerType())])
+        return spark.read.schema(full).parquet(f"{self.path}/data/{c.part}")
+
+    def _and(
+        self, before: DataFrame | None, spark: SparkSession, c: Commit, some: set[int]
+    ) -> DataFrame | None:
+        if not some:
+            return before
+        part = self._part(spark, c).where(F.col("bucket").isin(sorted(some)))
+        return part if before is None else before.unionByName(part, allowMissingColumns=True)
+
+    def _write(
+        self,
+        rows: DataFrame,
+        kind: str,
+        touched: Iterable[int] | None,
+        commits: Sequence[Commit],
+        source: str = "",
+        batch_id: int | None = None,
+    ) -> int:
+        spark = rows.sparkSession
+        part = f"part-{uuid.uuid4().hex}"
+        target = f"{self.path}/data/{part}"
+        placed = with_bucket(rows, self.keys, self.buckets)
+        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
+        if touched is None:
+            written = spark.read.schema("bucket int").parquet(target)
+            touched = [r["bucket"] for r in written.distinct().collect()]
+        version = commits[-1].version + 1 if commits else 0
+        record = (
+            version, kind, part, sorted(touched), rows.schema.json(), source, batch_id,
+            datetime.now(),
+        )
+        out = spark.createDataFrame([record], _COMMIT)
+        out.coalesce(1).write.parquet(f"{self.path}/commits/version={version}")
+        return version
+
+
+def publish_replace(df: DataFrame, path: str, keep: int = 2) -> None:
+    """Create or replace a hot table from a query; read it with `read_hot`.
+
+    Each publication is a directory of its own, visible once complete; the last
+    `keep` stay for readers that are still at work.
     """
-    spark = changes.sparkSession
-    placed = with_bucket(changes.select(*keys), keys, buckets).select("bucket").distinct()
-    touched = [r["bucket"] for r in placed.collect()]
-    before = read_silver(spark, path, version - 1, touched, changes.schema)
-    merged = merge_current(before, changes, keys, order)
-    write_silver(merged, path, version, keys, buckets, touched)
+    spark = df.sparkSession
+    done = published(spark, path)
+    df.write.parquet(f"{path}/publication={(done[-1] + 1) if done else 0}-{uuid.uuid4().hex}")
+    names = sorted((n, name) for n, name in publications(spark, path))
+    for _, name in names[:-keep]:
+        delete_path(spark, f"{path}/{name}")
 
 
-def publish_replace(df: DataFrame, path: str) -> None:
-    """Create or replace a hot table from a query."""
-    df.write.mode("overwrite").parquet(path)
+def publications(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and name of every complete publication."""
+    return [
+        (int(name.split("=")[1].split("-")[0]), name)
+        for name, _ in listed(spark, path)
+        if name.startswith("publication=")
+        and path_status(spark, f"{path}/{name}/_SUCCESS") == "file"
+    ]
+
+
+def published(spark: SparkSession, path: str) -> list[int]:
+    return sorted(n for n, _ in publications(spark, path))
+
+
+def read_hot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete publication."""
+    name = max(publications(spark, path))[1]
+    return spark.read.parquet(f"{path}/{name}")
 
 
 def publish_table(df: DataFrame, table: str) -> None:
@@ -144,22 +279,31 @@ def publish_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
-def publish_upsert(
-    target: DataFrame | None, staged: DataFrame, keys: Sequence[str], version: Sequence[str]
-) -> DataFrame:
-    """Hot table after an upsert on key; staging the same rows again changes nothing.
+def publish_upsert(table: KeyedTable, staged: DataFrame) -> int:
+    """Upsert rows into a hot table; staging the same rows again changes nothing.
 
-    Staged rows may carry op; rows with op 'd' remove their key.
+    Staged rows may carry op; rows with op 'd' remove their key. Only the staged
+    rows are written. Read the table with `hot_rows`.
     """
     if "op" not in staged.columns:
         staged = staged.withColumn("op", F.lit("u"))
-    if target is not None and "op" not in target.columns:
-        target = target.withColumn("op", F.lit("u"))
-    return live(merge_current(target, staged, keys, version)).drop("op")
+    return table.append(staged)
+
+
+def hot_rows(spark: SparkSession, table: KeyedTable) -> DataFrame:
+    """The live rows of a hot table."""
+    return live(table.read(spark)).drop("op")
 
 
 def run_handler(df: DataFrame, handler: Handler) -> None:
-    """Hand a batch job's result to a sink, as a stream would hand a micro-batch."""
+    """Hand a batch job's result to a sink, as a stream would hand a micro-batch.
+
+    A sink with a close() is closed once it has taken everything; after an error
+    it is not.
+    """
     if handler is None:
         raise ValueError("an output handler is required")
     handler(df, 0)
+    close = getattr(handler, "close", None)
+    if close is not None:
+        close()

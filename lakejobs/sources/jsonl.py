@@ -66,7 +66,7 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def parse_lines(
-    lines: DataFrame, schema: T.StructType = RAW_SCHEMA, strict: bool = False
+    lines: DataFrame, schema: T.StructType = RAW_SCHEMA, strict: bool = True
 ) -> DataFrame:
     """Add record (typed struct), record_keys and bad_reason to non-empty lines.
 
@@ -162,7 +162,7 @@ class LineError(ValueError):
     """A line that does not decode, with file and line number."""
 
 
-def decode(lines: DataFrame, on_error: str = "quarantine", strict: bool = False) -> Decoded:
+def decode(lines: DataFrame, on_error: str = "quarantine", strict: bool = True) -> Decoded:
     """Split lines into raw contract rows and rejects.
 
     on_error='fail' makes the events stop the job at a bad line; which line
@@ -181,7 +181,7 @@ def decode(lines: DataFrame, on_error: str = "quarantine", strict: bool = False)
     return Decoded(events, bad.select("value", "bad_reason", *keep))
 
 
-def first_bad_line(lines: DataFrame, strict: bool = False) -> LineError | None:
+def first_bad_line(lines: DataFrame, strict: bool = True) -> LineError | None:
     """The first bad line in file order; its number is a count of lines up to it."""
     at = F.struct("file", "block_start", "line_seq")
     bad = parse_lines(lines, strict=strict).where(F.col("bad_reason").isNotNull())
@@ -199,7 +199,7 @@ def first_bad_line(lines: DataFrame, strict: bool = False) -> LineError | None:
 
 
 def read_events(
-    spark: SparkSession, path: str, on_error: str = "fail", strict: bool = False
+    spark: SparkSession, path: str, on_error: str = "fail", strict: bool = True
 ) -> Decoded:
     """Typed events of a file or folder; the time is an instant in milliseconds."""
     found = decode(read_lines(spark, path), on_error, strict)
@@ -207,7 +207,7 @@ def read_events(
 
 
 def stream_events(
-    spark: SparkSession, path: str, max_files: int | None = None, strict: bool = False
+    spark: SparkSession, path: str, max_files: int | None = None, strict: bool = True
 ) -> DataFrame:
     """Typed events from a landing folder as a stream; bad lines are dropped here.
 

@@ -6,9 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakejobs.operators.merge import read_since
+from lakejobs.operators.merge import read_since, read_since_by
+from lakejobs.sources.jsonl import parse_lines
 
-__all__ = ["read_since", "read_table", "stream_table", "stream_bus"]
+__all__ = [
+    "from_bus", "read_since", "read_since_by", "read_table", "stream_bus", "stream_table",
+]
 
 
 def read_table(
@@ -74,13 +77,32 @@ def stream_bus(
 
 
 def from_bus(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Decode bus records (key, value, topic, partition, offset, timestamp)."""
-    body = F.from_json(F.col("value").cast("string"), schema)
-    return records.select(
+    """Decode bus records (key, value, topic, partition, offset, timestamp).
+
+    Every record comes out, with its envelope. payload is null and reason says
+    why if the value does not decode: 'tombstone' for a null value, else a
+    reason of sources.jsonl.parse_lines; raw_value then has the text.
+    """
+    text = F.col("value").cast("string")
+    lines = records.select(
         F.col("topic"),
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_pos"),
         F.col("timestamp").alias("arrived_at"),
         F.col("key").cast("string").alias("source_pk"),
-        body.alias("payload"),
+        text.isNull().alias("__gone"),
+        # Lines without text would be skipped; here each is a record.
+        F.when(F.length(text) > 0, text).otherwise("null").alias("value"),
+    )
+    parsed = parse_lines(lines, schema)
+    good = F.col("bad_reason").isNull()
+    return parsed.select(
+        "topic",
+        "source_partition",
+        "source_pos",
+        "arrived_at",
+        "source_pk",
+        F.when(good, F.col("record")).alias("payload"),
+        F.when(F.col("__gone"), "tombstone").otherwise(F.col("bad_reason")).alias("reason"),
+        F.when(~good & ~F.col("__gone"), F.col("value")).alias("raw_value"),
     )

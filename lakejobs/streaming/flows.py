@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lakejobs.functions.keys import with_partitions
-from lakejobs.sinks.lake import merge_into_silver
+from lakejobs.functions.rules import Rule
+from lakejobs.operators.contract import CONTRACT_RULES
+from lakejobs.plans.lake import judged_lines
+from lakejobs.session import path_status
+from lakejobs.sinks.lake import KeyedTable
 
 # Vehicle clocks may start up to a quarter of an hour apart.
 DEFAULT_DELAY = "15 minutes"
@@ -67,8 +71,16 @@ def append_stream(
     checkpoint: str,
     parts: Sequence[str] = (),
     every: str | None = None,
+    salts: int = 4,
 ) -> StreamingQuery:
-    """Append a stream to Parquet exactly once; offsets live in the checkpoint."""
+    """Append a stream to Parquet exactly once; offsets live in the checkpoint.
+
+    Rows are gathered by the partition columns first, so a batch writes about
+    `salts` files for each of its partitions, whatever its number of tasks.
+    """
+    if parts:
+        place = F.spark_partition_id() % salts
+        stream = stream.withColumn("__salt", place).repartition(*parts, "__salt").drop("__salt")
     writer = stream.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     if parts:
@@ -100,6 +112,11 @@ def batch_stream(
     return _trigger(writer, every).start()
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that handed over a batch; empty outside of one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def silver_stream(
     stream: DataFrame,
     silver_path: str,
@@ -108,20 +125,101 @@ def silver_stream(
     order: Sequence[str] = ("ts_event", "source_pos"),
     buckets: int = 64,
     every: str | None = None,
+    fold_after: int = 16,
 ) -> StreamingQuery:
-    """Merge a change stream into Silver; a replayed batch rewrites its own version."""
+    """Append a change stream to a Silver table; a replayed batch changes nothing.
+
+    A stream with a new checkpoint is another source, so its batches count again
+    and the merge by version keeps the newest row per key. Buckets are folded
+    once they have `fold_after` deltas.
+    """
+    table = KeyedTable(silver_path, tuple(keys), tuple(order), buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                merge_into_silver(batch, silver_path, batch_id, keys, order, buckets)
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        table.append(batch, query_id(batch), batch_id)
+        table.fold(batch.sparkSession, fold_after)
 
     return batch_stream(stream, merge, checkpoint, every)
 
 
+def land_stream(
+    lines: DataFrame,
+    target: str,
+    checkpoint: str,
+    rules: Sequence[Rule] = CONTRACT_RULES,
+    strict: bool = True,
+    every: str | None = None,
+    salts: int = 4,
+) -> StreamingQuery:
+    """Judge a stream of event lines and land it, split by verdict and day.
+
+    Nothing is lost: lines that do not decode or break a rule land under their
+    verdict with the reason and the text. `lines` comes from
+    sources.jsonl.stream_lines. Read the accepted rows with plans.lake.landed.
+    """
+    judged = judged_lines(lines, rules, strict)
+    dated = judged.withColumn("event_date", F.to_date("event_ts"))
+    return append_stream(dated, target, checkpoint, ["verdict", "event_date"], every, salts)
+
+
+def split_late_stream(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    ts: str = "ts_event",
+    delay: str = DEFAULT_DELAY,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Land a stream split into on-time and late rows, by a watermark that is kept.
+
+    The watermark before a batch is the newest event time of all batches before
+    it, less the delay; it is stored next to the table, one record per batch, so
+    it goes on over batches and restarts. Rows below it land under late=true.
+    """
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = f"{path}/watermarks"
+        mark = None
+        if path_status(spark, seen) != "absent":
+            old = spark.read.schema("newest timestamp, source string, batch_id long").parquet(seen)
+            own = (F.col("source") == query_id(batch)) & (F.col("batch_id") >= batch_id)
+            mark = old.where(~own).agg(F.max("newest")).first()[0]
+        late = F.lit(False)
+        if mark is not None:
+            limit = F.lit(mark) - F.expr(f"INTERVAL {delay}")
+            late = F.coalesce(F.col(ts).cast("timestamp") < limit, F.lit(False))
+        spot = f"source={query_id(batch) or 'none'}/batch_id={batch_id}"
+        seen_now = Observation()
+        newest = F.max(F.col(ts).cast("timestamp")).alias("newest")
+        batch.observe(seen_now, newest).withColumn("late", late).write.mode(
+            "overwrite"
+        ).partitionBy("late").parquet(f"{path}/rows/{spot}")
+        record = spark.createDataFrame([(seen_now.get["newest"],)], "newest timestamp")
+        record.coalesce(1).write.mode("overwrite").parquet(f"{seen}/{spot}")
+
+    return batch_stream(stream, split, checkpoint, every)
+
+
+def upsert_stream(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Keep a keyed table up to date with every change of a stream's result.
+
+    For aggregates: windows still open are in the table as they stand, and the
+    newest value by the table's order wins.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            table.append(batch, query_id(batch), batch_id)
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(upsert)
+    return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
+
+
 def stop_cleanly(query: StreamingQuery, timeout_sec: int = 60) -> bool:
     """Wait for the query to end by itself, then stop it; True if it had ended."""
     ended = query.awaitTermination(timeout_sec)

@@ -117,7 +117,7 @@ def test_documented_profile(spark):
     records = [
         {**EXAMPLE, "altitude_m": None},
         {**EXAMPLE, "heading_deg": 361},
-        {**EXAMPLE, "vin": "1hgcm82633a123456"},
+        {**EXAMPLE, "vin": "wvwzzz1kz8w000417"},
         {**EXAMPLE, "event_id": "x" * 20},
         {**EXAMPLE, "geo_hash": "9q8"},
         {**EXAMPLE, "speed_kph": 300, "engine_rpm": 9000},

@@ -94,8 +94,8 @@ def test_decode_table(spark, tmp_path):
         (line(engine_rpm=5.0), "wrong_type"),
         (line(engine_rpm=True), "wrong_type"),
         (line(throttle_pct="38.5"), "wrong_type"),
-        (good.replace("37.7749", "NaN"), "not_json"),
-        (good.replace("37.7749", "1e999"), "wrong_type"),
+        (good.replace("52.0907", "NaN"), "not_json"),
+        (good.replace("52.0907", "1e999"), "wrong_type"),
         (line(event_ts="2024-03-18T16:07:26+02:00"), None),
         (line(event_ts="2024-03-18 14:07:26"), "bad_time"),
         (line(event_ts="soon"), "bad_time"),

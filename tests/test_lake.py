@@ -34,40 +34,109 @@ def test_bronze_appends_and_prunes_by_day(spark, tmp_path):
     assert found.count() == 2 * 27
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert len([f for f in found.inputFiles()]) > len(
-        {f for f in spark.read.parquet(path).where("event_date = '2024-01-02'").inputFiles()}
-    ) - 1
 
 
-def test_silver_versions_replay_and_touched_buckets(spark, tmp_path):
-    path = str(tmp_path / "silver")
+def table_at(tmp_path, buckets=16):
+    return sink.KeyedTable(str(tmp_path / "silver"), ["source_pk"], buckets=buckets)
+
+
+def test_silver_replay_versions_and_touched_buckets(spark, tmp_path):
+    silver = table_at(tmp_path)
     changes = log(spark)
-    keys = ["source_pk"]
     first, second = changes.where("source_pos < 60"), changes.where("source_pos >= 60")
-    assert sink.read_silver(spark, path) is None
-    sink.merge_into_silver(first, path, 0, keys, buckets=16)
+    assert silver.read(spark) is None
+    assert silver.append(first, "q", 0) == 0
     for _ in range(2):
-        sink.merge_into_silver(second, path, 1, keys, buckets=16)
-        assert rows(sink.read_silver(spark, path)) == latest(changes.collect())
-    assert rows(sink.read_silver(spark, path, upto=0)) == latest(first.collect())
+        assert silver.append(second, "q", 1) == 1
+        assert rows(silver.read(spark)) == latest(changes.collect())
+    assert rows(silver.read(spark, upto=0)) == latest(first.collect())
     one = spark.createDataFrame([("a", at(99), 999, "u", 5)], SCHEMA)
-    sink.merge_into_silver(one, path, 2, keys, buckets=16)
-    versions = sink.silver_versions(spark, path)
-    assert list(versions.values()).count(2) == 1
+    silver.append(one, "q", 2)
+    assert [len(c.buckets) for c in silver.commits(spark)][-1] == 1
     want = latest([*changes.collect(), one.first()])
-    assert rows(sink.read_silver(spark, path)) == want
+    assert rows(silver.read(spark)) == want
+    assert silver.fold(spark, 9) is None
+    silver.fold(spark, 1)
+    assert rows(silver.read(spark)) == want
+    silver.append(spark.createDataFrame([("a", at(1), 1, "u", 1)], SCHEMA), "q", 3)
+    assert rows(silver.read(spark)) == want
+
+
+def test_a_new_checkpoint_counts_its_batches_again(spark, tmp_path):
+    silver = table_at(tmp_path)
+    changes = log(spark)
+    silver.append(changes.where("source_pos < 60"), "first query", 0)
+    silver.append(changes.where("source_pos >= 60"), "second query", 0)
+    assert rows(silver.read(spark)) == latest(changes.collect())
+
+
+def test_a_batch_without_a_column_keeps_it(spark, tmp_path):
+    silver = table_at(tmp_path)
+    wide = log(spark).withColumn("extra", F.lit("kept"))
+    silver.append(wide, "q", 0)
+    one = spark.createDataFrame([("zz", at(99), 999, "u", 5)], SCHEMA)
+    silver.append(one, "q", 1)
+    silver.fold(spark)
+    got = {r["source_pk"]: r["extra"] for r in silver.read(spark).collect()}
+    assert got.pop("zz") is None and set(got.values()) == {"kept"}
+
+
+def test_a_failure_before_the_commit_leaves_no_trace(spark, tmp_path, monkeypatch):
+    silver = table_at(tmp_path)
+    changes = log(spark)
+    silver.append(changes.where("source_pos < 60"), "q", 0)
+    before = rows(silver.read(spark))
+    with monkeypatch.context() as broken:
+        broken.setattr(sink, "datetime", None)
+        with pytest.raises(AttributeError):
+            silver.append(changes, "q", 1)
+    assert rows(silver.read(spark)) == before
+    silver.append(changes, "q", 1)
+    assert rows(silver.read(spark)) == latest(changes.collect())
+    silver.fold(spark)
+    removed = silver.remove_superseded(spark, timedelta(0))
+    assert len(removed) == 3
+    assert rows(silver.read(spark)) == latest(changes.collect())
+    assert silver.remove_superseded(spark, timedelta(days=1)) == []
 
 
 def test_publish_upsert_is_idempotent(spark, tmp_path):
-    version = ["ts_event", "source_pos"]
+    hot = sink.KeyedTable(str(tmp_path / "hot"), ["source_pk"], buckets=4)
     staged = log(spark)
-    once = sink.publish_upsert(None, staged, ["source_pk"], version)
-    twice = sink.publish_upsert(once, staged, ["source_pk"], version)
-    assert rows(once) == rows(twice) and "op" not in once.columns
+    sink.publish_upsert(hot, staged)
+    once = rows(sink.hot_rows(spark, hot))
+    sink.publish_upsert(hot, staged)
+    assert rows(sink.hot_rows(spark, hot)) == once
+    assert "op" not in sink.hot_rows(spark, hot).columns
+
+
+def test_publish_replace_keeps_readers_safe(spark, tmp_path):
     path = str(tmp_path / "hot")
-    sink.publish_replace(once, path)
-    sink.publish_replace(once.limit(1), path)
-    assert spark.read.parquet(path).count() == 1
+    sink.publish_replace(spark.range(5), path)
+    reader = sink.read_hot(spark, path)
+    sink.publish_replace(spark.range(2), path)
+    assert reader.count() == 5 and sink.read_hot(spark, path).count() == 2
+    sink.publish_replace(spark.range(1), path)
+    assert len(sink.publications(spark, path)) == 2
+
+
+def test_handler_is_closed_after_success_only(spark):
+    class Sink:
+        def __init__(self, error):
+            self.error, self.closed = error, False
+
+        def __call__(self, df, batch_id):
+            if self.error:
+                raise RuntimeError("no")
+
+        def close(self):
+            self.closed = True
+
+    good, bad = Sink(False), Sink(True)
+    sink.run_handler(spark.range(1), good)
+    with pytest.raises(RuntimeError):
+        sink.run_handler(spark.range(1), bad)
+    assert good.closed and not bad.closed
 
 
 def test_publish_table(spark):
@@ -116,6 +185,30 @@ def test_relayout(spark, tmp_path):
     assert {"event_date", "event_hour", "bucket"} <= set(spark.read.parquet(target).columns)
 
 
+def test_compaction_in_place_leaves_healthy_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = daily(spark, 72).withColumn("event_date", F.to_date("ts_event"))
+    day = F.col("event_date") == "2024-01-02"
+    df.where(day).repartition(5).write.partitionBy("event_date").parquet(path)
+    df.where(~day).repartition(1).write.mode("append").partitionBy("event_date").parquet(path)
+    before = set(spark.read.parquet(path).inputFiles())
+    assert upkeep.compact_partitions(spark, path, ["event_date"]) == 1
+    after = set(spark.read.parquet(path).inputFiles())
+    assert {f for f in before if "2024-01-02" not in f} < after
+    assert len([f for f in after if "2024-01-02" in f]) == 1
+    assert rows(spark.read.parquet(path).select(*df.columns)) == rows(df)
+    assert upkeep.compact_partitions(spark, path, ["event_date"]) == 0
+
+
+def test_retention_removes_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink.write_bronze(daily(spark), path)
+    want = rows(upkeep.retain(spark.read.parquet(path), "ts_event", 2))
+    assert upkeep.retain_partitions(spark, path, 2) == 2
+    assert rows(spark.read.parquet(path)) == want
+    assert upkeep.retain_partitions(spark, str(tmp_path / "none"), 2) == 0
+
+
 def test_retain_cuts_whole_days(spark, tmp_path):
     path = str(tmp_path / "t")
     sink.write_bronze(daily(spark), path)
@@ -143,32 +236,44 @@ def test_audit_and_observation(spark, tmp_path):
     assert got["rows_per_sec"] == pytest.approx(200 / 2.001)
 
 
-def test_closed_gate_keeps_the_hot_table(spark, tmp_path):
+def test_a_batch_that_fails_the_gate_is_held(spark, tmp_path):
     mart = lake.Mart("n", lambda s: s.agg(F.count(F.lit(1)).alias("n")), str(tmp_path / "hot"))
+    rowwise = lake.Mart("rows", lambda s: s, str(tmp_path / "keyed"), ["source_pk"])
     verdicts = {"open": True}
 
     def gate(batch):
         return spark.createDataFrame([(verdicts["open"],)], "passed boolean")
 
     job = lake.SilverJob(
-        "s", str(tmp_path / "silver"), ["source_pk"], buckets=4, gate=gate, marts=[mart],
-        audit_path=str(tmp_path / "audit"),
+        "s", str(tmp_path / "silver"), ["source_pk"], buckets=4, gate=gate,
+        marts=[mart, rowwise], audit_path=str(tmp_path / "audit"),
     )
-    def change(key, pos):
-        return spark.createDataFrame([(key, at(pos), pos, "c", 1)], SCHEMA)
+
+    def change(key, pos, op="c"):
+        return spark.createDataFrame([(key, at(pos), pos, op, 1)], SCHEMA)
+
+    def published():
+        keys = sorted(r["source_pk"] for r in rowwise.rows(spark).collect())
+        return mart.rows(spark).first()["n"], keys
 
     job(change("a", 1), 0)
     verdicts["open"] = False
     job(change("b", 2), 1)
-    assert spark.read.parquet(mart.path).first()["n"] == 1
-    assert merge.live(sink.read_silver(spark, job.silver_path)).count() == 2
+    assert published() == (1, ["a"])
     verdicts["open"] = True
-    job(change("b", 2), 1)
-    assert spark.read.parquet(mart.path).first()["n"] == 2
-    stages = [r["stage"] for r in spark.read.parquet(job.audit_path).collect()]
-    assert sorted(stages) == ["silver", "silver", "silver (gate closed)"]
-    job.rebuild(change("a", 1).unionByName(change("b", 2)).unionByName(change("c", 3)), 2)
-    assert spark.read.parquet(mart.path).first()["n"] == 3
+    job(change("c", 3), 2)
+    job(change("c", 3), 2)
+    assert published() == (2, ["a", "c"])
+    assert [r["source_pk"] for r in job.state(spark).orderBy("source_pk").collect()] == ["a", "c"]
+    assert job.held(spark) == [("none", 1)]
+    job.release(spark, "none", 1)
+    assert published() == (3, ["a", "b", "c"]) and job.held(spark) == []
+    job(change("a", 4, "d"), 3)
+    assert published() == (2, ["b", "c"])
+    stages = [r["stage"] for r in audit.read_audit(spark, job.audit_path).collect()]
+    assert sorted(stages) == ["silver", "silver", "silver", "silver (held)"]
+    job.rebuild(change("a", 1).unionByName(change("b", 2)))
+    assert mart.rows(spark).first()["n"] == 2
 
 
 def test_bus_records_decode(spark):
@@ -180,6 +285,16 @@ def test_bus_records_decode(spark):
 
     row = from_bus(records, T.StructType([T.StructField("v", T.IntegerType())])).first()
     assert (row["source_pk"], row["source_pos"], row["payload"]["v"]) == ("k", 5, 7)
+    bad = spark.createDataFrame(
+        [(b"k", v, "t", 0, n, T0) for n, v in enumerate([None, b"", b"oops", b'{"v": "x"}', b"null"])],
+        records.schema,
+    )
+    got = from_bus(bad, T.StructType([T.StructField("v", T.IntegerType())])).orderBy("source_pos")
+    out = [(r["reason"], r["payload"]) for r in got.collect()]
+    assert out == [
+        ("tombstone", None), ("empty_record", None), ("not_json", None), ("wrong_type", None),
+        ("empty_record", None),
+    ]
 
 
 def test_trip_summary_and_grid(spark):

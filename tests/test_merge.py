@@ -59,28 +59,46 @@ def test_dedup_limits_rows_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_merge_properties(spark, small):
+def test_merge_properties(spark):
     changes = log(spark)
     whole = latest(changes.collect())
     once = merge.merge_current(None, changes, ["source_pk"])
     assert rows(once) == whole
-    again = merge.merge_current(once, changes, ["source_pk"], small_rows=small)
+    again = merge.merge_current(once, changes, ["source_pk"])
     assert rows(again) == whole
     for seed in (1, 2):
         a, b = split(changes, seed)
         for first, second in ((a, b), (b, a)):
             state = merge.merge_current(None, first, ["source_pk"])
-            assert rows(merge.merge_current(state, second, ["source_pk"], small_rows=small)) == whole
+            assert rows(merge.merge_current(state, second, ["source_pk"])) == whole
 
 
-def test_small_changes_do_not_shuffle_the_state(spark, tmp_path):
-    state = merge.merge_current(None, log(spark), ["source_pk"])
-    state.write.parquet(str(tmp_path / "state"))
-    stored = spark.read.parquet(str(tmp_path / "state"))
-    out = merge.merge_current(stored, log(spark, 5, 9), ["source_pk"], small_rows=100)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+def test_chained_merges_grow_by_one_scan_a_call(spark, tmp_path):
+    log(spark).write.parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    state, since, scans = None, None, []
+    for upto in (20, 50, 80, 200):
+        state, since = merge.merge_incremental(
+            stored.where(F.col("source_pos") < upto), state, ["source_pk"], since
+        )
+        plan = state._jdf.queryExecution().optimizedPlan().toString()
+        scans.append(plan.count("Relation ["))
+    assert scans == [1, 2, 3, 4]
+    assert rows(state) == latest(log(spark).collect())
+
+
+def test_cursor_per_partition(spark):
+    df = spark.createDataFrame(
+        [(0, 100), (0, 101), (1, 5), (None, 7)], "part int, pos int"
+    )
+    first, cursors = merge.read_since_by(df.where("part = 0"), ["part"], ["pos"], None)
+    assert first.count() == 2
+    more = df.unionByName(spark.createDataFrame([(0, 102), (1, 6)], df.schema))
+    fresh, cursors = merge.read_since_by(more, ["part"], ["pos"], cursors)
+    assert rows(fresh) == rows(more.where("pos < 100 OR pos = 102"))
+    assert rows(cursors) == sorted([(0, 102), (1, 6), (None, 7)], key=repr)
+    none, same = merge.read_since_by(more, ["part"], ["pos"], cursors)
+    assert none.count() == 0 and rows(same) == rows(cursors)
 
 
 def test_late_update_does_not_revive_a_deleted_key(spark):
@@ -129,11 +147,13 @@ def test_backfill_equals_rebuild(spark):
     hole = (F.col("ts_event") >= F.lit(at(8))) & (F.col("ts_event") < F.lit(at(16)))
     state = merge.merge_current(None, changes.where(~hole), ["source_pk"])
     whole = rows(merge.rebuild(changes, ["source_pk"]))
-    for small in (0, 1000):
-        fixed = merge.backfill(state, changes, ["source_pk"], at(8), at(16), small_rows=small)
-        assert rows(fixed) == whole
+    fixed = merge.backfill(state, changes, ["source_pk"], at(8), at(16))
+    assert rows(fixed) == whole
     with pytest.raises(ValueError, match="differs"):
         merge.backfill(state, changes.drop("value"), ["source_pk"], at(8), at(16))
+    text = changes.withColumn("value", F.col("value").cast("string"))
+    with pytest.raises(ValueError, match="narrowed"):
+        merge.backfill(state, text, ["source_pk"], at(8), at(16))
 
 
 def test_fence(spark):
@@ -149,6 +169,12 @@ def test_fence(spark):
     want = [(w, at(m)) for m in (0, 3000) for w in ("live", "fix", "other")]
     want += [("fix", at(10)), ("fix", at(1500)), ("live", at(1500)), ("fix", at(2999))]
     assert got == sorted(want, key=repr)
+    open_ended = spark.createDataFrame([("fix", at(1500), None), ("live", None, at(10))], fences.schema)
+    got = rows(merge.fence(df, open_ended))
+    want = [("live", at(0)), ("fix", at(1500)), ("fix", at(2999)), ("fix", at(3000))]
+    want += [(w, at(10)) for w in ("live", "fix", "other")]
+    assert got == sorted(want, key=repr)
+    assert merge.fence(df.limit(0), fences).count() == 0
 
 
 def intervals(data, tracked=False):

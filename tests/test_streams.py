@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from lakejobs.operators import merge
 from lakejobs.operators.contract import EXAMPLE
 from lakejobs.sinks import lake as sink
-from lakejobs.sources.jsonl import stream_events
+from lakejobs.sources.jsonl import stream_events, stream_lines
 from lakejobs.sources.tables import stream_table
 from lakejobs.streaming import flows
-from lakejobs.streaming.monitor import batch_timings, is_slow, stream_stats
+from lakejobs.streaming.monitor import BatchLog, is_slow
 from test_merge import latest, log
 
 T0 = datetime(2024, 1, 1)
@@ -65,8 +65,10 @@ def test_streams_equal_batch(spark, tmp_path):
     flows.silver_stream(
         stream, silver, str(tmp_path / "cp2"), ["source_pk"], buckets=4
     ).awaitTermination()
-    assert rows(sink.read_silver(spark, silver)) == latest(changes.collect())
-    assert merge.live(sink.read_silver(spark, silver)).where("op = 'd'").count() == 0
+    state = sink.KeyedTable(silver, ["source_pk"], buckets=4).read(spark)
+    assert rows(state) == latest(changes.collect())
+    assert state.where("op = 'd'").count() > 0
+    assert merge.live(state).count() == state.where("op <> 'd'").count()
 
 
 def test_json_stream_and_timings(spark, tmp_path):
@@ -76,14 +78,18 @@ def test_json_stream_and_timings(spark, tmp_path):
         good = json.dumps({**EXAMPLE, "event_id": f"{i:016d}"})
         (src / f"f{i}.jsonl").write_text(good + "\n\noops\n")
     out = str(tmp_path / "out")
+    batches = BatchLog(spark, str(tmp_path / "batches"), threshold_ms=0)
+    spark.streams.addListener(batches)
     query = flows.append_stream(
         stream_events(spark, str(src), max_files=1), out, str(tmp_path / "cp")
     )
     query.awaitTermination()
     assert spark.read.parquet(out).count() == 3
-    timings = batch_timings(query, threshold_ms=0)
+    stats = batches.stats(query)
+    spark.streams.removeListener(batches)
+    timings = batches.timings(query).orderBy("batch_id").collect()
     assert [t.batch_id for t in timings] == [0, 1, 2] and all(t.slow for t in timings)
-    assert stream_stats(query).batches == 3 and stream_stats(query).errors == 0
+    assert (stats.batches, stats.errors) == (3, 0)
     assert is_slow(1001) and not is_slow(1000)
 
 
@@ -94,10 +100,24 @@ def test_handler_error_stops_the_stream(spark, tmp_path):
         raise RuntimeError("sink is down")
 
     stream = stream_table(spark, str(tmp_path / "src"), events(spark, [1]).schema)
+    batches = BatchLog(spark, str(tmp_path / "batches"))
+    spark.streams.addListener(batches)
     query = flows.batch_stream(stream, broken, str(tmp_path / "cp"))
     with pytest.raises(Exception, match="sink is down"):
         query.awaitTermination()
-    assert "sink is down" in stream_stats(query).first_error
+    assert "sink is down" in batches.stats(query).first_error
+    spark.streams.removeListener(batches)
+
+
+def test_landing_stream_keeps_rejects(spark, tmp_path):
+    src, out = tmp_path / "landing", str(tmp_path / "out")
+    src.mkdir()
+    good = json.dumps(EXAMPLE)
+    (src / "f.jsonl").write_text(good + "\n\noops\n" + json.dumps({**EXAMPLE, "vin": "x"}) + "\n")
+    flows.land_stream(stream_lines(spark, str(src)), out, str(tmp_path / "cp")).awaitTermination()
+    got = {r["verdict"]: (r["reason"], r["raw_line"]) for r in spark.read.parquet(out).collect()}
+    assert got["accepted"] == (None, None) and got["undecodable"] == ("not_json", "oops")
+    assert got["invalid"][0] == "vin"
 
 
 def test_stop_cleanly(spark, tmp_path):
