@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from lakejobs.functions.keys import orderable
 from lakejobs.session import materialize
 
 # Above this many rows a group is cut into pieces of about this size.
@@ -21,7 +22,7 @@ MAX_GROUP_ROWS = 5_000_000
 
 KINDS = ("lag", "lead", "running_max", "row_number")
 Spec = Mapping[str, tuple[str, str | None]]
-_PIECE = "__piece"
+_PIECE, _TIE = "__piece", "__tie"
 
 
 def ordered_columns(
@@ -33,8 +34,8 @@ def ordered_columns(
 ) -> DataFrame:
     """Add one column per spec entry {name: (kind, source column)}.
 
-    keys may be empty (one global order). The order is ascending and should be
-    total; rows that tie on it may come out either way round.
+    keys may be empty (one global order). The order is ascending; rows that tie
+    on it come in a fixed order of their other columns.
     """
     return OrderedRows(df, keys, order, max_rows).add(spec).rows()
 
@@ -52,7 +53,10 @@ class OrderedRows:
         order: Sequence[str],
         max_rows: int = MAX_GROUP_ROWS,
     ) -> None:
-        self.keys, self.order = list(keys), list(order)
+        # Rows that tie on the order come by a hash of all their columns, so a
+        # plain and a cut group agree; rows equal in all columns are alike.
+        df = df.withColumn(_TIE, F.xxhash64(*[orderable(df, c) for c in df.columns]))
+        self.keys, self.order = list(keys), [*order, _TIE]
         self._plain: DataFrame | None = df
         self._pieces: DataFrame | None = None
         self._written = False
@@ -103,9 +107,10 @@ class OrderedRows:
     def rows(self) -> DataFrame:
         """All rows with the columns added so far."""
         if self._pieces is None:
-            return self._plain
+            return self._plain.drop(_TIE)
         large = self._pieces.drop(_PIECE)
-        return large if self._plain is None else self._plain.unionByName(large)
+        out = large if self._plain is None else self._plain.unionByName(large)
+        return out.drop(_TIE)
 
 
 def _hot_groups(

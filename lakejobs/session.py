@@ -67,7 +67,20 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
-    return f"{shared_root(spark)}/lakejobs/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/lakejobs/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote below the shared folder.
+
+    Call it when all results have been written elsewhere: frames that read
+    scratch copies fail afterwards.
+    """
+    delete_path(spark, _own_folder(spark))
 
 
 def path_status(spark: SparkSession, path: str) -> str:

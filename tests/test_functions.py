@@ -118,3 +118,13 @@ def test_partitions_and_last_days(spark):
     assert last_n_days(df, "ts", 7).count() == 2
     assert last_n_days(df, "ts", 8).count() == 3
     assert last_n_days(df.limit(0), "ts", 8).count() == 0
+
+
+def test_scratch_is_cleared(spark):
+    from lakejobs.session import clear_scratch, materialize, path_status, shared_root
+
+    kept = materialize(spark.range(3), "kept")
+    assert kept.count() == 3
+    clear_scratch(spark)
+    app = spark.sparkContext.applicationId
+    assert path_status(spark, f"{shared_root(spark)}/lakejobs/{app}") == "absent"
