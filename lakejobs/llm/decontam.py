@@ -78,12 +78,17 @@ def plan_of(points: np.ndarray, q: int, rate: float) -> Plan:
 
 
 class Index:
-    """q-grams of one block of items, with all their places."""
+    """q-grams of one block of items, with all their places but the commonest.
+
+    An item may leave out places of its commonest q-grams if its bound goes down
+    by as many: no occurrence within the budget is lost. Half the bound is given
+    up for that.
+    """
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
         self.q = q
         self.ids, self.plans, self.short = [], [], []
-        hashes, owner, place = [], [], []
+        hashes = []
         for item, text in items:
             points = code_points((text or "").strip())
             if len(points) == 0:
@@ -91,14 +96,24 @@ class Index:
             if len(points) < q:
                 self.short.append((item, points))
                 continue
-            h = gram_hashes(points, q)
-            hashes.append(h)
-            owner.append(np.full(len(h), len(self.ids), np.int64))
-            place.append(np.arange(len(h)))
+            hashes.append(gram_hashes(points, q))
             self.ids.append(item)
             self.plans.append(plan_of(points, q, rate))
         if not self.ids:
             return
+        grams, each, times = np.unique(
+            np.concatenate(hashes), return_inverse=True, return_counts=True
+        )
+        owner, place, need, done = [], [], [], 0
+        for k, (h, plan) in enumerate(zip(hashes, self.plans)):
+            common = times[each[done : done + len(h)]]
+            done += len(h)
+            spared = plan.need // 2
+            kept = np.sort(np.argsort(common, kind="stable")[: len(h) - spared])
+            owner.append(np.full(len(kept), k))
+            place.append(kept)
+            hashes[k] = h[kept]
+            need.append(plan.need - spared)
         h, owner, place = map(np.concatenate, (hashes, owner, place))
         order = np.argsort(h, kind="stable")
         h = h[order]
@@ -108,13 +123,8 @@ class Index:
         self.bitmap = np.zeros(1 << BITMAP_BITS, bool)
         self.bitmap[self.slot(self.grams)] = True
         self.edits = np.array([p.edits for p in self.plans])
-        self.need = np.array([p.need for p in self.plans])
-        reach = np.array([len(p.points) + p.edits for p in self.plans])
-        # Any region that reaches its bound holds a stretch of the shortest
-        # reach with at least so many shared q-grams.
-        self.window = int(reach.min())
-        self.dense = int(np.ceil(self.need / np.ceil(reach / self.window)).min())
-        self.longest = int(reach.max())
+        self.need = np.array(need)
+        self.longest = max(len(p.points) + p.edits for p in self.plans)
 
     @staticmethod
     def slot(h: np.ndarray) -> np.ndarray:
@@ -129,45 +139,37 @@ class Index:
         same = self.grams[found] == h[at]
         return at[same], found[same]
 
-    def near_dense(self, at: np.ndarray) -> np.ndarray:
-        """Which of the places lie within reach of a dense stretch."""
-        if len(at) < self.dense:
-            return np.zeros(len(at), bool)
-        k = self.dense
-        starts = np.flatnonzero(at[k - 1 :] - at[: len(at) - k + 1] < self.window)
-        mark = np.zeros(len(at) + 1, np.int64)
-        lo = np.searchsorted(at, at[starts] - self.longest)
-        hi = np.searchsorted(at, at[starts + k - 1] + self.longest, "right")
-        np.add.at(mark, lo, 1)
-        np.add.at(mark, hi, -1)
-        return np.cumsum(mark)[:-1] > 0
-
     def regions(self, c: np.ndarray) -> list[tuple[int, int]]:
-        """(item, lowest diagonal of the band) that reach the bound, in a text of code points."""
+        """(item, lowest diagonal of the band) that reach the bound, in a text of code points.
+
+        A band is two widths of e + 1 diagonals and starts at every width, so
+        any run of e + 1 diagonals lies in one.
+        """
         at, gram = self.known(gram_hashes(c, self.q))
-        keep = self.near_dense(at)
-        at, gram = at[keep], gram[keep]
         if len(at) == 0:
             return []
         times = self.count[gram]
         each = np.repeat(np.arange(len(at)), times)
         nth = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
         post = self.first[gram][each] + nth
-        owner, place = self.owner[post], self.place[post]
-        diagonal = at[each] - place
-        width = self.edits[owner] + 1
-        band = diagonal // width
-        # A band is two widths and starts at every width, so any run of e + 1
-        # diagonals lies in one. Item places count once in a band.
-        owner2 = np.concatenate([owner, owner])
-        band2 = np.concatenate([band, band - 1])
-        place2 = np.concatenate([place, place])
-        rows = np.unique(np.stack([owner2, band2, place2], axis=1), axis=0)
-        change = np.flatnonzero((np.diff(rows[:, :2], axis=0) != 0).any(axis=1)) + 1
-        edge = np.concatenate([[0], change, [len(rows)]])
-        good = np.diff(edge) >= self.need[rows[edge[:-1], 0]]
-        heads = rows[edge[:-1][good]]
-        return [(int(o), int(b * (self.edits[o] + 1))) for o, b, _ in heads]
+        owner = self.owner[post]
+        # Diagonals are counted from the longest item's length, so none is negative.
+        diagonal = at[each] - self.place[post] + self.longest
+        half = diagonal // (self.edits[owner] + 1)
+        span = len(c) + self.longest + 2
+        key = np.sort(owner * span + half)
+        edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        cells, n = key[edge], np.diff(np.append(edge, len(key)))
+        # Two halves next to each other make a band; a half counts in two bands.
+        after = np.where(np.append(cells[1:] == cells[:-1] + 1, False), np.append(n[1:], 0), 0)
+        before = np.append(True, cells[1:] != cells[:-1] + 1)
+        need = self.need[cells // span]
+        full = np.flatnonzero(n + after >= need)
+        alone = np.flatnonzero(before & (n >= need))
+        starts = np.concatenate([cells[full], cells[alone] - 1])
+        o, b = starts // span, starts % span
+        low = b * (self.edits[o] + 1) - self.longest
+        return sorted(set(zip(o.tolist(), low.tolist())))
 
     def search(self, c: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits) of every occurrence within the budget.
@@ -175,17 +177,20 @@ class Index:
         Of overlapping finds of one item the one with the fewest edits is
         reported, then the leftmost; finds of different items may overlap.
         """
-        best: dict[int, list[tuple[int, int, int]]] = {}
+        best: dict[int, set[tuple[int, int, int]]] = {}
         if self.ids:
             for o, low in self.regions(c):
                 plan = self.plans[o]
-                found = align(plan.points, c, low, 2 * (plan.edits + 1), plan.edits)
-                if found:
-                    best.setdefault(o, []).append(found)
+                width = 2 * (plan.edits + 1)
+                finds = [(0, s, s + len(plan.points)) for s in equal(plan.points, c, low, width)]
+                if not finds:
+                    found = align(plan.points, c, low, width, plan.edits)
+                    finds = [found] if found else []
+                best.setdefault(o, set()).update(finds)
         out = []
         for o, finds in best.items():
             taken: list[tuple[int, int]] = []
-            for edits, start, end in sorted(set(finds)):
+            for edits, start, end in sorted(finds):
                 if all(end <= a or start >= b for a, b in taken):
                     taken.append((start, end))
                     out.append((self.ids[o], start, end, edits))
@@ -194,6 +199,14 @@ class Index:
         return sorted(out)
 
 
+def equal(p: np.ndarray, c: np.ndarray, low: int, width: int) -> list[int]:
+    """Starts in [low, low + width) at which c continues as p."""
+    starts = np.arange(max(0, low), max(0, min(low + width, len(c) - len(p) + 1)))
+    for k in (0, len(p) // 2, len(p) - 1):
+        starts = starts[c[starts + k] == p[k]]
+    return [s for s in starts.tolist() if np.array_equal(c[s : s + len(p)], p)]
+
+
 def exact_places(points: np.ndarray, c: np.ndarray) -> list[int]:
     n = len(c) - len(points) + 1
     if n <= 0:
@@ -208,35 +221,37 @@ def align(p: np.ndarray, c: np.ndarray, low: int, width: int, budget: int):
     """Best occurrence of p in c on diagonals around [low, low + width): (edits, start, end).
 
     Row i of the table holds the edits of p[:i] against text that ends on each
-    diagonal; the start travels along. The band is widened by the budget on both
-    sides, so that the path may wander that far. None if the budget is exceeded.
+    diagonal; the start travels along, in the low part of the number. The band is
+    widened by the budget on both sides, so the path may wander that far. Past
+    the ends of the text stand signs that equal nothing. None if the budget is
+    exceeded.
     """
     low -= budget
     width += 2 * budget
-    big = len(p) + len(c) + 1
-    offs = np.arange(width)
-    ends = low + offs
-    inside = (ends >= 0) & (ends <= len(c))
-    # Costs and starts in one number: smaller cost first, then the smaller start.
-    unit = len(c) + width + 2
-    score = np.where(inside, np.clip(ends, 0, len(c)), big * unit).astype(np.int64)
-    for i, ch in enumerate(p.tolist(), 1):
-        ends = ends + 1
-        inside = (ends >= 0) & (ends <= len(c))
-        text = c[np.clip(ends - 1, 0, max(0, len(c) - 1))] if len(c) else np.zeros(width, "u4")
-        step = score + np.where((text == ch) & (ends >= 1) & inside, 0, unit)
-        # An item character left out: from the next higher diagonal of the row above.
-        drop = np.append(score[1:], big * unit) + unit
-        new = np.minimum(step, drop)
-        new = np.where(inside, new, big * unit)
-        # Text characters put in: along the row, one edit each.
-        new = np.minimum.accumulate(new - offs * unit) + offs * unit
-        score = np.where(inside, new, big * unit)
-        if score.min() >= (budget + 1) * unit:
+    reach = np.arange(low, low + len(p) + width)
+    inside = (reach >= 0) & (reach < len(c))
+    text = np.full(len(reach), 0xFFFFFFFF, np.uint32)
+    text[inside] = c[reach[inside]]
+    unit = np.int64(1 << 40)
+    steps = np.arange(width) * unit
+    # Starts are counted from the band's lowest place, so they are not negative.
+    score = np.arange(width, dtype=np.int64)
+    worst = (budget + 1) * unit
+    drop = np.full(width, worst * 4, np.int64)
+    for i, ch in enumerate(p.tolist()):
+        # An item character left out comes from the next higher diagonal above.
+        drop[:-1] = score[1:] + unit
+        score = np.minimum(score + (text[i : i + width] != ch) * unit, drop)
+        # Text characters put in go along the row, one edit each.
+        score = np.minimum.accumulate(score - steps) + steps
+        if i % 16 == 15 and score.min() >= worst:
             return None
     k = int(np.argmin(score))
-    edits, start = divmod(int(score[k]), unit)
-    return (edits, start, int(ends[k])) if edits <= budget else None
+    edits, start = divmod(int(score[k]), int(unit))
+    if edits > budget:
+        return None
+    end = low + len(p) + k
+    return edits, max(0, start + low), min(end, len(c))
 
 
 _indexes: dict[str, Index] = {}
