@@ -107,9 +107,6 @@ ODD = re.compile(
     "[" + "".join(LOOKALIKES) + "".join(INVISIBLE) + "\uff01-\uff5e\u00a0\u2000-\u200a\u202f\u3000"
     "\u00b2\u00b3\u00b9\u2070-\u2089\u0660-\u0669\u06f0-\u06f9\u0966-\u096f\U0001d7ce-\U0001d7ff]"
 )
-SIGN_WORDS = re.compile(
-    r"[(\[{<]\s*(?:at|dot|point|plus)\s*[)\]}>]|\bat\b.{1,80}?\bdot\b", re.I | re.S
-)
 NUMBER_WORDS = re.compile(
     r"\b(?:(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)\b[\s.,-]*){3}", re.I
 )
@@ -171,13 +168,15 @@ SPELLED_RUN = re.compile(
 SPELLED_ONE = re.compile("|".join(sorted(SPELLED, key=len, reverse=True)) + "|[0-9]", re.I)
 SPELLED_PLUS = re.compile(r"(?<![A-Za-z0-9])plus[ \t]+(?=[0-9])", re.I)
 BRACKET_SIGN = re.compile(r"[ \t]*[(\[{<][ \t]*(at|dot|point|plus)[ \t]*[)\]}>][ \t]*", re.I)
-# Top-level domains after which a bare "at" and "dot" make an address.
+# Top-level domains after which a bare "at" makes an address.
 TOP = "com|org|net|edu|gov|mil|int|info|biz|name|io|co|ai|dev|app|me|tv|eu|de|fr|es|it|nl|uk|us|ca|ch"
 BARE_AT = re.compile(
     r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
-    rf"(?=(?:[A-Za-z0-9-]+[ \t]+dot[ \t]+){{1,8}}(?:{TOP})(?![A-Za-z0-9]))",
+    r"(?=(?:[A-Za-z0-9-]+([ \t]+dot[ \t]+|\.)){1,8}"
+    rf"(?:{TOP})(?![A-Za-z0-9]))",
     re.I,
 )
+NAMED = re.compile(r"[0-9._+-]")
 BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 SIGNS = {"at": "@", "dot": ".", "point": ".", "plus": "+"}
 
@@ -189,10 +188,19 @@ def spelled_digits(tape: Tape) -> Tape:
     return rewrite(rewrite(tape, SPELLED_RUN, new), SPELLED_PLUS, lambda m: "+")
 
 
+def bare_at(m: re.Match) -> str | None:
+    """Before a domain with plain stops, only after a word that looks like a mailbox."""
+    if m.group(1) == ".":
+        before = m.string[max(0, m.start() - 64) : m.start()].split()
+        if not before or not NAMED.search(before[-1]):
+            return None
+    return "@"
+
+
 def signs(tape: Tape) -> Tape:
     """Disguised signs of addresses; bare words only where an address can follow."""
     tape = rewrite(tape, BRACKET_SIGN, lambda m: SIGNS[m.group(1).lower()])
-    tape = rewrite(tape, BARE_AT, lambda m: "@")
+    tape = rewrite(tape, BARE_AT, bare_at)
     if "@" not in tape[0]:
         return tape
     return rewrite(tape, BARE_DOT, lambda m: ".")
@@ -201,7 +209,7 @@ def signs(tape: Tape) -> Tape:
 def hidden(text: str) -> list[tuple[str, int, int]]:
     """What the rewritten text shows, as spans of the source."""
     odd = ODD.search(text) is not None
-    if not odd and not SIGN_WORDS.search(text) and not NUMBER_WORDS.search(text):
+    if not odd and not any(x.search(text) for x in (BRACKET_SIGN, BARE_AT, NUMBER_WORDS)):
         return []
     tape: Tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
     if odd:

@@ -503,6 +503,9 @@ def test_base_patterns_on_random_signs():
         ("４１１１ １１１１ １１１１ １１１１", [("card", "４１１１ １１１１ １１１１ １１１１")]),
         ("look at the dot on the map, one two three", []),
         ("he is at home.But no", []),
+        ("look at example.com today", []),
+        ("ouan.84 at mail4.example.com for", [("email", "ouan.84 at mail4.example.com")]),
+        ("joe[at]mail[dot]example[dot]org", [("email", "joe[at]mail[dot]example[dot]org")]),
     ],
 )
 def test_disguises(text, want):

@@ -78,3 +78,24 @@ def test_repeated_and_null_ids(spark):
     got = sorted((r.doc_id or 0, r.start_word, r.end_word) for r in repeated_passages(df).collect())
     assert got == [(0, 0, 60), (5, 0, 60), (6, 0, 60)]
     assert repeated_passages(df.limit(0)).count() == 0
+
+
+def test_query_against_all_passages(spark):
+    """The registered query over a whole given table."""
+    from lakejobs.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    want = brute([(r.doc_id, r.text) for r in docs], 50)
+    have = defaultdict(set)
+    for r in QUERIES["op3_suffix_array_dedup"](spark, sf).collect():
+        have[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert {k: v for k, v in have.items()} == {k: v for k, v in want.items() if v}
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = [q for q in entry.queries() if q[2:3].isdigit()]
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11))
+    assert "pipeline" in entry.queries()
