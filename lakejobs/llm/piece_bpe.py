@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from hashlib import sha256
 from itertools import chain, islice
 
@@ -29,17 +30,9 @@ NONE = np.int64(1) << 62
 #: Segments longer than this use the heap.
 LONG = 48
 #: Segments that a worker remembers.
-REMEMBER = 500_000
+REMEMBER = 300_000
 #: Characters that are cut into segments together.
-CHARS = 3_000_000
-
-ENCODED = T.StructType(
-    [
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
-    ]
-)
-
+CHARS = 1_000_000
 
 def stretches(texts: list[str]) -> Iterator[list[str]]:
     """Runs of texts of about CHARS characters."""
@@ -87,7 +80,7 @@ class PairTable:
 
 
 class PieceCoder:
-    """Encoder and decoder of one model file."""
+    """Encoder and decoder of one model file; what only encoding needs is made at first use."""
 
     def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -96,45 +89,12 @@ class PieceCoder:
         pieces = [lib.id_to_piece(i) for i in range(size)]
         special = [lib.is_control(i) or lib.is_unknown(i) for i in range(size)]
         normal = [not (special[i] or lib.is_byte(i) or lib.is_unused(i)) for i in range(size)]
+        self.size = size
         self.ids = {p: i for i, p in enumerate(pieces) if normal[i]}
         self.bytes = np.zeros(256, np.int64)
         for i, p in enumerate(pieces):
             if lib.is_byte(i):
                 self.bytes[int(p[1:-1], 16)] = i
-        # Characters: their id, or the size plus the code point if there is none.
-        self.size = size
-        self.chars = np.arange(0x110000, dtype=np.int32) + size
-        for p, i in self.ids.items():
-            if len(p) == 1:
-                self.chars[ord(p)] = i
-        order = sorted(self.ids, key=lambda p: -lib.get_score(self.ids[p]))
-        ranks: dict[str, int] = {}
-        last = None
-        for p in order:
-            score = lib.get_score(self.ids[p])
-            if score != last:
-                last = score
-                rank = len(ranks)
-            ranks[p] = rank
-        # Side by side, one number stands for a pair, so pieces must differ in
-        # rank. Runs of word signs do not in some vocabularies; they use the heap.
-        joined = [r for p, r in ranks.items() if len(p) > 1 and SIGN * 2 not in p]
-        self.ranked = len(set(joined)) == len(joined)
-        self.pairs = {}
-        for p, i in self.ids.items():
-            if any(c != SIGN and ord(c) <= 0x10FFFF and self.chars[ord(c)] >= size for c in p):
-                raise ValueError(f"piece {p!r} has a character outside the vocabulary")
-            if SIGN in p.lstrip(SIGN):
-                raise ValueError(f"piece {p!r} has a word sign after another character")
-            for k in range(1, len(p)):
-                if p[:k] in self.ids and p[k:] in self.ids:
-                    self.pairs[self.ids[p[:k]], self.ids[p[k:]]] = (ranks[p], i)
-        self.table = PairTable(self.pairs)
-        # Line ends are cut at only if they are outside the vocabulary.
-        self.cut_lines = self.chars[10] >= size
-        self.segment = re.compile(f"\n|{SIGN}+[^{SIGN}\n]*|[^{SIGN}\n]+" if self.cut_lines
-                                  else f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
-        self.known: dict[str, bytes] = {}
         self.spelled = [
             b"" if lib.is_control(i)
             else " ⁇ ".encode() if lib.is_unknown(i)
@@ -145,6 +105,62 @@ class PieceCoder:
         self.is_byte = [lib.is_byte(i) for i in range(size)]
         self.signed = [normal[i] and p.startswith(SIGN) for i, p in enumerate(pieces)]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
+        self.known: dict[str, bytes] = {}
+
+    @cached_property
+    def chars(self) -> np.ndarray:
+        """Id of each character, or the size plus the code point if there is none."""
+        out = np.arange(0x110000, dtype=np.int32) + self.size
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                out[ord(p)] = i
+        return out
+
+    @cached_property
+    def ranks(self) -> dict[str, int]:
+        """Place of each piece by score; pieces of one score share it."""
+        out: dict[str, int] = {}
+        last, rank = None, 0
+        scores = {p: self.library.get_score(i) for p, i in self.ids.items()}
+        for p in sorted(scores, key=lambda p: -scores[p]):
+            if scores[p] != last:
+                last, rank = scores[p], len(out)
+            out[p] = rank
+        return out
+
+    @cached_property
+    def ranked(self) -> bool:
+        """Whether one number stands for a pair, that is, pieces differ in rank.
+
+        Runs of word signs do not in some vocabularies; they use the heap.
+        """
+        joined = [r for p, r in self.ranks.items() if len(p) > 1 and SIGN * 2 not in p]
+        return len(set(joined)) == len(joined)
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], tuple[int, int]]:
+        """(rank, joined id) of every two pieces that join to a piece."""
+        out = {}
+        for p, i in self.ids.items():
+            if any(c != SIGN and self.chars[ord(c)] >= self.size for c in p):
+                raise ValueError(f"piece {p!r} has a character outside the vocabulary")
+            if SIGN in p.lstrip(SIGN):
+                raise ValueError(f"piece {p!r} has a word sign after another character")
+            for k in range(1, len(p)):
+                if p[:k] in self.ids and p[k:] in self.ids:
+                    out[self.ids[p[:k]], self.ids[p[k:]]] = (self.ranks[p], i)
+        return out
+
+    @cached_property
+    def table(self) -> PairTable:
+        return PairTable(self.pairs)
+
+    @cached_property
+    def segment(self) -> re.Pattern:
+        """Where a text is cut; at line ends only if they are outside the vocabulary."""
+        if self.chars[10] >= self.size:
+            return re.compile(f"\n|{SIGN}+[^{SIGN}\n]*|[^{SIGN}\n]+")
+        return re.compile(f"{SIGN}+[^{SIGN}]*|[^{SIGN}]+")
 
     def segments(self, text: str) -> list[str]:
         if not text:
@@ -334,12 +350,11 @@ def coder_of(model_path: str) -> PieceCoder:
 
 
 def encoder(model_path: str):
-    """Column function: text to (n_tokens, ids as little-endian bytes)."""
+    """Column function: text to ids as little-endian bytes."""
 
-    @F.pandas_udf(ENCODED)
-    def encode(text: pd.Series) -> pd.DataFrame:
-        ids = coder_of(model_path).encode([t or "" for t in text])
-        return pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "ids": ids})
+    @F.pandas_udf(T.BinaryType())
+    def encode(text: pd.Series) -> pd.Series:
+        return pd.Series(coder_of(model_path).encode([t or "" for t in text]), dtype=object)
 
     return encode
 
@@ -356,13 +371,17 @@ def decoder(model_path: str):
 
 
 def digester(model_path: str):
-    """Column function: ids to (sha256 of the ids, sha256 of the text they decode to)."""
+    """Column function: ids to their number, their sha256 and that of the text they decode to.
+
+    On the result of `encoder` it runs in the same Python worker.
+    """
 
-    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(ids: pd.Series) -> pd.DataFrame:
         coder = coder_of(model_path)
         return pd.DataFrame(
             {
+                "n_tokens": [len(x) // 4 for x in ids],
                 "ids_sha256": [sha256(x).hexdigest() for x in ids],
                 "decoded_sha256": [sha256(coder.decode(x).encode()).hexdigest() for x in ids],
             }
@@ -381,5 +400,5 @@ def encode_texts(
     The model file must be readable at model_path on every executor.
     """
     return docs.select(
-        F.col(id_col).alias("__id"), encoder(model_path)(F.col(text_col)).alias("__e")
-    ).select(F.col("__id").alias(id_col), "__e.n_tokens", "__e.ids")
+        F.col(id_col), encoder(model_path)(F.col(text_col)).alias("ids")
+    ).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

@@ -56,9 +56,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def piece_rows(docs: DataFrame) -> DataFrame:
     model = public_tokenizers.path(MODEL)
     encoded = piece_bpe.encode_texts(docs, model)
-    return encoded.select(
-        "doc_id", "n_tokens", piece_bpe.digester(model)("ids").alias("d")
-    ).select("doc_id", "n_tokens", "d.*")
+    return encoded.select("doc_id", piece_bpe.digester(model)("ids").alias("d")).select(
+        "doc_id", "d.*"
+    )
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
