@@ -95,12 +95,13 @@ def row_keys(id_col: str, text_col: str, host_col: str) -> dict[str, Column]:
 
 
 def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Per row: its keys, the base counts and its lines as (hash, words)."""
+    """Per row: its keys, a hash of its text, the base counts and its lines as (hash, words)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     some = docs.select(
         F.col(id_col).alias("__id"),
         F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("__host"),
         *(c.alias(k) for k, c in row_keys(id_col, text_col, host_col).items()),
+        F.xxhash64(text).alias("__tk"),
         text.alias("__text"),
     )
     lines = F.filter(F.split("__text", "\n"), lambda x: dense(x) != "")
@@ -110,6 +111,7 @@ def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
         "__host",
         "__rk",
         "__rc",
+        "__tk",
         let(
             words,
             lambda w: F.struct(
@@ -133,27 +135,31 @@ def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
             ),
         ).alias("__l"),
     ).select(
-        "__id", "__host", "__rk", "__rc", "__w.*", "word_chars", "n_symbols", "__l.*"
+        "__id", "__host", "__rk", "__rc", "__tk", "__w.*", "word_chars", "n_symbols", "__l.*"
     )
 
 
 def frequent_lines(measured: DataFrame, limits: LineLimits) -> DataFrame:
     """(host, line) pairs above the limit.
 
-    Copies of a document count once: what is counted is the smallest line hash
-    of each document, which copies share, so a text that was copied often does
-    not turn its own lines into boilerplate.
+    Distinct documents are counted, by a hash of the whole text: copies count
+    once, for a line and for the host, so a text that was copied often does not
+    turn its own lines into boilerplate.
     """
-    hashes = F.transform("lines", lambda x: x["h"])
+    hashes = F.array_distinct(F.transform("lines", lambda x: x["h"]))
     per_line = (
-        measured.select(
-            "__host", F.array_min(hashes).alias("sig"), F.explode(F.array_distinct(hashes)).alias("h")
-        )
+        measured.select("__host", "__tk", F.explode(hashes).alias("h"))
+        .distinct()
         .groupBy("__host", "h")
-        .agg(F.countDistinct("sig").alias("n_docs"))
+        .agg(F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") > limits.min_docs)
     )
-    per_host = measured.groupBy("__host").agg(F.count(F.lit(1)).alias("host_docs"))
+    per_host = (
+        measured.select("__host", "__tk")
+        .distinct()
+        .groupBy("__host")
+        .agg(F.count(F.lit(1)).alias("host_docs"))
+    )
     return (
         per_line.join(per_host, "__host")
         .where(F.col("n_docs") > F.col("host_docs") * limits.max_share)

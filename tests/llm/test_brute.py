@@ -314,6 +314,33 @@ def test_lines_above_the_limit(spark):
     assert all("story" not in r.text for r in cleaned.values() if r.source)
 
 
+def test_lines_shared_by_distinct_documents(spark):
+    """Template pages: several shared lines, so that most texts share their smallest hash."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    shared = [f"shared line {word()}" for _ in range(30)]
+    few = "a line of exactly twenty pages"
+    rows = []
+    for k in range(40):
+        own = " ".join(word() for _ in range(60))
+        lines = [*shared, own] + [few] * (k < 20)
+        rows.append((k, "\n".join(lines), "host"))
+    rows += [(100 + k, rows[0][1], "host") for k in range(30)]
+    limits = line_quality.LineLimits(min_docs=20, max_repeat_percent=100)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts_of = defaultdict(set)
+    for _, t, h in rows:
+        for x in t.split("\n"):
+            texts_of[h, normal(x)].add(t)
+    above = {x for (_, x), s in texts_of.items() if len(s) > 20}
+    assert above == {normal(x) for x in shared}
+    got = by_id(line_quality.line_quality(df, limits=limits))
+    for k, t, _ in rows:
+        left = [x for x in t.split("\n") if normal(x) not in above]
+        assert got[k].words_left == len(SPACE.findall("\n".join(left))), k
+        assert len(got[k].removed) == 30
+
+
 def brute_simhash(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = SPACE.findall(low)
