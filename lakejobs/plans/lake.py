@@ -17,6 +17,7 @@ from lakejobs.operators.quality import may_publish
 from lakejobs.operators.sizing import keep_matching
 from lakejobs.session import delete_path, listed, new_path
 from lakejobs.sinks.lake import (
+    RUN_ID,
     Handler,
     KeyedTable,
     hot_rows,
@@ -35,12 +36,14 @@ def ingest(
     batch_size: int = DEFAULT_BATCH,
     on_error: str = "fail",
     strict: bool = True,
+    run_id: str | None = None,
 ) -> RunStats:
     """Read a file or folder of event lines and hand the events to a sink.
 
     on_error='fail' raises LineError for the first bad line in file order.
     Files are read in parallel; batch_size only decides how many batches per
-    file are counted, not what the sink receives at once.
+    file are counted, not what the sink receives at once. A retry of a run that
+    must not count twice gives the run's id again.
     """
     if handler is None:
         raise ValueError("an output handler is required")
@@ -72,7 +75,7 @@ def ingest(
         if on_error == "fail" and totals["errors"]:
             raise first_bad_line(lines, strict)
         good = marks.where(~F.col("rejected")).select("record.*", "record_keys")
-        run_handler(typed(good).select(*EVENT_FIELDS), handler)
+        run_handler(typed(good).select(*EVENT_FIELDS), handler, run_id)
     finally:
         delete_path(spark, target)
     return RunStats(
@@ -197,6 +200,9 @@ class SilverJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Take one batch; usable with foreachBatch and safe to run again.
 
+        A batch is known by its stream or, outside one, by its run (`run_handler`),
+        and its number. Called directly, the number alone names it.
+
         The batch is kept while it is read several times, and read again from its
         source where an executor is lost.
         """
@@ -208,7 +214,8 @@ class SilverJob:
 
     def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        known = spark.sparkContext.getLocalProperty
+        run = known("sql.streaming.queryId") or known(RUN_ID) or ""
         totals = batch.agg(
             F.count(F.lit(1)).alias("n"),
             F.count_distinct(*self.keys).alias("n_keys"),

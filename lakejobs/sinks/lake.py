@@ -295,15 +295,26 @@ def hot_rows(spark: SparkSession, table: KeyedTable) -> DataFrame:
     return live(table.read(spark)).drop("op")
 
 
-def run_handler(df: DataFrame, handler: Handler) -> None:
+#: Local property that names a run outside a stream.
+RUN_ID = "lakejobs.runId"
+
+
+def run_handler(df: DataFrame, handler: Handler, run_id: str | None = None) -> None:
     """Hand a batch job's result to a sink, as a stream would hand a micro-batch.
 
-    A sink with a close() is closed once it has taken everything; after an error
-    it is not.
+    Each run is a source of its own, with 0 as its only batch; a real retry
+    gives the id of the run it repeats. A sink with a close() is closed once it
+    has taken everything; after an error it is not.
     """
     if handler is None:
         raise ValueError("an output handler is required")
-    handler(df, 0)
+    context = df.sparkSession.sparkContext
+    outer = context.getLocalProperty(RUN_ID)
+    context.setLocalProperty(RUN_ID, run_id or f"run-{uuid.uuid4().hex}")
+    try:
+        handler(df, 0)
+    finally:
+        context.setLocalProperty(RUN_ID, outer)
     close = getattr(handler, "close", None)
     if close is not None:
         close()

@@ -276,6 +276,37 @@ def test_a_batch_that_fails_the_gate_is_held(spark, tmp_path):
     assert mart.rows(spark).first()["n"] == 2
 
 
+def test_batch_runs_are_sources_of_their_own(spark, tmp_path):
+    verdicts = {"open": True}
+
+    def gate(batch):
+        return spark.createDataFrame([(verdicts["open"],)], "passed boolean")
+
+    job = lake.SilverJob("s", str(tmp_path / "silver"), ["source_pk"], buckets=4, gate=gate)
+
+    def take(key, pos, run_id=None):
+        sink.run_handler(spark.createDataFrame([(key, at(pos), pos, "c", 1)], SCHEMA), job, run_id)
+
+    def state():
+        return sorted(r["source_pk"] for r in job.state(spark).collect())
+
+    take("a", 1)
+    take("b", 2)
+    assert state() == ["a", "b"]
+    take("c", 3, "load 3")
+    commits = len(job.table.commits(spark))
+    take("c", 3, "load 3")
+    assert state() == ["a", "b", "c"] and len(job.table.commits(spark)) == commits
+    verdicts["open"] = False
+    take("d", 4)
+    take("e", 5)
+    held = job.held(spark)
+    assert len(held) == 2 and {n for _, n in held} == {0}
+    for source, number in held:
+        job.release(spark, source, number)
+    assert state() == ["a", "b", "c", "d", "e"]
+
+
 def test_bus_records_decode(spark):
     records = spark.createDataFrame(
         [(b"k", b'{"v": 7}', "t", 0, 5, T0)],
