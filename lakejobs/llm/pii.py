@@ -102,15 +102,11 @@ SPELLED = {
     )
 } | {"oh": "0"}
 
-#: What makes a text worth rewriting: characters that fold() changes, and words below.
+#: Characters that fold() changes.
 ODD = re.compile(
     "[" + "".join(LOOKALIKES) + "".join(INVISIBLE) + "\uff01-\uff5e\u00a0\u2000-\u200a\u202f\u3000"
     "\u00b2\u00b3\u00b9\u2070-\u2089\u0660-\u0669\u06f0-\u06f9\u0966-\u096f\U0001d7ce-\U0001d7ff]"
 )
-NUMBER_WORDS = re.compile(
-    r"\b(?:(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)\b[\s.,-]*){3}", re.I
-)
-
 #: A rewritten text: its characters, and for each the source span.
 Tape = tuple[str, list[int], list[int]]
 
@@ -165,56 +161,89 @@ SPELLED_RUN = re.compile(
     r"(?![A-Za-z0-9])|[0-9]))+",
     re.I,
 )
+# One word after digits; digits and words in turn are a run from its first word on.
+SPELLED_LAST = re.compile(
+    r"(?<=[0-9])[ \t]*-?[ \t]*(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)"
+    r"(?![A-Za-z0-9])",
+    re.I,
+)
 SPELLED_ONE = re.compile("|".join(sorted(SPELLED, key=len, reverse=True)) + "|[0-9]", re.I)
 SPELLED_PLUS = re.compile(r"(?<![A-Za-z0-9])plus[ \t]+(?=[0-9])", re.I)
 BRACKET_SIGN = re.compile(r"[ \t]*[(\[{<][ \t]*(at|dot|point|plus)[ \t]*[)\]}>][ \t]*", re.I)
-# Top-level domains after which a bare "at" makes an address.
-TOP = "com|org|net|edu|gov|mil|int|info|biz|name|io|co|ai|dev|app|me|tv|eu|de|fr|es|it|nl|uk|us|ca|ch"
+# Top-level domains that a plain stop or "the dot" may come before.
+TOP = re.compile(
+    "com|org|net|edu|gov|mil|int|info|biz|name|io|co|ai|dev|app|me|tv|eu|de|fr|es|it|nl|uk|us|ca|ch",
+    re.I,
+)
 BARE_AT = re.compile(
     r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
-    r"(?=(?:[A-Za-z0-9-]+([ \t]+dot[ \t]+|\.)){1,8}"
-    rf"(?:{TOP})(?![A-Za-z0-9]))",
+    r"(?=(?:([A-Za-z0-9-]+)([ \t]+dot[ \t]+|\.)){1,8}([A-Za-z]{2,24})(?![A-Za-z0-9]))",
     re.I,
 )
 NAMED = re.compile(r"[0-9._+-]")
+# Words before "dot" where it is a noun, not a sign.
+DETERMINERS = frozenset(
+    "a an the this that these those each every any some no one another which what "
+    "my your his her its our their".split()
+)
 BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 SIGNS = {"at": "@", "dot": ".", "point": ".", "plus": "+"}
 
 
-def spelled_digits(tape: Tape) -> Tape:
-    def new(m: re.Match) -> str:
-        return "".join(SPELLED.get(x.lower(), x) for x in SPELLED_ONE.findall(m.group()))
+def spelled(m: re.Match) -> str:
+    return "".join(SPELLED.get(x.lower(), x) for x in SPELLED_ONE.findall(m.group()))
 
-    return rewrite(rewrite(tape, SPELLED_RUN, new), SPELLED_PLUS, lambda m: "+")
+
+def spelled_digits(tape: Tape) -> Tape:
+    return rewrite(rewrite(tape, SPELLED_RUN, spelled), SPELLED_PLUS, lambda m: "+")
 
 
 def bare_at(m: re.Match) -> str | None:
-    """Before a domain with plain stops, only after a word that looks like a mailbox."""
-    if m.group(1) == ".":
-        before = m.string[max(0, m.start() - 64) : m.start()].split()
-        if not before or not NAMED.search(before[-1]):
-            return None
-    return "@"
+    """Before a spelled dot, any domain counts, but for "the dot on".
+
+    Before a domain with plain stops, only after a word that looks like a mailbox.
+    """
+    label, sign, top = m.groups()
+    common = TOP.fullmatch(top) is not None
+    if sign != ".":
+        return "@" if common or label.lower() not in DETERMINERS else None
+    before = m.string[max(0, m.start() - 64) : m.start()].split()
+    if not before or not NAMED.search(before[-1]):
+        return None
+    # A stop may end a sentence: then what comes before is to be a name, too.
+    named = any(c.isalpha() for c in before[-1])
+    return "@" if common or (named and top.islower()) else None
 
 
 def signs(tape: Tape) -> Tape:
-    """Disguised signs of addresses; bare words only where an address can follow."""
+    """Disguised signs of addresses; a bare at only where an address can follow."""
     tape = rewrite(tape, BRACKET_SIGN, lambda m: SIGNS[m.group(1).lower()])
     tape = rewrite(tape, BARE_AT, bare_at)
-    if "@" not in tape[0]:
-        return tape
     return rewrite(tape, BARE_DOT, lambda m: ".")
 
 
+#: What rewrites a text, each as it does so: without a match there is nothing to rewrite.
+GATES = (BRACKET_SIGN, BARE_AT, BARE_DOT, SPELLED_RUN, SPELLED_LAST, SPELLED_PLUS)
+
+
 def hidden(text: str) -> list[tuple[str, int, int]]:
     """What the rewritten text shows, as spans of the source."""
     odd = ODD.search(text) is not None
-    if not odd and not any(x.search(text) for x in (BRACKET_SIGN, BARE_AT, NUMBER_WORDS)):
+    if not odd and not any(x.search(text) for x in GATES):
         return []
     tape: Tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
     if odd:
         tape = fold(tape)
-    tape = signs(spelled_digits(tape))
+    tape = spelled_digits(tape)
+    out = shown(signs(tape), text)
+    # A number that is whole already is not to lose its end to "one" behind it.
+    more = rewrite(tape, SPELLED_LAST, spelled)
+    if more[0] != tape[0]:
+        out += shown(signs(rewrite(more, SPELLED_PLUS, lambda m: "+")), text)
+    return out
+
+
+def shown(tape: Tape, text: str) -> list[tuple[str, int, int]]:
     if tape[0] == text:
         return []
     _, starts, ends = tape

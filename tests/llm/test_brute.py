@@ -539,6 +539,31 @@ def test_disguises(text, want):
     assert [(k, text[a:b]) for k, a, b, _ in pii.find(text)] == want
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("+49 170 five 5 six 7 eight 9 zero", "phone"),
+        ("4111 1111 1111 one one 1 one", "card"),
+        ("4111 1111 1111 111 one", "card"),
+        ("192 dot 168 dot 0 dot 1", "ip"),
+        ("plus 49 170 5551234", "phone"),
+        ("joe@mail dot com", "email"),
+        *((f"anna at example dot {x}", "email") for x in "pl ru jp cn in au br se museum".split()),
+    ],
+)
+def test_disguises_without_others_in_the_text(text, kind):
+    for t in (text, f"so {text}, then", f"{text} and x@y.zz with joe (at) mail (dot) org"):
+        at = t.index(text)
+        assert (kind, at, at + len(text), False) in pii.find(t), t
+
+
+def test_a_whole_number_keeps_its_end():
+    t = "４１１１ １１１１ １１１１ １１１１ one day"
+    assert [(k, t[a:b]) for k, a, b, _ in pii.find(t)] == [("card", t[:19])]
+    for t in ("look at the dot on it", "in 1999 one of two, at 25 at home.But no", "at each dot in it"):
+        assert pii.find(t) == [], t
+
+
 def test_masking(spark):
     df = spark.createDataFrame(
         [(1, "mail a@b.cd now", 15), (2, None, None), (3, "clean", 5)],
