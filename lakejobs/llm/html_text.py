@@ -65,47 +65,121 @@ TAG = re.compile(
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
 )
 ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I
+    r"([^\s\"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?"
 )
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Parts without text that a reader sees; all other noise depends on how much text it has.
+UNSEEN_TAGS = frozenset(
+    "head script style noscript template iframe svg math canvas object embed audio video select "
+    "option textarea datalist title xmp noembed noframes".split()
+)
+#: Before these, a noise word in a name says what a block has, not what it is.
+HAVING = frozenset("has have with without no is js".split())
+#: A header with one of these in its name is the article's.
+OF_ARTICLE = frozenset("article post entry content main story page title body text".split())
+SURE, WORD, HINT = 3, 2, 1
+#: Share of the text that readers see, links aside, above which a block is no noise.
+MOST = {WORD: 1 / 2, HINT: 1 / 3}
+#: Share of a block's text below which the text outside all noise is no article.
+LEFT = 1 / 10
 
 
 class Node:
     __slots__ = (
-        "tag", "parent", "children", "noise", "chars", "tags", "link_chars", "link_tags",
-        "density", "total",
+        "tag", "parent", "children", "kind", "noise", "own", "clean", "holds", "chars", "tags",
+        "link_chars", "link_tags", "density", "total",
     )
 
-    def __init__(self, tag: str, parent: "Node | None", noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: "Node | None", kind: int):
+        self.tag, self.parent, self.kind = tag, parent, kind
+        self.noise = self.holds = False
+        self.own = self.clean = 0
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in NOISE_TAGS or (tag == "header" and not inside_article):
+def attributes_of(written: str) -> dict[str, str]:
+    """Attributes by full name, in lower case; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(written):
+        out.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    return out
+
+
+def noise_of(tag: str, written: str, inside_article: bool) -> int:
+    """SURE for what is not seen, WORD for a noise tag, role or name, HINT for a part of a name."""
+    if tag in UNSEEN_TAGS:
+        return SURE
+    kind = WORD if tag in NOISE_TAGS or (tag == "header" and not inside_article) else 0
+    if tag in ("html", "body", "article", "main") or not written:
+        return kind
+    values = attributes_of(written)
+    if "hidden" in values:
+        return SURE
+    if (
+        values.get("role", "").strip().lower() in NOISE_ROLES
+        or values.get("aria-hidden", "").strip().lower() == "true"
+    ):
+        kind = WORD
+    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
+        if name.lower() in NOISE_WORDS:
+            kind = WORD
+        elif not kind and hints(WORDS.findall(CAMEL.sub(" ", name).lower())):
+            kind = HINT
+    return kind
+
+
+def hints(words: list[str]) -> bool:
+    """Whether the words of a longer name speak of noise."""
+    for n, word in enumerate(words):
+        if word not in NOISE_WORDS or not HAVING.isdisjoint(words[:n]):
+            continue
+        if word == "header" and not OF_ARTICLE.isdisjoint(words):
+            continue
         return True
-    if tag in ("html", "body", "article", "main") or not attributes:
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
-        name = m.group(1).lower()
-        value = m.group(2) or m.group(3) or m.group(4) or ""
-        if name == "role" and value.strip().lower() in NOISE_ROLES:
-            return True
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name in ("class", "id") and not NOISE_WORDS.isdisjoint(
-            WORDS.findall(CAMEL.sub(" ", value).lower())
-        ):
-            return True
     return False
 
 
+def judge(root: Node) -> None:
+    """Decide which parts are noise: never one that has most of the text and holds the article.
+
+    It does if it has the page's heading or article, or little is left without
+    noise; a long footer below a short article does not.
+    """
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [x for x in node.children if isinstance(x, Node) and x.kind != SURE]
+    for node in reversed(order):
+        node.holds = node.tag in ("h1", "article", "main")
+        for x in node.children:
+            if isinstance(x, Node):
+                if x.kind != SURE:
+                    node.own += x.own
+                    node.clean += x.clean
+                    node.holds |= x.holds
+            elif node.tag != "a":
+                node.own += blank(x)
+                node.clean += blank(x)
+        if node.kind:
+            node.clean = 0
+    todo = [root]
+    while todo:
+        for x in todo.pop().children:
+            if isinstance(x, Node):
+                most = x.kind in MOST and x.own > MOST[x.kind] * root.own
+                holds = x.holds or root.clean < LEFT * x.own
+                x.noise = x.kind > 0 and not (most and (x.kind == HINT or holds))
+                if not x.noise:
+                    todo.append(x)
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Open ends are closed as browsers do for these tags."""
-    root = Node("html", None, False)
+    root = Node("html", None, 0)
     here = root
     at, n = 0, len(page)
     articles = 0
@@ -154,7 +228,7 @@ def parse(page: str) -> Node:
         if tag in ENDS_SIBLING:
             here = close_up_to(here, *ENDS_SIBLING[tag])
         inside = any(x.tag in ("article", "main") for x in above(here)) if tag == "header" else False
-        node = Node(tag, here, is_noise(tag, attributes, inside))
+        node = Node(tag, here, noise_of(tag, attributes, inside))
         here.children.append(node)
         if tag in RAW:
             if closing.get(tag, True):
@@ -167,6 +241,7 @@ def parse(page: str) -> Node:
             at = stop.end() if stop else n
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             here = node
+    judge(root)
     return root
 
 
@@ -247,6 +322,31 @@ def density(node: Node, page_links: float) -> float:
     return c / t * (math.log(inside) / base)
 
 
+def runs(node: Node, path: set[int]) -> list[list[Node | str]]:
+    """The children but noise: text with the inline nodes in it together, others alone."""
+    out: list[list[Node | str]] = []
+    open_ = False
+    for x in node.children:
+        if isinstance(x, Node) and x.noise:
+            continue
+        inside = isinstance(x, str) or (x.tag in INLINE and id(x) not in path)
+        if inside and open_:
+            out[-1].append(x)
+        else:
+            out.append([x])
+        open_ = inside
+    return out
+
+
+def is_text(run: list[Node | str]) -> bool:
+    """Whether a run is text with links in it rather than a list of links."""
+    if not any(isinstance(x, str) and x.strip() for x in run):
+        return False
+    nodes = [x for x in run if isinstance(x, Node)]
+    own = sum(blank(x) for x in run if isinstance(x, str)) + sum(x.own for x in nodes)
+    return own > sum(x.link_chars for x in nodes)
+
+
 def article_text(page: str | None) -> str:
     """The article of a page: blocks in page order, single blanks; empty if there is none."""
     if not page:
@@ -261,7 +361,7 @@ def article_text(page: str | None) -> str:
     threshold = min(x.density for x in above(best))
     out: list[str] = []
 
-    def take(node: Node) -> None:
+    def take(node: Node | str) -> None:
         """All text below a node, but noise."""
         todo: list[Node | str] = [node]
         while todo:
@@ -276,18 +376,22 @@ def article_text(page: str | None) -> str:
                 todo += reversed(x.children)
 
     path = set(map(id, above(best)))
-    todo: list[Node] = [root]
+    todo: list[Node | str] = [root]
     while todo:
         node = todo.pop()
-        if node is best or id(node) not in path:
+        if isinstance(node, str) or node is best or id(node) not in path:
             take(node)
             continue
-        # On the path: the path itself, and what is as dense as its thinnest part.
-        todo += [
-            x
-            for x in reversed(node.children)
-            if isinstance(x, Node) and not x.noise and (id(x) in path or x.density >= threshold > 0)
-        ]
+        # On the path: the path itself, its own text, and what is as dense as its thinnest part.
+        todo.append(" ")
+        for run in reversed(runs(node, path)):
+            whole = is_text(run)
+            todo += [
+                x
+                for x in reversed(run)
+                if whole or (isinstance(x, Node) and (id(x) in path or x.density >= threshold > 0))
+            ]
+        todo.append(" ")
     return " ".join("".join(out).split())
 
 

@@ -108,6 +108,36 @@ def test_page_parts():
     assert html_text.article_text("<p>a < b, \"c") == 'a < b, "c'
 
 
+ARTICLE = "<h1>Title</h1><p>The first paragraph, long enough.<p>The second one, just as long."
+SHOWN = "Title The first paragraph, long enough. The second one, just as long."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        *(
+            (f"<body><div {x}>{ARTICLE}</div><div class=footer>The end</div>", SHOWN)
+            for x in (
+                'style="overflow:hidden"', 'data-id="comments-12"', 'title="The hidden valley"',
+                'class="content has-sidebar"', 'id="page-with-header"', 'class="content sidebar"',
+                'data-hidden', 'id=a class=b',
+            )
+        ),
+        ('<p>See <a href="/hidden-gems">these gems</a> and <a href="/x?id=share">those</a> of the whole town.',
+         "See these gems and those of the whole town."),
+        (f"<form id=f>{ARTICLE}</form>", SHOWN),
+        (f"<section class='article-header'><h1>Name</h1></section><p>{'Long text of it. ' * 9}",
+         "Name " + " ".join(["Long text of it."] * 9)),
+        ("<body>Opening words <b>with</b> <a href=x>a link</a> here."
+         "<div><p>One whole paragraph of the text.<p>Another paragraph of it.</div>",
+         "Opening words with a link here. One whole paragraph of the text. Another paragraph of it."),
+        (f"<div hidden>{ARTICLE}</div><p>What is seen of this page.", "What is seen of this page."),
+    ],
+)
+def test_articles_are_no_noise(page, want):
+    assert html_text.article_text(page) == want
+
+
 def jump(key: int, n: int) -> int:
     b, j = -1, 0
     while j < n:
