@@ -140,7 +140,7 @@ def scan(text: str | None):
     for k, places in spans.items():
         n = notices[k]
         for lo, hi in joined(places):
-            for m in n.matcher.finditer(line, lo, hi):
+            for m in finds(n.matcher, line, lo, hi):
                 a, b = m.span()
                 # The end of the window is no end of a word.
                 if a == b or (b < len(line) and line[b] != " "):
@@ -158,6 +158,17 @@ def scan(text: str | None):
     return len(words), sorted(base, key=lambda x: (x[1], x[0])), sorted(found)
 
 
+def finds(matcher, line: str, lo: int, hi: int):
+    """The best match of a window, then those of the stretches before and behind it."""
+    todo = [(lo, hi)]
+    while todo:
+        start, end = todo.pop()
+        m = matcher.search(line, start, end) if start < end else None
+        if m is not None and m.start() < m.end():
+            yield m
+            todo += [(start, m.start()), (m.end(), end)]
+
+
 def joined(places: list[list[int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for lo, hi in sorted(places):

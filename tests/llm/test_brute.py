@@ -271,6 +271,12 @@ def test_fuzzy_licenses(text, labels):
     assert {f[2] for f in licenses.scan(text)[2]} == labels
 
 
+@pytest.mark.parametrize("text", ["mit license mit licence", "mit licence mit license", "mit licence mit license mit licence"])
+def test_each_notice_of_a_window_is_found(text):
+    found = licenses.scan(text)[2]
+    assert [(f[0], f[1], f[2]) for f in found] == [(k, k + 1, "mit") for k in range(0, len(text.split()), 2)]
+
+
 def quality(text):
     words = SPACE.findall(text or "")
     lines = [x for x in (text or "").split("\n") if SPACE.search(x)]
