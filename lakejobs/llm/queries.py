@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.llm import chat, decontam, html_text, licenses, line_quality, piece_bpe, pii, shards
-from lakejobs.llm import simhash, suffix_dedup
+from lakejobs.llm import phrases, simhash, suffix_dedup
 from lakejobs.llm.common import table
+from lakejobs.llm.sql import SQL as SQL
 
 SHARDS = 8
 MODEL = "piece_bpe_32k.model"
@@ -117,6 +118,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -130,7 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_simhash_near_dedup,
         op10_pii,
+        op13_phrase_collocations,
     )
 }
-
-SQL: dict[str, str] = {}
