@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakejobs.llm import chat, decontam, html_text, licenses, line_quality, piece_bpe, pii, shards
-from lakejobs.llm import phrases, simhash, suffix_dedup
+from lakejobs.llm import phrases, prefix_trie, simhash, suffix_dedup, toxicity
 from lakejobs.llm.common import table
 from lakejobs.llm.sql import SQL as SQL
 
@@ -118,6 +118,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -135,6 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_simhash_near_dedup,
         op10_pii,
+        op11_toxicity,
+        op12_conversation_prefix_trie,
         op13_phrase_collocations,
     )
 }

@@ -47,4 +47,58 @@ WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY rank <= 2000
 """
 
-SQL: dict[str, str] = {"op13_phrase_collocations": PHRASES}
+TRIE = """
+WITH conv AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT DISTINCT c, xor(list_reduce(
+    list_concat([4294967295::UBIGINT],
+      list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda sum, byte: list_reduce(
+      list_concat([xor(sum, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+      lambda s, z: xor(s >> 1, (s & 1) * 3988292384::UBIGINT))
+  ), 4294967295::UBIGINT) AS crc
+  FROM conv
+), ids AS (
+  SELECT c, c - c % 100 AS family, (crc % 6)::BIGINT AS h FROM crc
+), sizes AS (
+  SELECT c, count(*) AS n FROM conv GROUP BY c
+), turns AS (
+  SELECT ids.c, place AS d, role, text
+  FROM ids JOIN conv ON conv.c = family AND place <= h
+  UNION ALL
+  SELECT ids.c, place - h + least(h, coalesce(n, 0)), role, text
+  FROM ids JOIN conv ON conv.c = ids.c AND place > h LEFT JOIN sizes ON sizes.c = family
+), prefixes AS (
+  SELECT c, d, text, list({'role': role, 'text': text}) OVER (PARTITION BY c ORDER BY d) AS path,
+    count(*) OVER (PARTITION BY c) AS size
+  FROM turns
+  UNION ALL
+  SELECT c, 0, '', []::STRUCT(role VARCHAR, text VARCHAR)[],
+    (SELECT count(*) FROM turns WHERE turns.c = ids.c)
+  FROM ids
+), nodes AS (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(length(text)) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (size = d), '')) AS ends
+  FROM prefixes GROUP BY d, path
+), children AS (
+  SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), grown AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (d, path)
+), above AS (
+  SELECT unnest(range(0, d + 1)) AS up, path, n_children, saved FROM grown
+), sums AS (
+  SELECT up AS d, path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum(saved) AS saved_tokens
+  FROM above GROUP BY ALL
+)
+SELECT g.conv_id, g.d::BIGINT AS depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children,
+  n_leaves, saved_tokens::BIGINT AS saved_tokens, g.ends AS ends_sha256
+FROM grown g JOIN sums ON sums.d = g.d AND sums.path = g.path
+LEFT JOIN nodes p ON p.d = g.d - 1 AND p.path = g.path[1:g.d - 1]
+"""
+
+SQL: dict[str, str] = {"op12_conversation_prefix_trie": TRIE, "op13_phrase_collocations": PHRASES}
