@@ -313,7 +313,7 @@ def frequent_phrases(
     running = spark.createDataFrame([], COUNTED + ", reached int")
     done = spark.createDataFrame([], COUNTED)
     totals = spark.createDataFrame([], "lang string, n bigint")
-    path = None
+    path, latest = None, 0
     for step in range(LONGEST * shards):
         table = spark.sparkContext.broadcast(reached.tobytes())
         counted = dealt.where(F.col("shard") == step % shards).select("lang", "text")
@@ -333,7 +333,8 @@ def frequent_phrases(
         merged.write.parquet(path)
         now = spark.read.schema(merged.schema).parquet(path)
         table.destroy()
-        new = mark(reached, now.where((F.col("reached") == step) & (kind_length() < LONGEST)), step)
+        if mark(reached, now.where((F.col("reached") == step) & (kind_length() < LONGEST)), step):
+            latest = step
         if step == shards - 1:
             words = now.where(kind_length() == 1)
             totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
@@ -344,7 +345,8 @@ def frequent_phrases(
         running = now.where(~over)
         if older:
             delete_path(spark, older)
-        if step >= shards - 1 and not new and running.isEmpty():
+        # Phrases that the latest arrivals let start have met every shard by then.
+        if step >= latest + shards:
             break
     phrases = done.select("lang", kind_length().alias("length"), "phrase", "n")
     return Counted(materialize(phrases, "phrase-frequent"), totals)
