@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,7 +32,7 @@ SPANS = T.ArrayType(
     )
 )
 
-DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A run of digits is entered at its start only and never given back, so the
 # time is linear; the matches are those of the plain patterns.
@@ -108,13 +110,13 @@ ODD = re.compile(
     "\u00b2\u00b3\u00b9\u2070-\u2089\u0660-\u0669\u06f0-\u06f9\u0966-\u096f\U0001d7ce-\U0001d7ff]"
 )
 #: A rewritten text: its characters, and for each the source span.
-Tape = tuple[str, list[int], list[int]]
+Tape = tuple[str, array, array]
 
 
 def fold(tape: Tape) -> Tape:
     """Look-alikes, full-width forms and foreign digits to ASCII; invisible characters dropped."""
     text, starts, ends = tape
-    chars, a, b = [], [], []
+    chars, a, b = [], array("q"), array("q")
     for c, s, e in zip(text, starts, ends):
         if c in INVISIBLE:
             continue
@@ -136,7 +138,7 @@ def fold(tape: Tape) -> Tape:
 def rewrite(tape: Tape, pattern: re.Pattern, new) -> Tape:
     """Each match replaced by new(match): every new character stands for the whole match."""
     text, starts, ends = tape
-    chars, a, b, done = [], [], [], 0
+    chars, a, b, done = [], array("q"), array("q"), 0
     for m in pattern.finditer(text):
         s, e = m.span()
         if s == e:
@@ -148,36 +150,42 @@ def rewrite(tape: Tape, pattern: re.Pattern, new) -> Tape:
         a += starts[done:s]
         b += ends[done:s]
         chars.append(put)
-        a += [starts[s]] * len(put)
-        b += [ends[e - 1]] * len(put)
+        a += array("q", [starts[s]]) * len(put)
+        b += array("q", [ends[e - 1]]) * len(put)
         done = e
     chars.append(text[done:])
     return "".join(chars), a + starts[done:], b + ends[done:]
 
 
+# Blanks and labels are never given back, and a run of blanks is entered at its
+# start only, so every pattern takes linear time.
+NUMBER_WORD = r"(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)(?![A-Za-z0-9])"
 SPELLED_RUN = re.compile(
-    r"(?<![A-Za-z0-9])(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)(?![A-Za-z0-9])"
-    r"(?:[ \t]*[-,.]?[ \t]*(?:(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)"
-    r"(?![A-Za-z0-9])|[0-9]))+",
-    re.I,
+    rf"(?<![A-Za-z0-9]){NUMBER_WORD}(?:[ \t]*+[-,.]?[ \t]*+(?:{NUMBER_WORD}|[0-9]))+", re.I
 )
 # One word after digits; digits and words in turn are a run from its first word on.
-SPELLED_LAST = re.compile(
-    r"(?<=[0-9])[ \t]*-?[ \t]*(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)"
-    r"(?![A-Za-z0-9])",
+SPELLED_LAST = re.compile(rf"(?<=[0-9])[ \t]*+-?[ \t]*+{NUMBER_WORD}", re.I)
+# One word before or after a spelled dot, as in "ten dot one" or "one dot 1".
+SPELLED_PART = re.compile(
+    rf"(?<![A-Za-z0-9]){NUMBER_WORD}(?=[ \t]++dot[ \t])"
+    rf"|(?:(?<=[ \t]dot )|(?<=[ \t]dot\t)){NUMBER_WORD}",
     re.I,
 )
 SPELLED_ONE = re.compile("|".join(sorted(SPELLED, key=len, reverse=True)) + "|[0-9]", re.I)
-SPELLED_PLUS = re.compile(r"(?<![A-Za-z0-9])plus[ \t]+(?=[0-9])", re.I)
-BRACKET_SIGN = re.compile(r"[ \t]*[(\[{<][ \t]*(at|dot|point|plus)[ \t]*[)\]}>][ \t]*", re.I)
+SPELLED_PLUS = re.compile(r"(?<![A-Za-z0-9])plus[ \t]++(?=[0-9])", re.I)
+BRACKET_SIGN = re.compile(
+    r"(?<![ \t])[ \t]*+[(\[{<][ \t]*+(at|dot|point|plus)[ \t]*+[)\]}>][ \t]*+", re.I
+)
 # Top-level domains that a plain stop or "the dot" may come before.
 TOP = re.compile(
     "com|org|net|edu|gov|mil|int|info|biz|name|io|co|ai|dev|app|me|tv|eu|de|fr|es|it|nl|uk|us|ca|ch",
     re.I,
 )
+# Top-level domains that are words of a sentence as well.
+TOP_WORDS = frozenset("and is it me my no of on or so the then to us we".split())
 BARE_AT = re.compile(
-    r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+"
-    r"(?=(?:([A-Za-z0-9-]+)([ \t]+dot[ \t]+|\.)){1,8}([A-Za-z]{2,24})(?![A-Za-z0-9]))",
+    r"(?<=[A-Za-z0-9])[ \t]++at[ \t]++"
+    r"(?=(?:([A-Za-z0-9-]++)([ \t]++dot[ \t]++|\.)){1,8}([A-Za-z]{2,24})(?![A-Za-z0-9]))",
     re.I,
 )
 NAMED = re.compile(r"[0-9._+-]")
@@ -186,7 +194,7 @@ DETERMINERS = frozenset(
     "a an the this that these those each every any some no one another which what "
     "my your his her its our their".split()
 )
-BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
+BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]++dot[ \t]++(?=[A-Za-z0-9])", re.I)
 SIGNS = {"at": "@", "dot": ".", "point": ".", "plus": "+"}
 
 
@@ -195,20 +203,25 @@ def spelled(m: re.Match) -> str:
 
 
 def spelled_digits(tape: Tape) -> Tape:
-    return rewrite(rewrite(tape, SPELLED_RUN, spelled), SPELLED_PLUS, lambda m: "+")
+    tape = rewrite(rewrite(tape, SPELLED_RUN, spelled), SPELLED_PART, spelled)
+    return rewrite(tape, SPELLED_PLUS, lambda m: "+")
 
 
 def bare_at(m: re.Match) -> str | None:
-    """Before a spelled dot, any domain counts, but for "the dot on".
+    """Before a spelled dot, any domain counts, but for "the dot on" and "noon dot it".
 
-    Before a domain with plain stops, only after a word that looks like a mailbox.
+    Before a domain with plain stops, or one that ends in a common word, only
+    after a word that looks like a mailbox.
     """
     label, sign, top = m.groups()
     common = TOP.fullmatch(top) is not None
-    if sign != ".":
-        return "@" if common or label.lower() not in DETERMINERS else None
     before = m.string[max(0, m.start() - 64) : m.start()].split()
-    if not before or not NAMED.search(before[-1]):
+    mailbox = bool(before) and NAMED.search(before[-1]) is not None
+    if sign != ".":
+        if label.lower() in DETERMINERS or (top.lower() in TOP_WORDS and not mailbox):
+            return None
+        return "@"
+    if not mailbox:
         return None
     # A stop may end a sentence: then what comes before is to be a name, too.
     named = any(c.isalpha() for c in before[-1])
@@ -223,24 +236,30 @@ def signs(tape: Tape) -> Tape:
 
 
 #: What rewrites a text, each as it does so: without a match there is nothing to rewrite.
-GATES = (BRACKET_SIGN, BARE_AT, BARE_DOT, SPELLED_RUN, SPELLED_LAST, SPELLED_PLUS)
+GATES = (BRACKET_SIGN, BARE_AT, BARE_DOT, SPELLED_RUN, SPELLED_LAST, SPELLED_PART, SPELLED_PLUS)
+
 
+def hidden(text: str) -> list[tuple[str, int, int, bool]]:
+    """What the rewritten text shows, as spans of the source, and whether each may widen others.
 
-def hidden(text: str) -> list[tuple[str, int, int]]:
-    """What the rewritten text shows, as spans of the source."""
+    A span may widen a plain one if it follows from single characters or signs;
+    a whole number is not to be widened by a number word that stands beside it.
+    """
     odd = ODD.search(text) is not None
     if not odd and not any(x.search(text) for x in GATES):
         return []
-    tape: Tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
+    tape: Tape = (text, array("q", range(len(text))), array("q", range(1, len(text) + 1)))
+    out = []
     if odd:
         tape = fold(tape)
+        out += [(*x, True) for x in shown(tape, text)]
     tape = spelled_digits(tape)
-    out = shown(signs(tape), text)
+    found = shown(signs(tape), text)
     # A number that is whole already is not to lose its end to "one" behind it.
     more = rewrite(tape, SPELLED_LAST, spelled)
     if more[0] != tape[0]:
-        out += shown(signs(rewrite(more, SPELLED_PLUS, lambda m: "+")), text)
-    return out
+        found += shown(signs(rewrite(more, SPELLED_PLUS, lambda m: "+")), text)
+    return out + [(*x, x[0] == "email") for x in found]
 
 
 def shown(tape: Tape, text: str) -> list[tuple[str, int, int]]:
@@ -250,18 +269,46 @@ def shown(tape: Tape, text: str) -> list[tuple[str, int, int]]:
     return [(kind, starts[a], ends[b - 1]) for kind, a, b in plain(tape[0])]
 
 
+class Spans:
+    """Spans of one kind that do not hold each other, found by place."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+
+    def add(self, start: int, end: int, widening: bool) -> bool:
+        """Whether the span is new: it overlaps none, or may widen and lies in none."""
+        at = bisect_left(self.spans, (start, end))
+        before, after = self.spans[max(0, at - 1) : at], self.spans[at : at + 1]
+        if any(s <= start and end <= e for s, e in before + after):
+            return False
+        if not widening and any(s < end and start < e for s, e in before + after):
+            return False
+        # Spans that the new one holds make room for it.
+        low, high = at, at
+        while high < len(self.spans) and self.spans[high][1] <= end:
+            high += 1
+        if low and self.spans[low - 1][0] == start:
+            low -= 1
+        self.spans[low:high] = [(start, end)]
+        return True
+
+
 def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) in code points, end exclusive, by start, then kind.
 
-    Base spans stay as they are; a span of the rewritten text is added if it
-    overlaps no span of its kind.
+    Base spans stay as they are. A span of the rewritten text is added if it
+    overlaps no span of its kind, or reaches beyond those that it overlaps: then
+    the base span is a part of a disguised one.
     """
     text = text or ""
     base = plain(text)
     out = [(*x, True) for x in base]
-    for kind, a, b in hidden(text):
-        if all(k != kind or b <= s or a >= e for k, s, e, _ in out):
-            out.append((kind, a, b, False))
+    more = hidden(text)
+    if more:
+        known = {k: Spans([(a, b) for kind, a, b in base if kind == k]) for k in KINDS}
+        for kind, a, b, widening in sorted(more, key=lambda x: (x[1], -x[2])):
+            if known[kind].add(a, b, widening):
+                out.append((kind, a, b, False))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
