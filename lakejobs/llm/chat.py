@@ -27,12 +27,34 @@ HEADERS = {role: f"### {role.capitalize()}:" for role in ROLES}
 OTHER = "### Role:"
 END = "</turn>"
 CONTROL = "|".join(re.escape(x) for x in (*HEADERS.values(), OTHER, END))
-ESCAPE = re.compile(rf"(\\*)({CONTROL})|(\\+)\Z")
+# A run of backslashes is entered at its start only and never given back, so the
+# time is linear.
+ESCAPE = re.compile(rf"(?<!\\)(\\*+)({CONTROL})|(?<!\\)(\\++)\Z")
 LEARNED = "assistant"
 
 FORMATTED = "conv_id bigint, turn bigint, n int, token_start bigint, ids array<int>, mask array<boolean>"
 
 
+#: The encoder's matcher fails on longer runs without a border, blanks or others.
+LONG_RUN = 50_000
+RUN = re.compile(r"\s++|\S++")
+
+
+def parts(text: str) -> list[str]:
+    """The text cut inside runs of more than LONG_RUN blanks or other characters only.
+
+    Ids are those of bytes, so the ids of the parts together read back as the text.
+    """
+    out, done = [], 0
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        for at in range(start + LONG_RUN, end, LONG_RUN):
+            out.append(text[done:at])
+            done = at
+    out.append(text[done:])
+    return out
+
+
 def escape(text: str) -> str:
     """Backslashes before a control string are doubled and one is added; at the end doubled."""
 
@@ -73,7 +95,9 @@ class ChatCoder:
         self.written |= {self.other: OTHER, self.name_end: "\n", self.end: END + "\n"}
 
     def encode(self, text: str) -> list[int]:
-        return self.text.encode_ordinary(text)
+        if len(text) <= LONG_RUN:
+            return self.text.encode_ordinary(text)
+        return [i for part in parts(text) for i in self.text.encode_ordinary(part)]
 
     def assemble(self, roles: list[str], texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, loss mask) of each turn: segments spliced, masks by prefix sums."""
@@ -142,7 +166,7 @@ def unescape_name(name: str) -> str:
 
 
 HEADER_LINE = re.compile(rf"(?:{'|'.join(re.escape(x) for x in HEADERS.values())})\n|{re.escape(OTHER)}")
-TURN_END = re.compile(rf"(\\*){re.escape(END)}\n")
+TURN_END = re.compile(rf"(?<!\\)(\\*+){re.escape(END)}\n")
 
 
 def read_written(text: str) -> list[tuple[str, str]]:
