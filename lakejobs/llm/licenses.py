@@ -74,7 +74,12 @@ FOUND = T.StructType(
     ]
 )
 
-Notice = namedtuple("Notice", "phrase label edits matcher")
+#: In notices of at most so many characters, words of at most three letters must
+#: stand unchanged: with an edit "mit license" would be "it license" as well.
+SHORT_NOTICE = 24
+SHORT_WORD = 3
+
+Notice = namedtuple("Notice", "phrase label edits matcher fixed")
 
 
 def pieces(phrase: str, edits: int) -> list[tuple[int, str]]:
@@ -93,7 +98,9 @@ def scanner():
         pattern = rf"(?b)(?<![^ ])(?:{regex.escape(phrase, literal_spaces=True)}){{e<={edits}}}(?![^ ])"
         for at, piece in pieces(phrase, edits):
             seeds.setdefault(piece, []).append((len(notices), at))
-        notices.append(Notice(phrase, label, edits, regex.compile(pattern)))
+        short = frozenset(w for w in phrase.split() if len(w) <= SHORT_WORD)
+        fixed = short if len(phrase) <= SHORT_NOTICE else frozenset()
+        notices.append(Notice(phrase, label, edits, regex.compile(pattern), fixed))
     automaton = ahocorasick.Automaton()
     for piece, owners in seeds.items():
         automaton.add_word(piece, (len(piece), owners))
@@ -120,11 +127,7 @@ def scan(text: str | None):
             # Where the whole notice can lie, with a neighbour on either side.
             lo = max(0, start - at - n.edits - 1)
             hi = min(len(line), start - at + len(n.phrase) + n.edits + 1)
-            mine = spans.setdefault(k, [])
-            if mine and lo <= mine[-1][1] and lo >= mine[-1][0]:
-                mine[-1][1] = max(mine[-1][1], hi)
-            else:
-                mine.append([lo, hi])
+            spans.setdefault(k, []).append([lo, hi])
     if not spans:
         return len(words), [], []
     blanks = [m.start() for m in re.finditer(" ", line)]
@@ -136,26 +139,22 @@ def scan(text: str | None):
             if (at == 0 or line[at - 1] == " ") and (end == len(line) or line[end] == " "):
                 base.append((label, word_at(blanks, at)))
             at = line.find(phrase, at + 1)
-    found = set()
+    found = []
     for k, places in spans.items():
         n = notices[k]
-        for lo, hi in joined(places):
+        hits = set()
+        for lo, hi in windows(places, 2 * len(n.phrase)):
             for m in finds(n.matcher, line, lo, hi):
                 a, b = m.span()
                 # The end of the window is no end of a word.
-                if a == b or (b < len(line) and line[b] != " "):
+                if (b < len(line) and line[b] != " ") or not n.fixed.issubset(m.group().split()):
                     continue
-                edits = sum(m.fuzzy_counts)
-                found.add(
-                    (
-                        word_at(blanks, a),
-                        word_at(blanks, b - 1),
-                        n.label,
-                        edits,
-                        1.0 - edits / len(n.phrase),
-                    )
-                )
-    return len(words), sorted(base, key=lambda x: (x[1], x[0])), sorted(found)
+                hits.add((sum(m.fuzzy_counts), a, b))
+        for edits, a, b in apart(hits):
+            first, last = word_at(blanks, a), word_at(blanks, b - 1)
+            found.append((first, last, n.label, edits, 1.0 - edits / len(n.phrase)))
+    # Notices of one label can find the same words.
+    return len(words), sorted(base, key=lambda x: (x[1], x[0])), sorted(set(found))
 
 
 def finds(matcher, line: str, lo: int, hi: int):
@@ -169,16 +168,31 @@ def finds(matcher, line: str, lo: int, hi: int):
             todo += [(start, m.start()), (m.end(), end)]
 
 
-def joined(places: list[list[int]]) -> list[list[int]]:
+def windows(places: list[list[int]], longest: int) -> list[list[int]]:
+    """Overlapping windows joined, but to no more than the given length: a find costs the
+    same wherever it is, and windows that stay apart overlap by a whole notice."""
     out: list[list[int]] = []
     for lo, hi in sorted(places):
-        if out and lo <= out[-1][1]:
+        if out and lo <= out[-1][1] and hi - out[-1][0] <= longest:
             out[-1][1] = max(out[-1][1], hi)
         else:
             out.append([lo, hi])
     return out
 
 
+def apart(hits: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of overlapping hits (edits, start, end) the one with the fewest edits, then the first."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for edits, a, b in sorted(hits):
+        at = bisect_right(taken, (a, b))
+        if (at and taken[at - 1][1] > a) or (at < len(taken) and taken[at][0] < b):
+            continue
+        taken.insert(at, (a, b))
+        out.append((edits, a, b))
+    return out
+
+
 @F.pandas_udf(FOUND)
 def notices_in(text: pd.Series) -> pd.DataFrame:
     got = [scan(t) for t in text]
