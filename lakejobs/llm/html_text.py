@@ -58,8 +58,20 @@ NOISE_WORDS = frozenset(
     "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer masthead topbar "
     "header cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe "
     "subscription signup login comment comments disqus replies reply respond share sharing social "
-    "related recommended widget widgets pagination pager skip toolbar".split()
+    "related recommended widget widgets pagination pager skip toolbar commentlist".split()
 )
+#: Words of a name that say nothing of what a block holds: "comment-list", "related-posts".
+FILLERS = frozenset(
+    "area bar block body box button buttons container content group inner item items left link "
+    "links list outer panel posts articles stories region right section slot text thread top "
+    "unit wrap wrapper zone bottom form".split()
+)
+#: Names by which a paragraph itself is no article text.
+ADVERTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split()
+)
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th".split())
+UNSEEN_STYLE = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", re.I)
 
 TAG = re.compile(
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -69,7 +81,7 @@ ATTRIBUTE = re.compile(
 )
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-#: Parts without text that a reader sees; all other noise depends on how much text it has.
+#: Parts without text that a reader sees.
 UNSEEN_TAGS = frozenset(
     "head script style noscript template iframe svg math canvas object embed audio video select "
     "option textarea datalist title xmp noembed noframes".split()
@@ -78,23 +90,20 @@ UNSEEN_TAGS = frozenset(
 HAVING = frozenset("has have with without no is js".split())
 #: A header with one of these in its name is the article's.
 OF_ARTICLE = frozenset("article post entry content main story page title body text".split())
-SURE, WORD, HINT = 3, 2, 1
-#: Share of the text that readers see, links aside, above which a block is no noise.
-MOST = {WORD: 1 / 2, HINT: 1 / 3}
-#: Share of a block's text below which the text outside all noise is no article.
-LEFT = 1 / 10
+#: Why a block is noise: it is not seen, by its tag or role, by its name.
+UNSEEN, TAGGED, NAMED = 3, 2, 1
 
 
 class Node:
     __slots__ = (
-        "tag", "parent", "children", "kind", "noise", "own", "clean", "holds", "chars", "tags",
+        "tag", "parent", "children", "kind", "noise", "own", "holds", "chars", "tags",
         "link_chars", "link_tags", "density", "total",
     )
 
     def __init__(self, tag: str, parent: "Node | None", kind: int):
         self.tag, self.parent, self.kind = tag, parent, kind
         self.noise = self.holds = False
-        self.own = self.clean = 0
+        self.own = 0
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -109,85 +118,136 @@ def attributes_of(written: str) -> dict[str, str]:
 
 
 def noise_of(tag: str, written: str, inside_article: bool) -> int:
-    """SURE for what is not seen, WORD for a noise tag, role or name, HINT for a part of a name."""
+    """Why a block is noise, or 0; whatever its length."""
     if tag in UNSEEN_TAGS:
-        return SURE
-    kind = WORD if tag in NOISE_TAGS or (tag == "header" and not inside_article) else 0
-    if tag in ("html", "body", "article", "main") or not written:
+        return UNSEEN
+    kind = TAGGED if tag in NOISE_TAGS or (tag == "header" and not inside_article) else 0
+    if tag in ("html", "body", "main") or not written:
         return kind
     values = attributes_of(written)
-    if "hidden" in values:
-        return SURE
+    if "hidden" in values or UNSEEN_STYLE.search(values.get("style", "")):
+        return UNSEEN
     if (
         values.get("role", "").strip().lower() in NOISE_ROLES
         or values.get("aria-hidden", "").strip().lower() == "true"
     ):
-        kind = WORD
-    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
-        if name.lower() in NOISE_WORDS:
-            kind = WORD
-        elif not kind and hints(WORDS.findall(CAMEL.sub(" ", name).lower())):
-            kind = HINT
+        kind = TAGGED
+    if not kind:
+        names = f"{values.get('class', '')} {values.get('id', '')}".split()
+        known = ADVERTS if tag in PARAGRAPHS else NOISE_WORDS
+        if any(speaks_of(WORDS.findall(CAMEL.sub(" ", x).lower()), known) for x in names):
+            kind = NAMED
     return kind
 
 
-def hints(words: list[str]) -> bool:
-    """Whether the words of a longer name speak of noise."""
-    for n, word in enumerate(words):
-        if word not in NOISE_WORDS or not HAVING.isdisjoint(words[:n]):
-            continue
-        if word == "header" and not OF_ARTICLE.isdisjoint(words):
-            continue
-        return True
-    return False
+def speaks_of(words: list[str], known: frozenset[str]) -> bool:
+    """Whether a name's words say that the block is one of the known kinds.
+
+    The last word that is no filler says what a block is: "user-comments" and
+    "comment-list" are comments, "share-price" is a price.
+    """
+    if not HAVING.isdisjoint(words[:-1]):
+        return False
+    at = len(words) - 1
+    while at > 0 and words[at] in FILLERS and words[at] not in known:
+        at -= 1
+    if at < 0 or words[at] not in known:
+        return False
+    return words[at] != "header" or OF_ARTICLE.isdisjoint(words)
 
 
-def judge(root: Node) -> None:
-    """Decide which parts are noise: never one that has most of the text and holds the article.
+def judge(root: Node, headings: list[tuple[Node, bool]], articles: list[Node]) -> list[Node]:
+    """Decide which parts are noise; the parts that are so by name only are returned.
 
-    It does if it has the page's heading or article, or little is left without
-    noise; a long footer below a short article does not.
+    A block that holds the article is none, whatever its tag or name: the page's
+    heading (the first inside an article, or the first at all), its main part, or
+    its only article.
     """
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
-        todo += [x for x in node.children if isinstance(x, Node) and x.kind != SURE]
+        todo += [x for x in node.children if isinstance(x, Node) and x.kind != UNSEEN]
+    heading = next((h for h, inside in headings if inside), headings[0][0] if headings else None)
+    only = articles[0] if len(articles) == 1 else None
+    named = []
     for node in reversed(order):
-        node.holds = node.tag in ("h1", "article", "main")
+        node.holds |= node is heading or node is only or node.tag == "main"
         for x in node.children:
             if isinstance(x, Node):
-                if x.kind != SURE:
+                if x.kind != UNSEEN:
                     node.own += x.own
-                    node.clean += x.clean
                     node.holds |= x.holds
             elif node.tag != "a":
                 node.own += blank(x)
-                node.clean += blank(x)
-        if node.kind:
-            node.clean = 0
     todo = [root]
     while todo:
         for x in todo.pop().children:
             if isinstance(x, Node):
-                most = x.kind in MOST and x.own > MOST[x.kind] * root.own
-                holds = x.holds or root.clean < LEFT * x.own
-                x.noise = x.kind > 0 and not (most and (x.kind == HINT or holds))
+                x.noise = x.kind == UNSEEN or (x.kind > 0 and not x.holds)
+                if x.noise and x.kind == NAMED:
+                    named.append(x)
                 if not x.noise:
                     todo.append(x)
+    return named
+
+
+class Open:
+    """The open nodes from the root down, with the places of each tag among them.
+
+    To find the nearest open tag takes no walk, so deep pages take linear time.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {root.tag: [0]}
+
+    @property
+    def here(self) -> Node:
+        return self.nodes[-1]
 
+    def nearest(self, tags) -> int:
+        """The place of the nearest open node with one of the tags; -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
 
-def parse(page: str) -> Node:
-    """The tree of a page. Open ends are closed as browsers do for these tags."""
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the node at the place and all below it; the root stays."""
+        while len(self.nodes) > max(1, place):
+            self.places[self.nodes.pop().tag].pop()
+
+    def close(self, tag: str) -> None:
+        """After an end tag: the nearest open node of that name ends, if any is open."""
+        place = self.nearest((tag,))
+        bound = self.nearest(("table", "td", "th")) if tag in INLINE or tag in ("p", "li") else -1
+        if place > 0 and place >= bound:
+            self.cut(place)
+
+    def close_up_to(self, tags, stop) -> None:
+        """The nearest open node of the tags ends, unless a container lies between."""
+        place = self.nearest(tags)
+        if place > 0 and place >= self.nearest(stop):
+            self.cut(place)
+
+
+def parse(page: str) -> tuple[Node, list[Node]]:
+    """The tree of a page, and its parts that are noise by name only.
+
+    Open ends are closed as browsers do for these tags.
+    """
     root = Node("html", None, 0)
-    here = root
+    stack = Open(root)
     at, n = 0, len(page)
-    articles = 0
+    headings: list[tuple[Node, bool]] = []
+    articles: list[Node] = []
     closing: dict[str, bool] = {}
 
     def text(piece: str) -> None:
         if piece:
-            here.children.append(html.unescape(piece))
+            stack.here.children.append(html.unescape(piece))
 
     while at < n:
         lt = page.find("<", at)
@@ -216,20 +276,23 @@ def parse(page: str) -> Node:
         at = m.end()
         tag, attributes = m.group(2).lower(), m.group(3)
         if m.group(1):
-            here = close(here, tag)
+            stack.close(tag)
             continue
         if tag in ("html", "body"):
             if tag == "body":
-                while here.parent is not None:
-                    here = here.parent
+                stack.cut(1)
             continue
         if tag in ENDS_P:
-            here = close_up_to(here, {"p"}, {"table", "td", "th", "button", "li", "div", "article"})
+            stack.close_up_to(("p",), ("table", "td", "th", "button", "li", "div", "article"))
         if tag in ENDS_SIBLING:
-            here = close_up_to(here, *ENDS_SIBLING[tag])
-        inside = any(x.tag in ("article", "main") for x in above(here)) if tag == "header" else False
-        node = Node(tag, here, noise_of(tag, attributes, inside))
-        here.children.append(node)
+            stack.close_up_to(*ENDS_SIBLING[tag])
+        inside = stack.nearest(("article", "main")) >= 0
+        node = Node(tag, stack.here, noise_of(tag, attributes, inside))
+        stack.here.children.append(node)
+        if tag == "h1":
+            headings.append((node, inside))
+        elif tag == "article" and not node.kind:
+            articles.append(node)
         if tag in RAW:
             if closing.get(tag, True):
                 stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
@@ -240,9 +303,8 @@ def parse(page: str) -> Node:
                 node.children.append(html.unescape(page[at : stop.start() if stop else n]))
             at = stop.end() if stop else n
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            here = node
-    judge(root)
-    return root
+            stack.push(node)
+    return root, judge(root, headings, articles)
 
 
 def above(node: Node | None):
@@ -251,25 +313,6 @@ def above(node: Node | None):
         node = node.parent
 
 
-def close(here: Node, tag: str) -> Node:
-    """After an end tag: the parent of the nearest open node of that name, if any is open."""
-    for node in above(here):
-        if node.tag == tag and node.parent is not None:
-            return node.parent
-        if node.tag in ("table", "td", "th") and tag in INLINE | {"p", "li"}:
-            break
-    return here
-
-
-def close_up_to(here: Node, tags: set[str], stop: set[str]) -> Node:
-    for node in above(here):
-        if node.tag in tags:
-            return node.parent or node
-        if node.tag in stop:
-            break
-    return here
-
-
 def blank(piece: str) -> int:
     return len(" ".join(piece.split()))
 
@@ -286,6 +329,7 @@ def measure(root: Node) -> list[Node]:
         order.append(node)
         todo += [x for x in node.children if isinstance(x, Node) and not x.noise]
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for x in node.children:
             if isinstance(x, str):
                 node.chars += blank(x)
@@ -351,8 +395,13 @@ def article_text(page: str | None) -> str:
     """The article of a page: blocks in page order, single blanks; empty if there is none."""
     if not page:
         return ""
-    root = parse(page)
+    root, named = parse(page)
     order = measure(root)
+    if root.chars == 0 and named:
+        # Nothing but blocks that are noise by name: then the names are wrong.
+        for node in named:
+            node.noise = False
+        order = measure(root)
     if root.chars == 0:
         return ""
     best = max((x for x in order if x.tag not in INLINE), key=lambda x: x.total)
