@@ -181,7 +181,7 @@ def line_quality(
     words_left, kept, and the row keys `__rk`, `__rc`.
 
     A null text counts as empty and is rejected for its length. A null host is
-    a host of its own. Repeated rows give repeated results. Other columns of the
+    the host without a name, that of empty names. Repeated rows give repeated results. Other columns of the
     input are not looked at. An empty table gives an empty result.
     """
     measured = materialize(measure(docs, id_col, text_col, host_col), "line-quality")

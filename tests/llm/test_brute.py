@@ -298,19 +298,17 @@ def test_quality(spark, sf):
 
 
 def host_lines(rows, limits):
-    """Lines above the limit by host, counted plainly."""
-    docs, sigs = Counter(), defaultdict(set)
+    """Lines above the limit by host: distinct texts are counted, plainly."""
+    docs, holders = defaultdict(set), defaultdict(set)
     for host, text in rows:
-        docs[host] += 1
-        lines = {normal(x) for x in (text or "").split("\n") if SPACE.search(x)}
-        if lines:
-            first = min(lines, key=lambda x: signed(xxhash.xxh64_intdigest(x, 42)))
-            for x in lines:
-                sigs[host, x].add(first)
+        docs[host].add(text or "")
+        for line in (text or "").split("\n"):
+            if SPACE.search(line):
+                holders[host, normal(line)].add(text)
     return {
         key
-        for key, s in sigs.items()
-        if len(s) > limits.min_docs and len(s) > docs[key[0]] * limits.max_share
+        for key, texts in holders.items()
+        if len(texts) > limits.min_docs and len(texts) > len(docs[key[0]]) * limits.max_share
     }
 
 
