@@ -27,11 +27,12 @@ from lakejobs.sinks.lake import (
     run_handler,
 )
 from lakejobs.sources.jsonl import first_bad_line, parse_lines, read_lines
+from lakejobs.sources.ledger import FileLedger, batch_of
 
 
 def ingest(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     handler: Handler,
     batch_size: int = DEFAULT_BATCH,
     on_error: str = "fail",
@@ -117,7 +118,7 @@ def judged_lines(
 
 def land(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     target: str,
     rules: Sequence[Rule] = CONTRACT_RULES,
     strict: bool = True,
@@ -145,6 +146,59 @@ def land(
     return RunStats(got["rows"] - got["errors"], 1, got["errors"], got["first_error"])
 
 
+def land_new(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    ledger: FileLedger,
+    rules: Sequence[Rule] = CONTRACT_RULES,
+    strict: bool = True,
+    max_files: int = 10_000,
+) -> list[RunStats]:
+    """Land the files of a folder that no earlier call has taken; totals of each batch.
+
+    A batch takes at most max_files files, the oldest first, writes its rows to
+    target/batch=... and is entered in the ledger last. A call that failed half
+    way is repeated without doubling a row. Read the rows with `landed_new`.
+    """
+    done = []
+    while files := ledger.next_files(spark, folder, max_files):
+        batch = batch_of(files)
+        paths = [f["path"] for f in files]
+        done.append(land(spark, paths, f"{target}/batch={batch}", rules, strict, "overwrite"))
+        ledger.enter(spark, files, batch)
+    return done
+
+
+def landed_new(
+    spark: SparkSession, target: str, ledger: FileLedger, verdict: str | None = None
+) -> DataFrame:
+    """Rows that `land_new` landed and that count, of one verdict or all."""
+    rows = ledger.rows(spark, spark.read.parquet(target))
+    return rows if verdict is None else rows.where(F.col("verdict") == verdict)
+
+
+def ingest_new(
+    spark: SparkSession,
+    folder: str,
+    handler: Handler,
+    ledger: FileLedger,
+    max_files: int = 10_000,
+    **how,
+) -> list[RunStats]:
+    """`ingest` for the files that no earlier call has taken, in batches of max_files.
+
+    A batch's name is the run's id, so a sink that knows its runs, such as
+    SilverJob, takes a repeated batch once.
+    """
+    done = []
+    while files := ledger.next_files(spark, folder, max_files):
+        batch = batch_of(files)
+        done.append(ingest(spark, [f["path"] for f in files], handler, run_id=batch, **how))
+        ledger.enter(spark, files, batch)
+    return done
+
+
 def landed(spark: SparkSession, target: str, verdict: str = "accepted") -> DataFrame:
     """Rows of one verdict; other verdicts' directories are not read."""
     return spark.read.parquet(target).where(F.col("verdict") == verdict).drop("verdict")

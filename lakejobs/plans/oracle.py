@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lakejobs.plans.state_oracle import state_sql
+
 C1 = "TIMESTAMP '2024-01-11 00:00:00'"
 C2 = "TIMESTAMP '2024-01-21 00:00:00'"
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
@@ -501,4 +503,5 @@ def oracle() -> dict[str, str]:
         FROM ({LATEST.format(source='good')}) WHERE op <> 'd'"""
     sql["lake_job"] = f"""WITH {EVT} SELECT event_type, op, count(*) AS n_users
         FROM ({LATEST.format(source='evt')}) WHERE op <> 'd' GROUP BY 1, 2"""
+    sql |= state_sql(sql)
     return sql

@@ -78,6 +78,8 @@ def query(f: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
+    from lakejobs.plans import state_queries  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,13 +36,15 @@ def file_options(spark: SparkSession, path: str) -> dict[str, str]:
     return {"recursiveFileLookup": "true", "pathGlobFilter": "*.jsonl"}
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file and position.
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines of a file, a folder or listed files, with their file and position.
 
     (block_start, line_seq) orders the lines of one file; every block is read
     by one task, so no numbering pass is needed.
     """
-    reader = spark.read.options(lineSep="\n", **file_options(spark, path))
+    options = file_options(spark, path) if isinstance(path, str) else {}
+    reader = spark.read.options(lineSep="\n", **options)
+    path = path if isinstance(path, str) else list(path)
     return reader.text(path).select(
         F.regexp_replace("value", "\r$", "").alias("value"),
         F.col("_metadata.file_path").alias("file"),
