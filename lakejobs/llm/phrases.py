@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,7 +34,7 @@ BLANKS = b" \t"
 LONGEST = 4
 NEVER = 255
 #: Bytes looked at together, and the longest word hashed by its bytes' sum.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 LONG_WORD = 200
 
 COUNTED = "lang string, kind int, phrase string, n bigint"
@@ -103,7 +104,7 @@ class Words:
         self.starts = np.flatnonzero(edge == 1)
         self.ends = np.flatnonzero(edge == -1)
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
-        self.hashes = [self._hash(k) for k in range(2)]
+        self._hashes: dict[int, np.ndarray] = {}
         # Words of a phrase not divided by one plain blank are joined one by one.
         odd = np.zeros(len(self.starts) + 1, np.int32)
         if len(self.starts) > 1:
@@ -112,6 +113,20 @@ class Words:
             odd[-1] = odd[-2]
         self.odd = odd
 
+    def hashes(self, k: int) -> np.ndarray:
+        """One of two independent hashes of each word."""
+        if k not in self._hashes:
+            self._hashes[k] = self._hash(k)
+        return self._hashes[k]
+
+    def grams(self, at: np.ndarray, length: int, k: int) -> np.ndarray:
+        """The hashes of the phrases of so many words that start at the given words."""
+        words = self.hashes(k)
+        out = words[at]
+        for n in range(2, length + 1):
+            out = mix(out * factor(n) + words[at + (n - 1)])
+        return out
+
     def _hash(self, k: int) -> np.ndarray:
         up, down = _POWERS[k].upto(len(self.data) + 1)
         upto = np.zeros(len(self.data) + 1, _U)
@@ -155,11 +170,14 @@ def chunks(raw: bytes, size: int = CHUNK) -> Iterator[tuple[bytes, int]]:
         low = high
 
 
+def factor(length: int) -> np.uint64:
+    return _U(0xA24BAED4963EE407 + 2 * length)
+
+
 def extended(shorter: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
     """Hashes of phrases of so many words, from those one word shorter and the last words."""
     n = max(len(words) - length + 1, 0)
-    factor = _U(0xA24BAED4963EE407 + 2 * length)
-    return mix(shorter[:n] * factor + words[len(words) - n :])
+    return mix(shorter[:n] * factor(length) + words[len(words) - n :])
 
 
 def cells_of(hashes: np.ndarray, lang: str, cells: int) -> np.ndarray:
@@ -183,29 +201,30 @@ def distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndar
 def scan(raw: bytes, limit: int, lang: str, reached: np.ndarray, step: int, shards: int):
     """Counts of what is active in this scan: (length, start, phrases, counts) groups.
 
-    reached holds for each cell the scan after which a phrase in it had reached
-    the threshold.
+    The group of length 0 counts all words. reached holds for each cell the scan
+    after which a phrase in it had reached the threshold.
     """
     words = Words(raw)
     n = len(words.starts)
     before = int(np.searchsorted(words.starts, limit))
     if step < shards and before:
-        at, sizes = distinct(words.hashes[0][:before], words.hashes[1][:before])
+        yield 0, np.zeros(1, np.int64), pa.array([""], pa.large_string()), np.array([before])
+        at, sizes = distinct(words.hashes(0)[:before], words.hashes(1)[:before])
         yield 1, np.zeros(len(at), np.int64), words.phrases(at, 1), sizes
-    grams = list(words.hashes)
+    gram = words.hashes(0)
     for length in range(2, LONGEST + 1):
         starts = n - length + 1
         if starts <= 0:
             return
-        known = reached[cells_of(grams[0], lang, len(reached))].astype(np.int16)
+        known = reached[cells_of(gram, lang, len(reached))].astype(np.int16)
         since = np.maximum(known[:-1], known[1:])[:starts] + 1
-        grams = [extended(g, w, length) for g, w in zip(grams, words.hashes)]
+        gram = extended(gram, words.hashes(0), length)
         active = (since <= step) & (step < since + shards)
         active &= words.piece[length - 1 :] == words.piece[:starts]
         active[before:] = False
         where = np.flatnonzero(active)
         if len(where):
-            at, sizes = distinct(grams[0][where], grams[1][where])
+            at, sizes = distinct(gram[where], words.grams(where, length, 1))
             at = where[at]
             yield length, since[at].astype(np.int64), words.phrases(at, length), sizes
 
@@ -243,14 +262,10 @@ def cell_column(cells: int):
 
     @F.pandas_udf("bigint")
     def cell(lang, phrase):
-        import pandas as pd
-
         out = np.zeros(len(phrase), np.int64)
         for i, (a, b) in enumerate(zip(lang, phrase)):
             words = Words(b.encode())
-            gram = words.hashes[0]
-            for length in range(2, len(words.starts) + 1):
-                gram = extended(gram, words.hashes[0], length)
+            gram = words.grams(np.zeros(1, np.int64), len(words.starts), 0)
             out[i] = cells_of(gram, a, cells)[0]
         return pd.Series(out)
 
@@ -312,13 +327,13 @@ def frequent_phrases(
     reached = np.full(mining.cells, NEVER, np.uint8)
     running = spark.createDataFrame([], COUNTED + ", reached int")
     done = spark.createDataFrame([], COUNTED)
-    totals = spark.createDataFrame([], "lang string, n bigint")
     path, latest = None, 0
     for step in range(LONGEST * shards):
         table = spark.sparkContext.broadcast(reached.tobytes())
         counted = dealt.where(F.col("shard") == step % shards).select("lang", "text")
         found = counted.mapInArrow(scanner(table, step, shards), COUNTED)
-        started = F.shiftright("kind", 3)
+        # What has met every shard is finished; below the threshold it goes.
+        over = F.shiftright("kind", 3) + (shards - 1) == step
         merged = (
             running.select("lang", "kind", "phrase", "n", "reached")
             .unionByName(found.withColumn("reached", F.lit(None).cast("int")))
@@ -328,28 +343,28 @@ def frequent_phrases(
                 "reached",
                 F.coalesce("reached", F.when(F.col("n") >= least, F.lit(step))),
             )
+            .where(~over | (F.col("n") >= least) | (kind_length() == 0))
         )
         older, path = path, new_path(spark, "phrase-counts")
         merged.write.parquet(path)
         now = spark.read.schema(merged.schema).parquet(path)
         table.destroy()
-        if mark(reached, now.where((F.col("reached") == step) & (kind_length() < LONGEST)), step):
+        fresh = now.where((F.col("reached") == step) & kind_length().between(1, LONGEST - 1))
+        if mark(reached, fresh, step):
             latest = step
-        if step == shards - 1:
-            words = now.where(kind_length() == 1)
-            totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-        # What has met every shard is finished; below the threshold it goes.
-        over = started + (shards - 1) == step
-        finished = now.where(over & (F.col("n") >= least)).select(*done.columns)
-        done = done.unionByName(materialize(finished, "phrase-done"))
+        done = done.unionByName(materialize(now.where(over).select(*done.columns), "phrase-done"))
         running = now.where(~over)
         if older:
             delete_path(spark, older)
         # Phrases that the latest arrivals let start have met every shard by then.
         if step >= latest + shards:
             break
-    phrases = done.select("lang", kind_length().alias("length"), "phrase", "n")
-    return Counted(materialize(phrases, "phrase-frequent"), totals)
+    all_done = materialize(
+        done.select("lang", kind_length().alias("length"), "phrase", "n"), "phrase-frequent"
+    )
+    return Counted(
+        all_done.where("length > 0"), all_done.where("length = 0").select("lang", "n")
+    )
 
 
 def kind_length() -> Column:

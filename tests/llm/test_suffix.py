@@ -97,5 +97,5 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = [q for q in entry.queries() if q[2:3].isdigit()]
-    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 14))
     assert "pipeline" in entry.queries()
