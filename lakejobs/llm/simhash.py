@@ -1,10 +1,15 @@
 """Near-duplicates by SimHash with an inverted index over fingerprint bytes.
 
 Two fingerprints of eight bytes that differ in at most two bits agree in at
-least six byte positions. The index therefore lists fingerprints under every
-six of their positional bytes: a pair that shares a list has the guaranteed
-minimum of matching bytes, a pair that shares none has not. A list holds at
-most 65,536 distinct fingerprints, those of the two bytes left open.
+least six byte positions. The index lists fingerprints under positional bytes;
+for the pairs of a list the shared positional bytes are tallied, pairs that reach
+the guaranteed minimum of six are kept, and their bits are verified.
+
+A list under one byte would hold 1/256 of all fingerprints, so entries are made of
+four positions: of the four neighbouring pairs of bytes at least two are untouched,
+so every pair of fingerprints meets under one of six entries. Lists that are still
+long are split by two more of the four bytes left, of which two are untouched as
+well; such a list has at most 65,536 fingerprints, those of the two open bytes.
 """
 
 from __future__ import annotations
@@ -25,8 +30,15 @@ from lakejobs.session import materialize
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
-#: The two byte positions that each of the lists leaves open.
-OPEN_BYTES = list(combinations(range(8), 2))
+BYTES = 8
+#: Byte positions that fingerprints within the bit distance share at least.
+LEAST_SHARED = BYTES - MAX_BITS
+#: The byte positions of each entry of the index.
+ENTRIES = [
+    (2 * a, 2 * a + 1, 2 * b, 2 * b + 1) for a, b in combinations(range(BYTES // 2), 2)
+]
+#: Longer lists are split; shorter ones are tallied pair by pair.
+LONG_LIST = 512
 LINKS = T.ArrayType(
     T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 )
@@ -83,21 +95,34 @@ def hex_of(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def linked(values: np.ndarray) -> np.ndarray:
-    """For fingerprints that share six bytes: the smallest position each is linked to.
+def tallied(values: np.ndarray) -> np.ndarray:
+    """For fingerprints of a short list: the smallest position each is linked to.
+
+    Shared positional bytes are tallied for every pair; pairs at the guaranteed
+    minimum are verified bit by bit.
+    """
+    raw = values.astype("<i8").view("u1").reshape(-1, BYTES)
+    shared = np.zeros((len(values), len(values)), np.uint8)
+    for at in range(BYTES):
+        shared += raw[:, at, None] == raw[None, :, at]
+    a, b = np.nonzero(np.triu(shared >= LEAST_SHARED, 1))
+    apart = np.unpackbits((values[a] ^ values[b]).astype("<i8").view("u1").reshape(-1, BYTES), axis=1)
+    near = apart.sum(axis=1) <= MAX_BITS
+    return least_linked(len(values), a[near], b[near])
+
+
+def looked_up(values: np.ndarray) -> np.ndarray:
+    """The same for a list that shares six bytes, of any length.
 
-    The bytes that differ within the list are tallied away first; what is left
-    is sixteen open bits, in which every change of one or two bits is looked up.
+    All its pairs reach the minimum; what is left are sixteen open bits, in which
+    every change of one or two bits is looked up.
     """
-    raw = values.astype("<i8").view("u1").reshape(-1, 8)
+    raw = values.astype("<i8").view("u1").reshape(-1, BYTES)
     varied = np.flatnonzero((raw != raw[0]).any(axis=0))[-2:]
     code = np.zeros(len(values), np.int64)
     for at in varied:
         code = code << 8 | raw[:, at]
     label = np.arange(len(values))
-    if len(values) == 2:
-        near = int(code[0] ^ code[1]).bit_count() <= MAX_BITS
-        return np.array([0, 0]) if near else label
     where = np.full(1 << 16, -1, np.int64)
     where[code] = label
     links = []
@@ -107,6 +132,12 @@ def linked(values: np.ndarray) -> np.ndarray:
         links.append((mine, other[mine]))
     a = np.concatenate([x for x, _ in links])
     b = np.concatenate([y for _, y in links])
+    return least_linked(len(values), a, b)
+
+
+def least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For n places with links a to b: the smallest place each can be reached from."""
+    label = np.arange(n)
     while True:
         before = label.copy()
         least = np.minimum(label[a], label[b])
@@ -119,10 +150,11 @@ def linked(values: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(LINKS)
 def links_of(lists: pd.Series) -> pd.Series:
+    """The links of a star for each group of a list."""
     out = []
     for one in lists:
         values = np.sort(np.asarray(one, np.int64))
-        root = linked(values)
+        root = tallied(values) if len(values) <= LONG_LIST else looked_up(values)
         moved = np.flatnonzero(root != np.arange(len(root)))
         out.append(
             [{"u": u, "v": v} for u, v in zip(values[moved].tolist(), values[root[moved]].tolist())]
@@ -130,31 +162,63 @@ def links_of(lists: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def mask_of(open_bytes: tuple[int, int]) -> int:
-    mask = (1 << 64) - 1
-    for at in open_bytes:
-        mask &= ~(0xFF << (8 * at))
+def mask_of(positions: tuple[int, ...]) -> int:
+    """The bits of the byte positions, as a signed number."""
+    mask = sum(0xFF << (8 * at) for at in positions)
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def under(prints: DataFrame, col: str, entries: Column) -> DataFrame:
+    """(col, c, k): each fingerprint under its entries, given as (number, mask)."""
+    entry = F.transform(
+        entries, lambda e: F.struct(e["c"].alias("c"), F.col(col).bitwiseAND(e["m"]).alias("k"))
+    )
+    return prints.select(col, F.explode(entry).alias("p")).select(col, "p.c", "p.k")
+
+
+def entry_list(entries: list[tuple[int, ...]], first: int = 0) -> Column:
+    return F.array(
+        *(
+            F.struct(F.lit(first + n).alias("c"), F.lit(mask_of(x)).cast("long").alias("m"))
+            for n, x in enumerate(entries)
+        )
+    )
+
+
 def links(prints: DataFrame, col: str = "fp") -> DataFrame:
     """Links (u, v) that join all fingerprints within the bit distance.
 
     prints holds distinct fingerprints. Each list yields the links of a star for
     each of its groups, so their number is linear in the postings.
     """
-    postings = F.array(
-        *(
-            F.struct(F.lit(n).alias("c"), F.col(col).bitwiseAND(F.lit(mask_of(pair))).alias("k"))
-            for n, pair in enumerate(OPEN_BYTES)
+    postings = under(prints, col, entry_list(ENTRIES))
+    long = materialize(
+        postings.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST),
+        "long-lists",
+    ).select("c", "k")
+    short = postings
+    if not long.isEmpty():
+        short = postings.join(long, ["c", "k"], "left_anti")
+        split = postings.join(long, ["c", "k"], "left_semi")
+        # Under each entry, those that add two of its four open bytes.
+        finer = F.element_at(
+            F.array(
+                *(
+                    entry_list(
+                        [x + y for y in combinations(sorted(set(range(BYTES)) - set(x)), 2)],
+                        len(ENTRIES) * (n + 1),
+                    )
+                    for n, x in enumerate(ENTRIES)
+                )
+            ),
+            F.col("c") + 1,
         )
-    )
-    lists = (
-        prints.select(col, F.explode(postings).alias("p"))
-        .groupBy("p.c", "p.k")
-        .agg(F.collect_list(col).alias("fps"))
-        .where(F.size("fps") > 1)
-    )
+        short = short.unionByName(
+            split.select(col, F.explode(finer).alias("e")).select(
+                col, F.col("e.c").alias("c"), F.col(col).bitwiseAND(F.col("e.m")).alias("k")
+            )
+        )
+    lists = short.groupBy("c", "k").agg(F.collect_list(col).alias("fps")).where(F.size("fps") > 1)
     return (
         lists.select(F.explode(links_of("fps")).alias("e")).select("e.u", "e.v").where("u <> v")
     )

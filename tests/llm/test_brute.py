@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -407,9 +408,13 @@ def test_simhash(spark, sf):
         assert (got[k].fingerprint, got[k].component_id) == (f"{p:016x}", roots[k])
 
 
-def test_links_of_chains_and_balls(spark):
+@pytest.mark.parametrize("long_list", [4, 512])
+def test_links_of_chains_and_balls(spark, monkeypatch, long_list):
+    """Lists that are split and lists that are tallied whole."""
     from lakejobs.llm.components import components
 
+    monkeypatch.setattr(simhash, "LONG_LIST", long_list)
+
     rng = random.Random(2)
     prints = set()
     for _ in range(25):
@@ -432,6 +437,16 @@ def test_links_of_chains_and_balls(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_long_lists_equal_short_ones():
+    """A list that shares six bytes: looked up and tallied alike."""
+    rng = random.Random(6)
+    for bits in (3, 6, 9, 16):
+        base = rng.getrandbits(63)
+        some = {base ^ (rng.getrandbits(bits) << 24) for _ in range(400)}
+        values = np.array(sorted(signed(x) for x in some), np.int64)
+        assert (simhash.looked_up(values) == simhash.tallied(values)).all()
+
+
 def test_keep_first(spark, sf):
     docs = spark.read.parquet(f"{sf[0]}/documents.parquet")
     prints = {k: brute_simhash(t) for k, t in enumerate(sf[1])}
