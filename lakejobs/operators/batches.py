@@ -20,10 +20,13 @@ def with_batches(
 ) -> DataFrame:
     """Add batch_no: consecutive runs of `size` rows within each file.
 
-    A size of zero or less means the default.
+    position is to tell the rows of a file apart. A size of zero or less means
+    the default.
     """
     size = size if size > 0 else DEFAULT_BATCH
-    numbered = ordered_columns(df, [file], position, {"__at": ("row_number", None)}, max_rows)
+    numbered = ordered_columns(
+        df, [file], position, {"__at": ("row_number", None)}, max_rows, total=True
+    )
     batch = F.floor((F.col("__at") - 1) / F.lit(size)).cast("long")
     return numbered.withColumn("batch_no", batch).drop("__at")
 

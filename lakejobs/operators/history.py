@@ -53,7 +53,8 @@ def _versions(
             {"valid_from": F.col(ts), "is_current": F.col("valid_to").isNull()}
         )
 
-    return OrderedRows(ranked, keys, order, max_rows).add({"valid_to": ("lead", ts)}).change(close)
+    # The order names all columns: rows that tie on it are alike.
+    return OrderedRows(ranked, keys, order, max_rows, total=True).add({"valid_to": ("lead", ts)}).change(close)
 
 
 def history_view(
@@ -66,7 +67,8 @@ def history_view(
     """Public history: no deletes; with `tracked`, runs of equal values are one row."""
     if tracked is None:
         return log.where(F.col(op) != "d")
-    ordered = OrderedRows(log, keys, ["valid_from"], max_rows)
+    # A key has one version for each time.
+    ordered = OrderedRows(log, keys, ["valid_from"], max_rows, total=True)
     return _folded(ordered, tracked, op).select(*log.columns)
 
 

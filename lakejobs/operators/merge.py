@@ -178,54 +178,6 @@ def backfill(
     return merge_current(state, wanted, keys, version)
 
 
-def fence(
-    df: DataFrame,
-    fences: DataFrame,
-    ts: str = "ts_event",
-    writer: str = "writer_id",
-) -> DataFrame:
-    """Drop rows another writer wrote inside a range owned by one writer.
-
-    fences has writer_id, from_ts, to_ts; a range is [from_ts, to_ts), and a
-    null end means it is open there. A row stays if no range covers it, or a
-    range of its own writer does. Ranges are listed by the days they touch, one
-    row per day, so each row meets at most one list and is read once.
-    """
-    seen = df.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).first()
-    if seen["low"] is None:
-        return df
-    low, high = F.lit(seen["low"]), F.lit(seen["high"])
-    owned = F.struct(
-        F.col("writer_id").alias("owner"), F.col("from_ts").alias("a"), F.col("to_ts").alias("b")
-    )
-    first = F.to_date(F.greatest(F.coalesce("from_ts", low), low))
-    last = F.to_date(F.least(F.coalesce("to_ts", high), high))
-    days = (
-        fences.where(F.coalesce(F.col("from_ts") < F.col("to_ts"), F.lit(True)))
-        .select(owned.alias("f"), first.alias("first"), last.alias("last"))
-        .where("first <= last")
-        .select("f", F.explode(F.sequence("first", "last")).alias("__fday"))
-        .groupBy("__fday")
-        .agg(F.collect_list("f").alias("__fences"))
-    )
-    time = F.col(ts)
-
-    def covers(f: Column) -> Column:
-        return (f["a"].isNull() | (time >= f["a"])) & (f["b"].isNull() | (time < f["b"]))
-
-    covering = F.filter("__fences", covers)
-    stays = (
-        F.col("__fences").isNull()
-        | (F.size(covering) == 0)
-        | F.exists(covering, lambda f: f["owner"].eqNullSafe(F.col(writer)))
-    )
-    return (
-        df.join(days, F.to_date(time) == F.col("__fday"), "left")
-        .where(stays)
-        .select(*df.columns)
-    )
-
-
 def rebuild(bronze: DataFrame, keys: Sequence[str], version: Sequence[str] = VERSION) -> DataFrame:
     """State computed again from the whole change log."""
     return merge_current(None, bronze, keys, version)

@@ -90,7 +90,7 @@ def add_offsets(
 def holes(seen: DataFrame, part: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """(part, lo, hi) of the positions that are missing between those seen."""
     rows = ordered_columns(
-        seen.select(*part, "lo", "hi"), part, ["lo"], {"__prior": ("lag", "hi")}, max_rows
+        seen.select(*part, "lo", "hi"), part, ["lo"], {"__prior": ("lag", "hi")}, max_rows, total=True
     )
     return rows.where("__prior IS NOT NULL").select(
         *part, (F.col("__prior") + 1).alias("lo"), (F.col("lo") - 1).alias("hi")

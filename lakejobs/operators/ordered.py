@@ -31,13 +31,15 @@ def ordered_columns(
     order: Sequence[str],
     spec: Spec,
     max_rows: int = MAX_GROUP_ROWS,
+    total: bool = False,
 ) -> DataFrame:
     """Add one column per spec entry {name: (kind, source column)}.
 
     keys may be empty (one global order). The order is ascending; rows that tie
-    on it come in a fixed order of their other columns.
+    on it come in a fixed order of their other columns. total says that no two
+    rows of a group tie, which saves hashing their columns.
     """
-    return OrderedRows(df, keys, order, max_rows).add(spec).rows()
+    return OrderedRows(df, keys, order, max_rows, total).add(spec).rows()
 
 
 class OrderedRows:
@@ -52,11 +54,13 @@ class OrderedRows:
         keys: Sequence[str],
         order: Sequence[str],
         max_rows: int = MAX_GROUP_ROWS,
+        total: bool = False,
     ) -> None:
         # Rows that tie on the order come by a hash of all their columns, so a
         # plain and a cut group agree; rows equal in all columns are alike.
-        df = df.withColumn(_TIE, F.xxhash64(*[orderable(df, c) for c in df.columns]))
-        self.keys, self.order = list(keys), [*order, _TIE]
+        if not total:
+            df = df.withColumn(_TIE, F.xxhash64(*[orderable(df, c) for c in df.columns]))
+        self.keys, self.order = list(keys), [*order, *([] if total else [_TIE])]
         self._plain: DataFrame | None = df
         self._pieces: DataFrame | None = None
         self._written = False
@@ -126,9 +130,11 @@ def _hot_groups(
         return None, -(-total // max_rows) + 1 if total > max_rows else 0
     named = [F.col(k).alias(f"__hot_{k}") for k in keys]
     counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows)
-    hot = materialize(counts, "hot")
-    pieces = hot.agg(F.sum(F.ceil(F.col("__n") / F.lit(max_rows)) + 1)).first()[0]
-    return (hot.drop("__n"), int(pieces)) if pieces else (None, 0)
+    pieces = counts.agg(F.sum(F.ceil(F.col("__n") / F.lit(max_rows)) + 1)).first()[0]
+    if not pieces:
+        return None, 0
+    # Only now is there something to write down.
+    return materialize(counts, "hot").drop("__n"), int(pieces)
 
 
 def _window(df: DataFrame, part: Sequence[str], order: Sequence[str], spec: Spec) -> DataFrame:

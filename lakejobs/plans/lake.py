@@ -248,8 +248,8 @@ class SilverJob:
     def table(self) -> KeyedTable:
         return KeyedTable(self.silver_path, tuple(self.keys), tuple(self.order), self.buckets)
 
-    def state(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        return self.table.read(spark, upto)
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        return self.table.read(spark)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Take one batch; usable with foreachBatch and safe to run again.
@@ -279,8 +279,8 @@ class SilverJob:
             return
         passed = self.gate is None or may_publish(self.gate(batch))
         if passed:
-            version = self.table.append(batch, run, batch_id)
-            self.publish(batch, version)
+            self.table.append(batch, run, batch_id)
+            self.publish(batch)
             self.table.fold(spark, self.fold_after)
         else:
             held = f"{self.silver_path}/held/source={run or 'none'}/batch_id={batch_id}"
@@ -298,20 +298,20 @@ class SilverJob:
             )
             append_audit(row, self.audit_path)
 
-    def publish(self, changes: DataFrame, version: int) -> None:
-        """Bring the marts up to a version: keyed ones by the changed keys, others whole."""
+    def publish(self, changes: DataFrame) -> None:
+        """Bring the marts up to date: keyed ones by the changed keys, others whole."""
         spark = changes.sparkSession
         keyed = [m for m in self.marts if m.keys]
         if keyed:
             placed = with_bucket(changes.select(*self.keys), self.keys, self.buckets)
             only = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
-            state = self.table.read(spark, version, only)
+            state = self.table.read(spark, only)
             touched = keep_matching(state, changes, self.keys)
             for mart in keyed:
-                publish_upsert(mart.table(), mart.build(touched))
+                publish_upsert(mart.table(), mart.build(touched), self.fold_after)
         for mart in self.marts:
             if not mart.keys:
-                publish_replace(mart.build(live(self.state(spark, version))), mart.path)
+                publish_replace(mart.build(live(self.state(spark))), mart.path)
 
     def held(self, spark: SparkSession) -> list[tuple[str, int]]:
         """Source and number of every batch that is held."""
@@ -326,14 +326,14 @@ class SilverJob:
         """Merge and publish a held batch after all."""
         path = f"{self.silver_path}/held/source={source}/batch_id={batch_id}"
         batch = spark.read.parquet(path)
-        version = self.table.append(batch, f"released {source}", batch_id)
-        self.publish(batch, version)
+        self.table.append(batch, f"released {source}", batch_id)
+        self.publish(batch)
         delete_path(spark, path)
 
     def rebuild(self, bronze: DataFrame) -> None:
-        """Silver and marts again from the whole change log, as a new version."""
-        version = self.table.replace(rebuild(bronze, self.keys, self.order))
-        self.publish(bronze, version)
+        """Silver and marts again from the whole change log."""
+        self.table.replace(rebuild(bronze, self.keys, self.order))
+        self.publish(bronze)
 
 
 def watermark_of(df: DataFrame, ts: str, delay: str) -> Column | None:

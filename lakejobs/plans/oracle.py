@@ -368,6 +368,14 @@ def oracle() -> dict[str, str]:
             WHEN ts_event >= {C2} AND ts_event < TIMESTAMP '2024-03-01' THEN 'live' END AS owner
             FROM rows)
         SELECT source_pos, writer_id, value FROM owned WHERE owner IS NULL OR owner = writer_id"""
+    sql["fence_many"] = f"""WITH {EVT}, rows AS (SELECT source_pos, ts_event,
+            'w' || CAST(source_pos % 4 AS VARCHAR) AS writer_id FROM evt),
+        fences AS (SELECT 'w' || CAST(id % 3 AS VARCHAR) AS owner, {C1} + to_seconds(id * 7) AS a,
+            {C1} + to_seconds(id * 7 + id % 40 + 1) AS b FROM (SELECT unnest(range(10000)) AS id)),
+        hit AS (SELECT source_pos, bool_or(owner = writer_id) AS own FROM rows JOIN fences
+            ON ts_event >= a AND ts_event < b GROUP BY 1)
+        SELECT source_pos, writer_id FROM rows LEFT JOIN hit USING (source_pos)
+        WHERE own IS NULL OR own"""
     sql["enrich_orders"] = """SELECT o_orderkey, o_totalprice, c_name, n_name,
         c_custkey IS NOT NULL AS matched_c_custkey, n_nationkey IS NOT NULL AS matched_n_nationkey
         FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON o_custkey = c_custkey

@@ -18,7 +18,7 @@ from lakejobs.functions.keys import (
     with_partitions,
 )
 from lakejobs.functions.rules import Rule, apply_policy, validate
-from lakejobs.operators import audit, contract, history, merge, quality, upkeep
+from lakejobs.operators import audit, contract, fencing, history, merge, quality, upkeep
 from lakejobs.operators.batches import batch_summary, with_batches
 from lakejobs.operators.contract import (
     CONTRACT_RULES,
@@ -63,6 +63,9 @@ _QUERIES: dict[str, Query] = {}
 FIRST_CUT = datetime(2024, 1, 11)
 SECOND_CUT = datetime(2024, 1, 21)
 
+#: Rows above which the `_cut` queries cut a group.
+CUT_ROWS = 500
+
 STATE_COLUMNS = ["source_pk", "op", "ts_event", "source_pos", "event_type", "value", "k"]
 HISTORY_COLUMNS = [
     "source_pk", "op", "source_pos", "event_type", "value", "valid_from", "valid_to", "is_current",
@@ -113,8 +116,7 @@ def batch_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_summaries_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with every file above the limit, so that groups are cut."""
     ev = table(spark, sf_dir, "events").select("event_type", "event_id", "user_id")
-    limit = max(50, ev.count() // 40)
-    batched = with_batches(ev, "event_type", ["event_id"], 100, max_rows=limit)
+    batched = with_batches(ev, "event_type", ["event_id"], 100, max_rows=CUT_ROWS)
     return batch_summary(batched, "event_type", ["event_id"], "user_id")
 
 
@@ -294,9 +296,8 @@ def late_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_rate_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One global order, cut into pieces."""
     log = change_log(spark, sf_dir)
-    limit = max(50, log.count() // 16)
     return quality.late_rate(
-        log, "ts_event", ["ingest_ts", "source_pos"], "15 minutes", max_rows=limit
+        log, "ts_event", ["ingest_ts", "source_pos"], "15 minutes", max_rows=CUT_ROWS
     )
 
 
@@ -336,9 +337,8 @@ def offset_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def offset_violations_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = change_log(spark, sf_dir).select("event_type", "source_pos", "ingest_ts")
-    limit = max(50, log.count() // 30)
     return quality.offset_violations(
-        log, ["event_type"], "source_pos", ["ingest_ts", "source_pos"], max_rows=limit
+        log, ["event_type"], "source_pos", ["ingest_ts", "source_pos"], max_rows=CUT_ROWS
     ).select("event_type", "source_pos", "previous_pos", "kind")
 
 
@@ -532,8 +532,7 @@ def scd2_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History per event type, each of them too long for one task."""
     log = change_log(spark, sf_dir)
-    limit = max(50, log.count() // 30)
-    return history.scd2(log, ["event_type"], tracked=["source_pk"], max_rows=limit).select(
+    return history.scd2(log, ["event_type"], tracked=["source_pk"], max_rows=CUT_ROWS).select(
         *HISTORY_COLUMNS
     )
 
@@ -589,10 +588,26 @@ def fence(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("backfill", FIRST_CUT, SECOND_CUT), ("live", SECOND_CUT, datetime(2024, 3, 1))],
         "writer_id string, from_ts timestamp_ntz, to_ts timestamp_ntz",
     )
-    kept = merge.fence(live.unionByName(again), fences)
+    kept = fencing.fence(live.unionByName(again), fences)
     return kept.select("source_pos", "writer_id", "value")
 
 
+@query
+def fence_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten thousand overlapping ranges of one day, each owned by one of three writers."""
+    log = change_log(spark, sf_dir).withColumn(
+        "writer_id", F.concat(F.lit("w"), F.col("source_pos") % 4)
+    )
+    start = _lit_ts(FIRST_CUT) + F.make_dt_interval(secs=(F.col("id") * 7).cast("decimal(18,6)"))
+    fences = spark.range(10_000).select(
+        F.concat(F.lit("w"), F.col("id") % 3).alias("writer_id"),
+        start.alias("from_ts"),
+        (start + F.make_dt_interval(secs=(F.col("id") % 40 + 1).cast("decimal(18,6)"))).alias("to_ts"),
+    )
+    kept = fencing.fence(log, fences)
+    return kept.select("source_pos", "writer_id")
+
+
 @query
 def enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections import Counter
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakejobs.functions.keys import with_bucket, with_partitions
 from lakejobs.operators.dedup import dedup_latest
@@ -53,37 +52,16 @@ def write_bronze(
     out.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
-@dataclass(frozen=True)
-class Commit:
-    """One finished write of a keyed table."""
-
-    version: int
-    kind: str
-    part: str
-    buckets: frozenset[int]
-    schema: T.StructType
-    source: str
-    batch_id: int | None
-    at: datetime
-
-
-_COMMIT = (
-    "version long, kind string, part string, buckets array<int>, schema string, "
-    "source string, batch_id long, at timestamp"
-)
-
-
 @dataclass(frozen=True)
 class KeyedTable:
     """Current rows by key, in key buckets: a Silver or hot table.
 
-    A batch is appended as a delta of the buckets it touches; `fold` makes
-    deltas one base again, on a schedule. Every write goes to a directory of its
-    own and counts once its small commit record, written last, names it, so a
-    failed attempt and a running reader never meet. Versions are the table's
-    own numbers. A batch is known by its source and number: appending it again
-    does nothing, and a source that starts over counts as another one. One
-    writer at a time.
+    Plain directories: `base=<n>` has one row per key, `epoch=<n>` the batches
+    that came after it, each in a directory named after its source and number. A
+    directory counts once Spark has marked its write as complete. A batch that is
+    there already is not written again; one that was folded into a base since
+    changes nothing when it comes again, because the newest version of a key
+    wins. `fold` writes the next base, on a schedule. One writer at a time.
     """
 
     path: str
@@ -91,153 +69,89 @@ class KeyedTable:
     order: Sequence[str] = ("ts_event", "source_pos")
     buckets: int = 64
 
-    def commits(self, spark: SparkSession) -> list[Commit]:
-        """All commits, oldest first; `remove_superseded` bounds their number."""
-        if path_status(spark, f"{self.path}/commits") == "absent":
-            return []
-        rows = spark.read.schema(_COMMIT).parquet(f"{self.path}/commits/*").collect()
-        found = [
-            Commit(
-                r["version"], r["kind"], r["part"], frozenset(r["buckets"]),
-                T.StructType.fromJson(json.loads(r["schema"])), r["source"], r["batch_id"], r["at"],
-            )
-            for r in rows
-        ]
-        return sorted(found, key=lambda c: c.version)
-
-    def append(self, changes: DataFrame, source: str = "", batch_id: int | None = None) -> int:
-        """Add a batch of changes; returns the version that holds it."""
-        spark = changes.sparkSession
-        commits = self.commits(spark)
-        for c in commits:
-            if batch_id is not None and (c.source, c.batch_id) == (source, batch_id):
-                return c.version
-        newest = dedup_latest(changes, self.keys, self.order)
-        return self._write(newest, "delta", None, commits, source, batch_id)
-
-    def replace(self, state: DataFrame) -> int:
+    def base(self, spark: SparkSession) -> int:
+        """Number of the newest complete base; 0 before the first."""
+        return max((int(n[5:]) for n in self._complete(spark, self.path, "base=")), default=0)
+
+    def batches(self, spark: SparkSession) -> list[str]:
+        """The complete batches after the newest base; `fold` bounds their number."""
+        return self._complete(spark, f"{self.path}/epoch={self.base(spark)}", "batch=")
+
+    def append(self, changes: DataFrame, source: str = "", batch_id: int | None = None) -> bool:
+        """Add a batch of changes; False if it was there already."""
+        name = f"{source}-{uuid.uuid4().hex if batch_id is None else batch_id}"
+        place = f"{self.path}/epoch={self.base(changes.sparkSession)}/batch={quote(name, safe='')}"
+        if path_status(changes.sparkSession, f"{place}/_SUCCESS") == "file":
+            return False
+        self._write(dedup_latest(changes, self.keys, self.order), place)
+        return True
+
+    def replace(self, state: DataFrame) -> None:
         """Make `state`, one row per key, the whole table."""
-        commits = self.commits(state.sparkSession)
-        return self._write(state, "base", range(self.buckets), commits)
-
-    def fold(self, spark: SparkSession, deltas: int = 1) -> int | None:
-        """Rewrite the buckets that have at least so many deltas as a base."""
-        commits = self.commits(spark)
-        parts = self._parts(commits)
-        due = [
-            b for b in range(self.buckets)
-            if sum(b in some and c.kind == "delta" for c, some in parts) >= deltas
-        ]
-        if not due:
-            return None
-        return self._write(self._rows(spark, parts, due), "base", due, commits)
+        self._write(state, f"{self.path}/base={self.base(state.sparkSession) + 1}")
 
-    def read(
-        self, spark: SparkSession, upto: int | None = None, only: Sequence[int] | None = None
-    ) -> DataFrame | None:
-        """Rows as of a version, tombstones included; None if nothing was committed.
+    def fold(self, spark: SparkSession, batches: int = 1) -> bool:
+        """Write the next base if at least so many batches came after the last."""
+        if len(self.batches(spark)) < batches:
+            return False
+        self.replace(self.read(spark))
+        return True
 
-        Columns are the union of those of all parts read. Buckets with one part
-        pass through without a shuffle.
+    def read(self, spark: SparkSession, only: Sequence[int] | None = None) -> DataFrame | None:
+        """Rows by key, tombstones included; None if nothing was written.
+
+        One scan reads the base and one all batches, however many there are.
+        Buckets that no batch touches pass through without a shuffle. Columns are
+        the union of those of all files read.
         """
-        commits = [c for c in self.commits(spark) if upto is None or c.version <= upto]
-        return self._rows(spark, self._parts(commits), only) if commits else None
+        n = self.base(spark)
+        epoch = f"{self.path}/epoch={n}"
+        filled = {
+            b: [int(x[7:]) for x, _ in listed(spark, f"{epoch}/{b}") if x.startswith("bucket=")]
+            for b in self._complete(spark, epoch, "batch=")
+        }
+        paths = [f"{epoch}/{b}" for b, buckets in filled.items() if buckets]
+        touched = sorted({x for buckets in filled.values() for x in buckets})
+        base = new = None
+        wide = spark.read.option("mergeSchema", "true")
+        if any(x.startswith("bucket=") for x, _ in listed(spark, f"{self.path}/base={n}")):
+            base = wide.parquet(f"{self.path}/base={n}")
+        if paths:
+            new = wide.option("basePath", epoch).parquet(*paths).drop("batch")
+        if base is None and new is None:
+            return None
+        wanted = F.lit(True) if only is None else F.col("bucket").isin(list(only))
+        if new is None:
+            return base.where(wanted).drop("bucket")
+        if base is None:
+            return dedup_latest(new.where(wanted).drop("bucket"), self.keys, self.order)
+        meets = F.col("bucket").isin(touched)
+        both = base.where(wanted & meets).unionByName(new.where(wanted), allowMissingColumns=True)
+        merged = dedup_latest(both.drop("bucket"), self.keys, self.order)
+        rest = base.where(wanted & ~meets).drop("bucket")
+        return merged.unionByName(rest, allowMissingColumns=True)
 
     def remove_superseded(self, spark: SparkSession, age: timedelta) -> list[str]:
-        """Delete directories no reader of the last `age` can need; returns their names.
-
-        These are parts that were replaced before that time, with their commit
-        records, and parts of that age that no commit names.
-        """
-        commits = self.commits(spark)
-        limit = datetime.now() - age
-        old = [c for c in commits if c.at <= limit]
-        if not old:
-            return []
-        needed = {c.part for c, _ in self._parts(old)}
-        gone = [c for c in old if c.part not in needed]
-        for c in gone:
-            delete_path(spark, f"{self.path}/commits/version={c.version}")
-            delete_path(spark, f"{self.path}/data/{c.part}")
-        named = {c.part for c in commits}
-        lost = [
+        """Delete bases and epochs before the newest base that no reader of the last
+        `age` can need; returns their names."""
+        limit, newest = datetime.now() - age, self.base(spark)
+        old = [
             name
-            for name, changed in listed(spark, f"{self.path}/data")
-            if name not in named and changed <= limit
+            for name, changed in listed(spark, self.path)
+            if name.startswith(("base=", "epoch=")) and int(name.split("=")[1]) < newest
+            and changed <= limit
         ]
-        for name in lost:
-            delete_path(spark, f"{self.path}/data/{name}")
-        return sorted([c.part for c in gone] + lost)
-
-    def _parts(self, commits: Sequence[Commit]) -> list[tuple[Commit, set[int]]]:
-        """For each commit that still counts, the buckets for which it does."""
-        open_, out = set(range(self.buckets)), []
-        for c in reversed(commits):
-            some = open_ & c.buckets
-            if some:
-                out.append((c, some))
-            if c.kind == "base":
-                open_ -= c.buckets
-        return out[::-1]
-
-    def _rows(
-        self,
-        spark: SparkSession,
-        parts: Sequence[tuple[Commit, set[int]]],
-        only: Sequence[int] | None = None,
-    ) -> DataFrame:
-        wanted = set(range(self.buckets) if only is None else only)
-        times = Counter(b for _, some in parts for b in some)
-        single = {b for b, n in times.items() if n == 1}
-        alone: DataFrame | None = None
-        several: DataFrame | None = None
-        for c, some in parts:
-            alone = self._and(alone, spark, c, some & wanted & single)
-            several = self._and(several, spark, c, (some & wanted) - single)
-        if several is not None:
-            merged = dedup_latest(several, self.keys, self.order)
-            alone = merged if alone is None else alone.unionByName(merged, allowMissingColumns=True)
-        if alone is None:
-            return self._part(spark, parts[-1][0]).limit(0).drop("bucket")
-        return alone.drop("bucket")
-
-    def _part(self, spark: SparkSession, c: Commit) -> DataFrame:
-        full = T.StructType([*c.schema, T.StructField("bucket", T.IntegerType())])
-        return spark.read.schema(full).parquet(f"{self.path}/data/{c.part}")
-
-    def _and(
-        self, before: DataFrame | None, spark: SparkSession, c: Commit, some: set[int]
-    ) -> DataFrame | None:
-        if not some:
-            return before
-        part = self._part(spark, c).where(F.col("bucket").isin(sorted(some)))
-        return part if before is None else before.unionByName(part, allowMissingColumns=True)
-
-    def _write(
-        self,
-        rows: DataFrame,
-        kind: str,
-        touched: Iterable[int] | None,
-        commits: Sequence[Commit],
-        source: str = "",
-        batch_id: int | None = None,
-    ) -> int:
-        spark = rows.sparkSession
-        part = f"part-{uuid.uuid4().hex}"
-        target = f"{self.path}/data/{part}"
-        placed = with_bucket(rows, self.keys, self.buckets)
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
-        if touched is None:
-            written = spark.read.schema("bucket int").parquet(target)
-            touched = [r["bucket"] for r in written.distinct().collect()]
-        version = commits[-1].version + 1 if commits else 0
-        record = (
-            version, kind, part, sorted(touched), rows.schema.json(), source, batch_id,
-            datetime.now(),
-        )
-        out = spark.createDataFrame([record], _COMMIT)
-        out.coalesce(1).write.parquet(f"{self.path}/commits/version={version}")
-        return version
+        for name in old:
+            delete_path(spark, f"{self.path}/{name}")
+        return sorted(old)
+
+    def _complete(self, spark: SparkSession, folder: str, prefix: str) -> list[str]:
+        names = sorted(n for n, _ in listed(spark, folder) if n.startswith(prefix))
+        return [n for n in names if path_status(spark, f"{folder}/{n}/_SUCCESS") == "file"]
+
+    def _write(self, rows: DataFrame, place: str) -> None:
+        placed = with_bucket(rows, self.keys, self.buckets).hint("rebalance", "bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(place)
 
 
 def publish_replace(df: DataFrame, path: str, keep: int = 2) -> None:
@@ -279,15 +193,17 @@ def publish_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
-def publish_upsert(table: KeyedTable, staged: DataFrame) -> int:
+def publish_upsert(table: KeyedTable, staged: DataFrame, fold_after: int = 16) -> None:
     """Upsert rows into a hot table; staging the same rows again changes nothing.
 
     Staged rows may carry op; rows with op 'd' remove their key. Only the staged
-    rows are written. Read the table with `hot_rows`.
+    rows are written, and every `fold_after` batches become a base again. Read the
+    table with `hot_rows`.
     """
     if "op" not in staged.columns:
         staged = staged.withColumn("op", F.lit("u"))
-    return table.append(staged)
+    table.append(staged)
+    table.fold(staged.sparkSession, fold_after)
 
 
 def hot_rows(spark: SparkSession, table: KeyedTable) -> DataFrame:

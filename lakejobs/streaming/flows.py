@@ -130,8 +130,8 @@ def silver_stream(
     """Append a change stream to a Silver table; a replayed batch changes nothing.
 
     A stream with a new checkpoint is another source, so its batches count again
-    and the merge by version keeps the newest row per key. Buckets are folded
-    once they have `fold_after` deltas.
+    and the merge by version keeps the newest row per key. Every `fold_after`
+    batches become a base again.
     """
     table = KeyedTable(silver_path, tuple(keys), tuple(order), buckets)
 
@@ -204,17 +204,23 @@ def split_late_stream(
 
 
 def upsert_stream(
-    stream: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None
+    stream: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    every: str | None = None,
+    fold_after: int = 16,
 ) -> StreamingQuery:
     """Keep a keyed table up to date with every change of a stream's result.
 
     For aggregates: windows still open are in the table as they stand, and the
-    newest value by the table's order wins.
+    newest value by the table's order wins. Every `fold_after` batches become a
+    base again.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             table.append(batch, query_id(batch), batch_id)
+            table.fold(batch.sparkSession, fold_after)
 
     writer = stream.writeStream.outputMode("update").foreachBatch(upsert)
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()

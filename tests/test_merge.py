@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lakejobs.operators import history, merge
+from lakejobs.operators import fencing, history, merge
 from lakejobs.operators.dedup import dedup_latest
 from lakejobs.operators.enrich import enrich, unmatched
 
@@ -165,16 +165,16 @@ def test_fence(spark):
         [("fix", at(10), at(3000)), ("live", at(1500), at(1501)), ("gone", at(5), at(5))],
         "writer_id string, from_ts timestamp_ntz, to_ts timestamp_ntz",
     )
-    got = rows(merge.fence(df, fences))
+    got = rows(fencing.fence(df, fences))
     want = [(w, at(m)) for m in (0, 3000) for w in ("live", "fix", "other")]
     want += [("fix", at(10)), ("fix", at(1500)), ("live", at(1500)), ("fix", at(2999))]
     assert got == sorted(want, key=repr)
     open_ended = spark.createDataFrame([("fix", at(1500), None), ("live", None, at(10))], fences.schema)
-    got = rows(merge.fence(df, open_ended))
+    got = rows(fencing.fence(df, open_ended))
     want = [("live", at(0)), ("fix", at(1500)), ("fix", at(2999)), ("fix", at(3000))]
     want += [(w, at(10)) for w in ("live", "fix", "other")]
     assert got == sorted(want, key=repr)
-    assert merge.fence(df.limit(0), fences).count() == 0
+    assert fencing.fence(df.limit(0), fences).count() == 0
 
 
 def intervals(data, tracked=False):
