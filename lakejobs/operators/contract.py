@@ -222,6 +222,11 @@ def _change(actual: T.DataType, wanted: T.DataType) -> str | None:
     return "widened" if wanted.typeName() in wider else "narrowed"
 
 
+def type_change(actual: T.DataType, wanted: T.DataType) -> str | None:
+    """How one type differs from another: None, 'widened' or 'narrowed'."""
+    return _change(actual, wanted)
+
+
 def _field_change(field: T.StructField, wanted: T.StructType) -> str | None:
     if field.name not in wanted.names:
         return "narrowed"

@@ -433,7 +433,8 @@ def oracle() -> dict[str, str]:
                count(*) FILTER (damage = 'decoded') AS events,
                count(*) FILTER (damage NOT IN ('decoded', 'blank')) AS errors FROM j"""
     sql["jsonl_sink_roundtrip"] = PROJECTED
-    sql["rotate_files"] = "SELECT count(*) AS n_lines, TRUE AS within_limit FROM events"
+    sql["rotate_files"] = """SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type
+        || '","user_id":' || user_id || '}' AS value, TRUE AS within_limit FROM events"""
 
     sql["bronze_scan"] = f"""WITH {EVT} SELECT source_pk, ts_event, source_pos, op, value,
         CAST(CAST('0x' || substr(md5(CAST(source_pk AS VARCHAR)), 1, 8) AS BIGINT) % 4 AS INTEGER)
@@ -478,13 +479,26 @@ def oracle() -> dict[str, str]:
         date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n_events
         FROM events GROUP BY 1, 2, 3"""
     sql["silver_stream"] = LIVE
-    sql["stream_totals"] = """SELECT CAST(count(*) AS BIGINT) AS rows_of_batches, count(*) AS n_rows,
-        TRUE AS every_batch, CAST(0 AS BIGINT) AS errors FROM events"""
+    sql["stream_totals"] = """WITH c AS (SELECT event_id % 120, count(*) AS n FROM events GROUP BY 1)
+        SELECT n AS n_rows, count(*) AS n_batches, CAST((SELECT count(*) FROM events) AS BIGINT)
+            AS all_rows, CAST((SELECT count(*) FROM c) AS BIGINT) AS all_batches
+        FROM c GROUP BY 1"""
     sql["land_stream_files"] = sql["land_files"]
     sql["split_late_stream"] = f"""WITH {EVT}, w AS (SELECT *, ts_event >= {C2}
             OR source_pos % 5 = 0 AS second FROM evt)
         SELECT source_pos, second AND ts_event < (SELECT max(ts_event) FROM w WHERE NOT second)
             - INTERVAL 15 MINUTES AS late FROM w"""
+    sql["split_late_by_source"] = f"""WITH {EVT}, w AS (SELECT *, ts_event >= {C2}
+            OR (event_type = 'click' AND ts_event >= {C1}) OR source_pos % 5 = 0 AS second FROM evt),
+        m AS (SELECT event_type, max(ts_event) AS mark FROM w WHERE NOT second GROUP BY 1)
+        SELECT 'own' AS judge, source_pos,
+            coalesce(second AND ts_event < mark - INTERVAL 15 MINUTES, FALSE) AS late
+        FROM w LEFT JOIN m USING (event_type)
+        UNION ALL SELECT 'least', source_pos,
+            second AND ts_event < (SELECT min(mark) FROM m) - INTERVAL 15 MINUTES FROM w"""
+    sql["stopped_streams"] = f"""WITH {EVT} SELECT stream, source_pos,
+            stream = 'ends' AS ended_by_itself, FALSE AS is_active
+        FROM evt, (VALUES ('waits'), ('ends')) AS s(stream)"""
     sql["bus_records"] = f"""WITH {EVT} SELECT event_type AS topic,
         CAST(source_pk % 4 AS INTEGER) AS source_partition, source_pos,
         CAST(source_pk AS VARCHAR) AS source_pk,

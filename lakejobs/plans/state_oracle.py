@@ -78,6 +78,19 @@ def state_sql(sql: dict[str, str]) -> dict[str, str]:
         "pack_and_swap": f"""WITH {LOG} SELECT source_pos, ts_event, op, value,
             CAST(CAST(ts_event AS DATE) AS VARCHAR) AS event_date, CAST(1 AS BIGINT) AS n_files
             FROM log""",
+        "history_regions": sql["scd2"],
+        "distinct_sketches": """WITH e AS (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day
+                FROM events), s AS (SELECT day AS scope, * FROM e UNION ALL
+                SELECT event_type, * FROM e UNION ALL SELECT 'all', * FROM e)
+            SELECT scope, count(*) AS n_rows, count(DISTINCT event_id) AS n_distinct,
+                TRUE AS in_bound FROM s GROUP BY 1""",
+        "contract_versions": """SELECT 'v' || (event_id % 3 + 1) AS version, event_id,
+                user_id AS user, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
+                CASE WHEN event_id % 3 > 0 THEN event_type END AS kind,
+                CASE WHEN event_id % 3 = 2 THEN CASE event_type WHEN 'signup' THEN 'c'
+                    WHEN 'error' THEN 'd' ELSE 'u' END || ',' || event_type ELSE '' END AS tags,
+                CASE WHEN event_id % 3 = 2 THEN 'web' ELSE 'unknown' END AS origin,
+                'backward' AS chain FROM events""",
         # A line's file was landed for the first version that could take it; blank lines are none.
         "lineage_files": """SELECT 'vehicles/' || version AS publication, count(*) AS n_lines
             FROM (SELECT unnest(range(1, 6)) AS version) JOIN events ON event_id % 5 < version

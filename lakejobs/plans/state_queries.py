@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakejobs.functions.keys import with_partitions
-from lakejobs.operators import expiry, lineage, offsets, packing
+from lakejobs.operators import expiry, lineage, offsets, packing, sketches, versions
+from lakejobs.operators.history_regions import HistoryTable
 from lakejobs.plans import lake
 from lakejobs.plans.queries import (
     FIRST_CUT,
+    HISTORY_COLUMNS,
     SECOND_CUT,
     _before,
     _event_lines,
@@ -186,3 +188,75 @@ def lineage_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("name").alias("publication"))
         .agg(F.sum("n").alias("n_lines"))
     )
+
+
+@query
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users by day, by type and over all, from one stored table of sketches."""
+    path = new_path(spark, "sketches")
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts").cast("string"))
+    sketches.sketches(events, ["day", "event_type"], "event_id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = None
+    for scope in ("day", "event_type", None):
+        name = F.col(scope) if scope else F.lit("all")
+        approx = sketches.estimated(sketches.merged(stored.withColumn("scope", name), ["scope"]))
+        exact = events.withColumn("scope", name).groupBy("scope").agg(
+            F.count_distinct("event_id").alias("n_distinct")
+        )
+        got = sketches.checked(approx, exact, ["scope"], 3 * sketches.ERROR)
+        some = got.select("scope", "n_rows", "n_distinct", "in_bound")
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+def _event_versions() -> versions.Contract:
+    """Three versions: a nested field comes, types grow, a field goes and another comes."""
+    first = T.StructType.fromDDL("event_id bigint NOT NULL, user int, note string, body struct<k: int>")
+    second = T.StructType.fromDDL(
+        "event_id bigint NOT NULL, user bigint, note string, body struct<k: int, kind: string>"
+    )
+    third = T.StructType.fromDDL(
+        "event_id bigint NOT NULL, user bigint, body struct<k: bigint, kind: string, tags: array<string>>, "
+        "origin string"
+    )
+    return versions.Contract([("v1", first), ("v2", second), ("v3", third)])
+
+
+@query
+def contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written under three versions, read under the newest, with the kind of the chain."""
+    contract = _event_versions()
+    log = change_log(spark, sf_dir)
+    values = {
+        "event_id": F.col("source_pos"), "user": F.col("source_pk"), "note": F.col("op"),
+        "origin": F.lit("web"),
+    }
+    parts = {"k": F.col("k"), "kind": F.col("event_type"), "tags": F.array("op", "event_type")}
+    tables = {}
+    for n, (name, schema) in enumerate(contract.versions):
+        path = new_path(spark, f"rows-{name}")
+        body = F.struct(*[parts[f.name].cast(f.dataType).alias(f.name) for f in schema["body"].dataType])
+        cols = [
+            (body if f.name == "body" else values[f.name].cast(f.dataType)).alias(f.name) for f in schema
+        ]
+        log.where(F.col("source_pos") % 3 == n).select(*cols).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    rows = contract.read(tables, {"origin": "unknown"})
+    return rows.select(
+        "version", "event_id", "user", "body.k", "body.kind",
+        F.concat_ws(",", "body.tags").alias("tags"), "origin", F.lit(contract.chain()).alias("chain"),
+    )
+
+
+@query
+def history_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored history after three merges, the last with late changes of the first days."""
+    log = change_log(spark, sf_dir)
+    late = F.col("source_pos") % 9 == 0
+    first = F.col("ts_event") < _lit_ts(FIRST_CUT)
+    last = (F.col("ts_event") >= _lit_ts(SECOND_CUT)) | late
+    stored = HistoryTable(new_path(spark, "history"), KEYS, VERSION, 8)
+    for rows in (first & ~late, ~first & ~last, last):
+        stored.merge(spark, materialize(log.where(rows), "changes"))
+    return stored.read(spark).where("op <> 'd'").select(*HISTORY_COLUMNS)

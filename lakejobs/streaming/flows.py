@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lakejobs.functions.keys import with_partitions
 from lakejobs.functions.rules import Rule
 from lakejobs.operators.contract import CONTRACT_RULES
 from lakejobs.plans.lake import judged_lines
-from lakejobs.session import path_status
 from lakejobs.sinks.lake import KeyedTable
+from lakejobs.streaming.marks import SourceMarks
 
 # Vehicle clocks may start up to a quarter of an hour apart.
 DEFAULT_DELAY = "15 minutes"
@@ -171,34 +171,27 @@ def split_late_stream(
     ts: str = "ts_event",
     delay: str = DEFAULT_DELAY,
     every: str | None = None,
+    by: Sequence[str] = (),
+    judge: str = "own",
 ) -> StreamingQuery:
-    """Land a stream split into on-time and late rows, by a watermark that is kept.
+    """Land a stream split into on-time and late rows, by watermarks that are kept.
 
-    The watermark before a batch is the newest event time of all batches before
-    it, less the delay; it is stored next to the table, one record per batch, so
-    it goes on over batches and restarts. Rows below it land under late=true.
+    A source's watermark before a batch is its newest event time of all batches
+    before it, less the delay; the marks are stored next to the table (see
+    streaming.marks), so they go on over batches and restarts. `by` names the
+    source of a row; rows below the mark of their source, or with judge='least'
+    below the least mark, land under late=true.
     """
+    kept = SourceMarks(f"{path}/watermarks", tuple(by))
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = f"{path}/watermarks"
-        mark = None
-        if path_status(spark, seen) != "absent":
-            old = spark.read.schema("newest timestamp, source string, batch_id long").parquet(seen)
-            own = (F.col("source") == query_id(batch)) & (F.col("batch_id") >= batch_id)
-            mark = old.where(~own).agg(F.max("newest")).first()[0]
-        late = F.lit(False)
-        if mark is not None:
-            limit = F.lit(mark) - F.expr(f"INTERVAL {delay}")
-            late = F.coalesce(F.col(ts).cast("timestamp") < limit, F.lit(False))
-        spot = f"source={query_id(batch) or 'none'}/batch_id={batch_id}"
-        seen_now = Observation()
-        newest = F.max(F.col(ts).cast("timestamp")).alias("newest")
-        batch.observe(seen_now, newest).withColumn("late", late).write.mode(
-            "overwrite"
-        ).partitionBy("late").parquet(f"{path}/rows/{spot}")
-        record = spark.createDataFrame([(seen_now.get["newest"],)], "newest timestamp")
-        record.coalesce(1).write.mode("overwrite").parquet(f"{seen}/{spot}")
+        spark, query = batch.sparkSession, query_id(batch)
+        old = kept.before(spark, query, batch_id)
+        spot = f"{path}/rows/source={query or 'none'}/batch_id={batch_id}"
+        flagged = kept.flagged(batch, old, ts, delay, judge)
+        flagged.write.mode("overwrite").partitionBy("late").parquet(spot)
+        # The marks come from the rows as written: the source is read once.
+        kept.store(spark.read.schema(batch.schema).parquet(spot), ts, query, batch_id, old)
 
     return batch_stream(stream, split, checkpoint, every)
 

@@ -131,7 +131,7 @@ def test_deletes_do_not_pile_up(spark):
 def test_the_query_meets_both_cases():
     con = duckdb.connect()
     con.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.01/events.parquet'")
-    sql = state_sql({"land_files": ""})["tombstone_expiry"]
+    sql = state_sql({"land_files": "", "scd2": ""})["tombstone_expiry"]
     late = con.sql(f"SELECT count(*) FROM ({sql}) WHERE kind = 'too late'").fetchall()[0][0]
     dead = con.sql(f"SELECT count(*) FROM ({sql}) WHERE n = 3 AND op = 'd'").fetchall()[0][0]
     assert late > 0 and dead > 0
@@ -276,3 +276,77 @@ def test_closure_of_cycles_and_nothing(spark):
     got = {(r.name, r.at_name) for r in lineage.closure(edges, targets).collect()}
     assert got == {("a", "a"), ("a", "b"), ("lone", "lone")}
     assert lineage.closure(lineage.read_edges(spark, new_path(spark, "none")), targets.limit(0)).count() == 0
+
+
+# --- history in regions ------------------------------------------------------
+
+
+def version_rows(spark, rows):
+    return spark.createDataFrame(
+        [(k, datetime(2024, 1, 1) + timedelta(days=d), pos, op, pos) for pos, (k, d, op) in enumerate(rows)],
+        "source_pk string, ts_event timestamp_ntz, source_pos long, op string, value long",
+    )
+
+
+def history_of(df):
+    return sorted(map(repr, map(tuple, df.select(sorted(df.columns)).collect())))
+
+
+def test_history_in_regions_equals_one_log(spark, tmp_path):
+    from lakejobs.operators.history import history_log
+    from lakejobs.operators.history_regions import HistoryTable
+
+    rng = random.Random(5)
+    data = [(rng.choice("abcdefg"), rng.randint(0, 200), rng.choice("cuud")) for _ in range(250)]
+    rng.shuffle(data)
+    rows = version_rows(spark, data)
+    table = HistoryTable(str(tmp_path / "h"), ["source_pk"], buckets=4)
+    assert table.read(spark) is None
+    for low in range(0, 250, 50):
+        batch = rows.where(f"source_pos >= {low} AND source_pos < {low + 50}")
+        table.merge(spark, batch)
+        want = history_log(rows.where(f"source_pos < {low + 50}"), ["source_pk"])
+        assert history_of(table.read(spark)) == history_of(want)
+    before = history_of(table.read(spark))
+    table.merge(spark, rows.where("source_pos < 50"))
+    assert history_of(table.read(spark)) == before
+    table.merge(spark, rows.limit(0))
+    assert history_of(table.read(spark)) == before
+
+
+def test_a_merge_reads_what_it_can_reopen(spark, tmp_path):
+    from lakejobs.operators.history_regions import HistoryTable
+
+    table = HistoryTable(str(tmp_path / "h"), ["source_pk"], buckets=4)
+    table.merge(spark, version_rows(spark, [(k, d, "u") for k in "abcdefgh" for d in range(0, 300, 5)]))
+    new = version_rows(spark, [("a", 280, "u")])
+    affected = table.affected(spark, new)
+    plan = affected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "region#" in plan.split("PartitionFilters: [")[1]
+    regions = {r.region for r in affected.select("region").distinct().collect()}
+    assert regions == {"open", "2024-10"} and affected.select("bucket").distinct().count() == 1
+    replaced = table.merge(spark, new)
+    assert {p.split("/")[0] for p in replaced} == {"region=open", "region=2024-10"}
+
+
+def test_a_broken_swap_is_finished(spark, tmp_path, monkeypatch):
+    from lakejobs.operators import history_regions as regions
+    from lakejobs.operators.history import history_log
+
+    table = regions.HistoryTable(str(tmp_path / "h"), ["source_pk"], buckets=2)
+    rows = version_rows(spark, [(k, d, "u") for k in "abcd" for d in range(0, 100, 9)])
+    table.merge(spark, rows.where("source_pos % 2 = 0"))
+    deleted = []
+
+    def fails(session, path):
+        if len(deleted) == 2:
+            raise OSError("the store is away")
+        deleted.append(path)
+        delete_path(session, path)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(regions, "delete_path", fails)
+        with pytest.raises(OSError):
+            table.merge(spark, rows.where("source_pos % 2 = 1"))
+    table.recover(spark)
+    assert history_of(table.read(spark)) == history_of(history_log(rows, ["source_pk"]))
