@@ -53,7 +53,7 @@ class Mining:
     longer one holds it and has at least so many of its occurrences."""
 
     min_count: int = 30
-    shards: int = 3
+    shards: int = 2
     cells: int = 1 << 24
     top: int = 2000
     covered_percent: int = 80
@@ -187,7 +187,7 @@ def cells_of(hashes: np.ndarray, lang: str, cells: int) -> np.ndarray:
 
 def distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of one member, size) of each group of equal pairs."""
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     same = first[order][1:] == first[order][:-1]
     equal = second[order][1:] == second[order][:-1]
     if (same & ~equal).any():
@@ -216,9 +216,13 @@ def scan(raw: bytes, limit: int, lang: str, reached: np.ndarray, step: int, shar
         starts = n - length + 1
         if starts <= 0:
             return
-        known = reached[cells_of(gram, lang, len(reached))].astype(np.int16)
+        shorter = gram
+        gram = extended(shorter, words.hashes(0), length)
+        if step >= length * shards:
+            # Shorter phrases were all finished a cycle ago, so these are as well.
+            continue
+        known = reached[cells_of(shorter, lang, len(reached))].astype(np.int16)
         since = np.maximum(known[:-1], known[1:])[:starts] + 1
-        gram = extended(gram, words.hashes(0), length)
         active = (since <= step) & (step < since + shards)
         active &= words.piece[length - 1 :] == words.piece[:starts]
         active[before:] = False

@@ -101,4 +101,49 @@ FROM grown g JOIN sums ON sums.d = g.d AND sums.path = g.path
 LEFT JOIN nodes p ON p.d = g.d - 1 AND p.path = g.path[1:g.d - 1]
 """
 
-SQL: dict[str, str] = {"op12_conversation_prefix_trie": TRIE, "op13_phrase_collocations": PHRASES}
+# White space and symbols are those of the contract; a line is compared in lower case,
+# with single blanks and every number as 0.
+QUALITY = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text
+  FROM documents
+), worded AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs
+), triples AS (
+  SELECT r, i, w[i:i + 2] AS three FROM worded, unnest(range(1, len(w) - 1)) AS places(i)
+), twice AS (
+  SELECT r, unnest([i, i + 1, i + 2]) AS place FROM triples
+  QUALIFY count(*) OVER (PARTITION BY r, three) > 1
+), covered AS (
+  SELECT r, count(DISTINCT place) AS n FROM twice GROUP BY r
+), lines AS (
+  SELECT r, host, text, line, trim(regexp_replace(regexp_replace(
+      lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), ' ') AS normal,
+    len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
+  FROM (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), hosts AS (
+  SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host
+), frequent AS (
+  SELECT l.host, normal FROM lines l JOIN hosts h ON h.host = l.host
+  GROUP BY l.host, normal, h.n
+  HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > h.n * 0.01
+), per_doc AS (
+  SELECT r, count(*) - count(DISTINCT line) AS dup,
+    sum(CASE WHEN f.host IS NULL THEN 0 ELSE n END) AS gone
+  FROM lines l LEFT JOIN frequent f ON f.host = l.host AND f.normal = l.normal GROUP BY r
+), counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(gone, 0) AS gone
+  FROM worded LEFT JOIN covered USING (r) LEFT JOIN per_doc USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT base_failed AND n_words - gone >= 0.5 * n_words AS kept
+FROM counts
+"""
+
+SQL: dict[str, str] = {"op8_quality_rules": QUALITY, "op12_conversation_prefix_trie": TRIE, "op13_phrase_collocations": PHRASES}
