@@ -71,6 +71,11 @@ ADVERTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split()
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th".split())
+#: What holds lines of a table or list.
+PIECES = frozenset(
+    "table tbody thead tfoot tr td th ul ol li dl dt dd p blockquote pre h1 h2 h3 h4 h5 h6".split()
+)
+SPOKEN = frozenset("p h1 h2 h3 h4 h5 h6".split())
 UNSEEN_STYLE = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", re.I)
 
 TAG = re.compile(
@@ -97,12 +102,12 @@ UNSEEN, TAGGED, NAMED = 3, 2, 1
 class Node:
     __slots__ = (
         "tag", "parent", "children", "kind", "noise", "own", "holds", "chars", "tags",
-        "link_chars", "link_tags", "density", "total",
+        "link_chars", "link_tags", "density", "total", "spoken",
     )
 
     def __init__(self, tag: str, parent: "Node | None", kind: int):
         self.tag, self.parent, self.kind = tag, parent, kind
-        self.noise = self.holds = False
+        self.noise = self.holds = self.spoken = False
         self.own = 0
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -334,6 +339,7 @@ def measure(root: Node) -> list[Node]:
             if isinstance(x, str):
                 node.chars += blank(x)
             elif not x.noise:
+                node.spoken |= x.spoken or x.tag in SPOKEN
                 node.chars += x.chars
                 node.tags += x.tags + (x.tag == "a" or x.tag not in INLINE)
                 node.link_chars += x.link_chars
@@ -391,6 +397,17 @@ def is_text(run: list[Node | str]) -> bool:
     return own > sum(x.link_chars for x in nodes)
 
 
+def section_of(best: Node) -> Node:
+    """The part of the page that the densest node stands for.
+
+    A table or list without paragraphs is a piece of an article, so the block
+    around it is taken; within an article or main part it is that part.
+    """
+    while best.parent is not None and best.tag in PIECES and not best.spoken:
+        best = best.parent
+    return next((x for x in above(best) if x.tag in ("article", "main")), best)
+
+
 def article_text(page: str | None) -> str:
     """The article of a page: blocks in page order, single blanks; empty if there is none."""
     if not page:
@@ -405,8 +422,7 @@ def article_text(page: str | None) -> str:
     if root.chars == 0:
         return ""
     best = max((x for x in order if x.tag not in INLINE), key=lambda x: x.total)
-    if best.total == 0.0:
-        best = root
+    best = section_of(best) if best.total > 0.0 else root
     threshold = min(x.density for x in above(best))
     out: list[str] = []
 
