@@ -373,17 +373,22 @@ def decoder(model_path: str):
 def digester(model_path: str):
     """Column function: ids to their number, their sha256 and that of the text they decode to.
 
-    On the result of `encoder` it runs in the same Python worker.
+    The text is the library's own decode of the ids. On the result of `encoder` it
+    runs in the same Python worker.
     """
 
     @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def digest(ids: pd.Series) -> pd.DataFrame:
-        coder = coder_of(model_path)
+        decode = coder_of(model_path).library.decode
+
+        def text(x: bytes) -> bytes:
+            return decode(np.frombuffer(x, "<u4").tolist()).encode()
+
         return pd.DataFrame(
             {
                 "n_tokens": [len(x) // 4 for x in ids],
                 "ids_sha256": [sha256(x).hexdigest() for x in ids],
-                "decoded_sha256": [sha256(coder.decode(x).encode()).hexdigest() for x in ids],
+                "decoded_sha256": [sha256(text(x)).hexdigest() for x in ids],
             }
         )
 
