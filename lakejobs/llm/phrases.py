@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,10 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 LONGEST = 4
 NEVER = 255
-#: Bytes looked at together, and the longest word hashed by its bytes' sum.
-CHUNK = 1 << 21
+#: Bytes looked at together, chunks whose counts are summed before they leave the
+#: worker, and the longest word hashed by its bytes' sum.
+CHUNK = 1 << 20
+SPAN = 6
 LONG_WORD = 200
 
 COUNTED = "lang string, kind int, phrase string, n bigint"
@@ -198,39 +201,54 @@ def distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order[heads], np.diff(np.r_[heads, len(order)])
 
 
-def scan(raw: bytes, limit: int, lang: str, reached: np.ndarray, step: int, shards: int):
+def scan(parts: list[tuple[bytes, int]], lang: str, reached: np.ndarray, step: int, shards: int):
     """Counts of what is active in this scan: (length, start, phrases, counts) groups.
 
-    The group of length 0 counts all words. reached holds for each cell the scan
-    after which a phrase in it had reached the threshold.
+    parts are chunks with their limits; a phrase of several is counted once. The
+    group of length 0 counts all words. reached holds for each cell the scan after
+    which a phrase in it had reached the threshold.
     """
-    words = Words(raw)
-    n = len(words.starts)
-    before = int(np.searchsorted(words.starts, limit))
-    if step < shards and before:
-        yield 0, np.zeros(1, np.int64), pa.array([""], pa.large_string()), np.array([before])
-        at, sizes = distinct(words.hashes(0)[:before], words.hashes(1)[:before])
-        yield 1, np.zeros(len(at), np.int64), words.phrases(at, 1), sizes
-    gram = words.hashes(0)
+    words = [Words(raw) for raw, _ in parts]
+    before = [int(np.searchsorted(w.starts, limit)) for w, (_, limit) in zip(words, parts)]
+    total = sum(before)
+    if step < shards and total:
+        yield 0, np.zeros(1, np.int64), pa.array([""], pa.large_string()), np.array([total])
+        yield summed(words, [np.arange(n) for n in before], [np.zeros(n, np.int64) for n in before], 1)
+    grams = [w.hashes(0) for w in words]
     for length in range(2, LONGEST + 1):
-        starts = n - length + 1
-        if starts <= 0:
-            return
-        shorter = gram
-        gram = extended(shorter, words.hashes(0), length)
+        shorter, grams = grams, [extended(g, w.hashes(0), length) for g, w in zip(grams, words)]
         if step >= length * shards:
             # Shorter phrases were all finished a cycle ago, so these are as well.
             continue
-        known = reached[cells_of(shorter, lang, len(reached))].astype(np.int16)
-        since = np.maximum(known[:-1], known[1:])[:starts] + 1
-        active = (since <= step) & (step < since + shards)
-        active &= words.piece[length - 1 :] == words.piece[:starts]
-        active[before:] = False
-        where = np.flatnonzero(active)
-        if len(where):
-            at, sizes = distinct(gram[where], words.grams(where, length, 1))
-            at = where[at]
-            yield length, since[at].astype(np.int64), words.phrases(at, length), sizes
+        places, starts = [], []
+        for w, short, limit in zip(words, shorter, before):
+            n = max(len(w.starts) - length + 1, 0)
+            known = reached[cells_of(short, lang, len(reached))].astype(np.int16)
+            since = np.maximum(known[:-1], known[1:])[:n] + 1
+            active = (since <= step) & (step < since + shards)
+            active &= w.piece[length - 1 :] == w.piece[:n]
+            active[limit:] = False
+            places.append(np.flatnonzero(active))
+            starts.append(since[places[-1]].astype(np.int64))
+        if any(map(len, places)):
+            yield summed(words, places, starts, length)
+
+
+def summed(words: list[Words], places: list[np.ndarray], starts: list[np.ndarray], length: int):
+    """(length, start, phrase, count) of the phrases at the places, each phrase once."""
+    first, second = (
+        np.concatenate([w.grams(at, length, k) for w, at in zip(words, places)]) for k in range(2)
+    )
+    found, sizes = distinct(first, second)
+    order = np.argsort(found)
+    found, sizes = found[order], sizes[order]
+    bounds = np.cumsum([0, *map(len, places)])
+    cuts = np.searchsorted(found, bounds)
+    texts = [
+        w.phrases(at[found[a:b] - low], length)
+        for w, at, low, a, b in zip(words, places, bounds, cuts, cuts[1:])
+    ]
+    return length, np.concatenate(starts)[found], pa.concat_arrays(texts), sizes
 
 
 def scanner(table, step: int, shards: int):
@@ -244,13 +262,12 @@ def scanner(table, step: int, shards: int):
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 by_lang.setdefault(lang, []).append(text.as_py())
             for lang, rows in by_lang.items():
-                for part, limit in chunks(b"\n".join(rows)):
-                    for length, since, phrases, sizes in scan(
-                        part, limit, lang, reached, step, shards
-                    ):
+                parts = chunks(b"\n".join(rows))
+                while some := list(islice(parts, SPAN)):
+                    for length, since, phrases, sizes in scan(some, lang, reached, step, shards):
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([lang] * len(sizes), pa.string()),
+                                pa.repeat(pa.scalar(lang, pa.string()), len(sizes)),
                                 pa.array(since * 8 + length, pa.int32()),
                                 phrases.cast(pa.string()),
                                 pa.array(sizes, pa.int64()),
