@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakejobs.session import new_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -105,6 +107,23 @@ def apply_policy(
     raise ValueError(f"unknown policy {policy!r}")
 
 
+def split_once(
+    df: DataFrame, rules: Sequence[Rule], keys: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) with every row judged once, whatever is done with both.
+
+    The judged rows are written to the shared folder by verdict, and each side
+    reads its own directory. For rows that are read once, or a stream, use
+    apply_policy.
+    """
+    spark = df.sparkSession
+    checked = validate(df, rules, keys)
+    path = new_path(spark, "judged")
+    checked.write.partitionBy("is_valid").parquet(path)
+    stored = spark.read.schema(checked.schema).parquet(path)
+    return stored.where("is_valid").drop(*VERDICT_COLUMNS), stored.where("NOT is_valid")
+
+
 def _first_problem(rules: Sequence[Rule], keys: Column | None) -> Column:
     """What is wrong with a record first, as text; null when nothing is."""
     missing = F.concat_ws(", ", missing_fields(rules, keys))

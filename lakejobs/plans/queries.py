@@ -17,7 +17,7 @@ from lakejobs.functions.keys import (
     with_idem_key,
     with_partitions,
 )
-from lakejobs.functions.rules import Rule, apply_policy, validate
+from lakejobs.functions.rules import Rule, split_once, validate
 from lakejobs.operators import audit, contract, fencing, history, merge, quality, upkeep
 from lakejobs.operators.batches import batch_summary, with_batches
 from lakejobs.operators.contract import (
@@ -191,7 +191,8 @@ EVENT_RULES = (
 
 @query
 def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = apply_policy(faulty_events(spark, sf_dir), EVENT_RULES, "quarantine")
+    """Every row judged once, both sides used."""
+    good, bad = split_once(faulty_events(spark, sf_dir), EVENT_RULES)
     return good.select("event_id", F.lit("accepted").alias("verdict")).unionByName(
         bad.select("event_id", F.lit("rejected").alias("verdict"))
     )

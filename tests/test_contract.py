@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from lakejobs.functions.rules import apply_policy, validate
+from conftest import rows
+from lakejobs.functions.rules import apply_policy, split_once, validate
 from lakejobs.operators.contract import (
     CONTRACT_RULES,
     DOCUMENTED_RULES,
@@ -135,6 +136,9 @@ def test_policies(spark):
     good, bad = apply_policy(df, CONTRACT_RULES, "quarantine")
     assert good.columns == df.columns
     assert [r["i"] for r in good.collect()] == [0] and [r["i"] for r in bad.collect()] == [1]
+    once = split_once(df, CONTRACT_RULES)
+    assert [rows(x) for x in once] == [rows(good), rows(bad)]
+    assert once[0].columns == good.columns and split_once(df.limit(0), CONTRACT_RULES)[1].count() == 0
     assert apply_policy(df, CONTRACT_RULES, "off")[0].count() == 2
     stopping, none = apply_policy(df, CONTRACT_RULES, "fail")
     assert none is None
