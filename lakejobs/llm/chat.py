@@ -93,6 +93,7 @@ class ChatCoder:
         # What each reserved id looks like in the written form.
         self.written = {i: HEADERS[r] + "\n" for r, i in self.header.items()}
         self.written |= {self.other: OTHER, self.name_end: "\n", self.end: END + "\n"}
+        self.least = min(self.written)
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= LONG_RUN:
@@ -145,9 +146,24 @@ class ChatCoder:
     def read_loss(self, ids: np.ndarray, mask: np.ndarray) -> str:
         return unescape(self.decode(ids[mask].tolist()))
 
+    def open_turn(self, ids: np.ndarray, mask: np.ndarray) -> tuple[str, str, str | None, int]:
+        """(role, text, text under the loss mask or None, length of the written form) of a
+        turn; what read_turn, read_loss and write_turn give, with every id decoded once."""
+        at = np.flatnonzero(ids >= self.least)
+        signs = ids[at].tolist()
+        said = [self.decode(ids[a + 1 : b].tolist()) for a, b in zip(at.tolist(), at[1:].tolist())]
+        text = unescape(said[-1])
+        role = self.role_of[signs[0]] if signs[0] in self.role_of else unescape_name(said[0])
+        length = sum(map(len, said)) + sum(len(self.written[i]) for i in signs)
+        start, stop = int(at[-2]) + 1, int(at[-1])
+        if not mask.any():
+            return role, text, None, length
+        whole = mask[start:stop].all() and int(mask.sum()) == stop - start
+        return role, text, text if whole else self.read_loss(ids, mask), length
+
     def write_turn(self, ids: np.ndarray) -> str:
         """The written form of the ids of one turn."""
-        reserved = np.flatnonzero(ids >= min(self.written))
+        reserved = np.flatnonzero(ids >= self.least)
         out, done = [], 0
         for at in reserved.tolist():
             out += [self.decode(ids[done:at].tolist()), self.written[int(ids[at])]]
@@ -324,14 +340,13 @@ def digester(ranks_path: str, pattern: str):
                     }
                 ids = batch.column("ids")[k].values.to_numpy()
                 mask = np.asarray(batch.column("mask")[k].values.to_numpy(zero_copy_only=False), bool)
-                role, text = coder.read_turn(ids)
+                role, text, loss, length = coder.open_turn(ids, mask)
                 current["n_turns"] += 1
                 current["turns_sha256"].update(f"{role}\n{text}\n".encode())
-                if mask.any():
-                    loss = coder.read_loss(ids, mask)
+                if loss is not None:
                     current["loss_chars"] += len(loss)
                     current["loss_sha256"].update(loss.encode())
-                current["formatted_chars"] += len(coder.write_turn(ids))
+                current["formatted_chars"] += length
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema)
                 done = []

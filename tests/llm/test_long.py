@@ -291,3 +291,21 @@ def test_fuzzy_notices_against_all_windows():
                     said = words[i : j + 1]
                     if fixed <= set(said) and distance(phrase, " ".join(said)) <= budget:
                         assert any(x == label and a <= j and i <= b for a, b, x, *_ in got), (words, said)
+
+
+def test_a_turn_opened_once_is_the_turn_read():
+    import public_tokenizers
+
+    from lakejobs.llm import chat
+
+    coder = chat.coder_of(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(1)
+    parts = ["ab ", "\\", "### User:", "</turn>", "\n", "é😀"]
+    texts = ["", "a" * 50, " \n", "\\\\"] + ["".join(rng.choices(parts, k=20)) for _ in range(100)]
+    for role in ("user", "assistant", "odd\\n role", "", "### User:"):
+        for text in texts:
+            ((ids, mask),) = coder.assemble([role], [text])
+            got = coder.open_turn(ids, mask)
+            assert got[:2] == coder.read_turn(ids) == (role, text)
+            assert got[2] == (coder.read_loss(ids, mask) if mask.any() else None)
+            assert got[3] == len(coder.write_turn(ids))
