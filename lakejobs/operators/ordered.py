@@ -2,9 +2,10 @@
 
 A window function sorts each group inside one task. That is right for most
 groups, but one vehicle, source or file may hold a third of all rows. Groups
-above `max_rows` are therefore cut along their order into range partitions,
-the window runs inside each piece, and a small table with one row per piece
-carries values across the cuts. Results equal those of the plain window.
+above `max_rows` are therefore dealt along their order to range partitions,
+which are cut into pieces of at most `max_rows` rows; the window runs inside
+each piece, and a small table with one row per piece carries values across the
+cuts. Results equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lakejobs.functions.keys import orderable
 from lakejobs.session import materialize
 
-# Above this many rows a group is cut into pieces of about this size.
+# Above this many rows a group is cut into pieces of at most this size.
 MAX_GROUP_ROWS = 5_000_000
 
 KINDS = ("lag", "lead", "running_max", "row_number")
 Spec = Mapping[str, tuple[str, str | None]]
 _PIECE, _TIE = "__piece", "__tie"
+# monotonically_increasing_id counts a partition's rows in its lower 33 bits.
+_ROW_BITS = (1 << 33) - 1
 
 
 def ordered_columns(
@@ -64,11 +67,11 @@ class OrderedRows:
         self._plain: DataFrame | None = df
         self._pieces: DataFrame | None = None
         self._written = False
-        hot, pieces = _hot_groups(df, self.keys, max_rows)
-        if pieces:
-            self._split(df, hot, pieces)
+        hot, ranges = _hot_groups(df, self.keys, max_rows)
+        if ranges:
+            self._split(df, hot, ranges, max_rows)
 
-    def _split(self, df: DataFrame, hot: DataFrame | None, pieces: int) -> None:
+    def _split(self, df: DataFrame, hot: DataFrame | None, ranges: int, max_rows: int) -> None:
         large = df
         self._plain = None
         if hot is not None:
@@ -78,10 +81,14 @@ class OrderedRows:
             )
             self._plain = df.join(hot, on, "left_anti")
             large = df.join(hot, on, "inner").drop(*names)
-        # The range bounds come from a sample, so the piece number is written
-        # down once; a retried task must not see different cuts.
-        ranged = large.repartitionByRange(pieces, *self.keys, *self.order)
-        self._pieces = materialize(ranged.withColumn(_PIECE, F.spark_partition_id()), "pieces")
+        by = [*self.keys, *self.order]
+        ranged = large.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+        # A piece has the number of its first row. The range bounds come from a
+        # sample, so the numbers are written down once; a retried task must not
+        # see different cuts.
+        at = F.monotonically_increasing_id()
+        first = at - at.bitwiseAND(F.lit(_ROW_BITS)) % max_rows
+        self._pieces = materialize(ranged.withColumn(_PIECE, first), "pieces")
         self._written = True
 
     def add(self, spec: Spec) -> OrderedRows:
@@ -120,21 +127,33 @@ class OrderedRows:
 def _hot_groups(
     df: DataFrame, keys: Sequence[str], max_rows: int
 ) -> tuple[DataFrame | None, int]:
-    """Groups too large for one task, and into how many pieces to cut them.
+    """Groups too large for one task, and to how many range partitions to deal them.
 
     Only keys are read, counted with map-side combine. A listed group has over
     max_rows rows, so the list, kept as a table, has less than rows / max_rows.
     """
     if not keys:
         total = df.select(F.lit(1)).count()
-        return None, -(-total // max_rows) + 1 if total > max_rows else 0
+        return None, _ranges(df, total, -(-total // max_rows) + 1) if total > max_rows else 0
     named = [F.col(k).alias(f"__hot_{k}") for k in keys]
     counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows)
-    pieces = counts.agg(F.sum(F.ceil(F.col("__n") / F.lit(max_rows)) + 1)).first()[0]
+    pieces = F.sum(F.ceil(F.col("__n") / F.lit(max_rows)) + 1)
+    total, pieces = counts.agg(F.sum("__n"), pieces).first()
     if not pieces:
         return None, 0
     # Only now is there something to write down.
-    return materialize(counts, "hot").drop("__n"), int(pieces)
+    return materialize(counts, "hot").drop("__n"), _ranges(df, total, int(pieces))
+
+
+def _ranges(df: DataFrame, rows: int, pieces: int) -> int:
+    """A range partition for each piece, as far as shuffles have partitions; more only
+    where a partition would get over MAX_GROUP_ROWS rows.
+
+    The driver collects a sample of the rows for each range partition and a report
+    of each task, so their number must not grow with the pieces.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(pieces, max(usual, -(-rows // MAX_GROUP_ROWS) + 1))
 
 
 def _window(df: DataFrame, part: Sequence[str], order: Sequence[str], spec: Spec) -> DataFrame:

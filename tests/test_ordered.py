@@ -82,6 +82,32 @@ def test_one_time_holds_most_rows(spark):
     assert out.where("prev <=> i - 1").count() == 499
 
 
+def test_many_pieces_in_few_range_partitions(spark):
+    """What the driver collects goes by range partitions, and these not by pieces."""
+    df = spark.range(3000).select(
+        (F.col("id") % 2).alias("k"), F.col("id").alias("t"), F.lit(1).alias("v")
+    )
+    for keys in (["k"], []):
+        ordered = OrderedRows(df, keys, ["t"], 10)
+        sizes = ordered._pieces.groupBy(*keys, "__piece").count().collect()
+        assert len(sizes) >= 300 and max(r["count"] for r in sizes) <= 10
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert len(ordered._pieces.inputFiles()) <= usual
+        out = ordered.add({"n": ("row_number", None), "prev": ("lag", "t")}).rows()
+        step = 2 if keys else 1
+        assert out.where(F.col("n") == F.floor(F.col("t") / step) + 1).count() == 3000
+        assert out.where(F.col("prev") == F.col("t") - step).count() == 3000 - step
+
+
+def test_pieces_of_rows_that_are_alike(spark):
+    """Rows equal in all columns are cut as well."""
+    df = spark.range(400).select(F.lit("k").alias("k"), F.lit(1).alias("t"), F.lit(2).alias("v"))
+    spec = {"n": ("row_number", None), "prev": ("lag", "v"), "high": ("running_max", "v")}
+    out = rows(OrderedRows(df, ["k"], ["t"], 30).add(spec).rows())
+    assert sorted(r[3] for r in out) == list(range(1, 401))
+    assert sum(r[4] == 2 for r in out) == 399 and all(r[5] == 2 for r in out)
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         ordered_columns(sample(spark, 5), ["k"], ["t"], {"x": ("median", "v")})
