@@ -36,6 +36,12 @@ def file_options(spark: SparkSession, path: str) -> dict[str, str]:
     return {"recursiveFileLookup": "true", "pathGlobFilter": "*.jsonl"}
 
 
+def _no_return() -> Column:
+    """The line without a carriage return at its end; only lines with one are searched."""
+    value = F.col("value")
+    return F.when(value.contains("\r"), F.regexp_replace(value, "\r$", "")).otherwise(value)
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of a file, a folder or listed files, with their file and position.
 
@@ -46,7 +52,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     reader = spark.read.options(lineSep="\n", **options)
     path = path if isinstance(path, str) else list(path)
     return reader.text(path).select(
-        F.regexp_replace("value", "\r$", "").alias("value"),
+        _no_return().alias("value"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_seq"),
@@ -63,7 +69,7 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.text(path).select(
-        F.regexp_replace("value", "\r$", "").alias("value"),
+        _no_return().alias("value"),
         F.col("_metadata.file_path").alias("file"),
     )
 
@@ -83,23 +89,29 @@ def parse_lines(
         [T.StructField("r", schema), T.StructField("_corrupt", T.StringType())]
     )
     wrapped = F.concat(F.lit('{"r":'), F.col("value"), F.lit("}"))
-    parts = [
-        F.from_json(wrapped, wrapper, _PARSE).alias("__p"),
-        F.json_object_keys("value").alias("record_keys"),
-    ]
+    parts = [F.from_json(wrapped, wrapper, _PARSE).alias("__p")]
+    # The keys are read from the line only where they are asked for.
+    keys = F.json_object_keys("value")
+    no_object = keys.isNull()
     if strict:
         # As the only element of a list: a second value or a stray key shows.
         listed = F.concat(F.lit("["), F.col("value"), F.lit("]"))
         parts.append(F.try_parse_json(listed).alias("__doc"))
+        # A list that parses and begins with a brace begins with an object.
+        no_object = F.col("__doc").isNull() & no_object
     # A generator output is computed once per row; as a plain column the parse
     # would be repeated for every field a later filter looks at.
-    parsed = lines.where(F.length("value") > 0).select(
+    parsed = lines.where(F.col("value") != "").select(
         *lines.columns, F.inline(F.array(F.struct(*parts)))
     )
+    # Most lines have nothing outside their braces and need no regular expression.
+    braced = F.col("value").startswith("{") & F.col("value").endswith("}")
+    braced = braced | F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$")
+    empty = F.col("value").rlike(r"^\s*null\s*$")
     reason = (
         F.when(F.octet_length("value") >= MAX_LINE_BYTES, "too_long")
-        .when(F.col("value").rlike(r"^\s*null\s*$"), "empty_record")
-        .when(~F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$") | F.col("record_keys").isNull(), "not_json")
+        .when(~braced, F.when(empty, "empty_record").otherwise("not_json"))
+        .when(no_object, "not_json")
         .when(
             F.col("__p._corrupt").isNotNull(),
             F.when(F.try_parse_json(wrapped).isNotNull(), "wrong_type").otherwise("not_json"),
@@ -116,8 +128,8 @@ def parse_lines(
         )
         reason = reason.when(~single, "not_json")
         reason = reason.when(~_text_kinds(schema) | _overflow(schema), "wrong_type")
-    return parsed.withColumns({"bad_reason": reason, "record": F.col("__p.r")}).drop(
-        "__p", "__doc"
+    return parsed.select(
+        *lines.columns, keys.alias("record_keys"), reason.alias("bad_reason"), F.col("__p.r").alias("record")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakejobs.operators.batches import batch_summary, with_batches
 from lakejobs.operators.contract import EVENT_FIELDS, EXAMPLE
-from lakejobs.plans import lake
+from lakejobs.plans import lake, queries
 from lakejobs.sinks.jsonl import write_jsonl, write_lines
 from lakejobs.sources.jsonl import (
     MAX_LINE_BYTES,
@@ -225,3 +225,50 @@ def test_lines_keep_awkward_text(spark, tmp_path):
     write_lines(df, out)
     back = read_lines(spark, out).select(F.from_json("value", "t string")["t"]).collect()
     assert sorted(r[0] for r in back) == sorted(texts)
+
+
+def test_lines_are_made_after_events_are_dealt(spark, tmp_path, monkeypatch):
+    """Events, not the long lines, are shuffled, to as many files as lines ask for."""
+    spark.range(300).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-05 00:00:00' AS ts", "id % 7 AS user_id",
+        "'click' AS event_type", "double(id) AS value", "'{\"k\": 3}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "LINES_A_FILE", 20)
+    lines = queries._event_lines(spark, str(tmp_path))
+    assert lines.select(F.spark_partition_id()).distinct().count() > 8
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    after, before = plan.split("RepartitionByExpression")
+    assert "StructsToJson" in after and "md5" in after and "md5" not in before
+    assert lines.select("seq").distinct().count() == 300
+
+
+def test_keys_are_read_only_where_asked_for(spark, tmp_path):
+    """The keys are no part of the step that parses every line."""
+    path = tmp_path / "in.jsonl"
+    path.write_text(line())
+    parsed = parse_lines(read_lines(spark, str(path))).select("record.*")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan and "jsonObjectKeys" not in plan
+
+
+def test_white_space_around_records(spark, tmp_path):
+    good = line()
+    cases = [
+        (good + "\r", None),
+        (" \t" + good + " \r\r", None),
+        (good + "\r\r", None),
+        (" " + good, None),
+        (good + " ", "not_json"),
+        ("\x0b" + good, "not_json"),
+        (" null\t", "empty_record"),
+        ("\r", "not_json"),
+        ("{", "not_json"),
+        ("}", "not_json"),
+        ("{} {}", "not_json"),
+        ("{}", "empty_record"),
+        ('{"event_id": "1"}, {"vin": "2"}', "not_json"),
+        ("{'event_id': 'a'}", "not_json"),
+    ]
+    found = reasons(spark, tmp_path, [c for c, _ in cases])
+    # A line that is empty without its carriage return is left out.
+    assert found == [r for c, r in cases if c != "\r"]
